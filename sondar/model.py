@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 
 class SondarError(Exception):
     """Base of the errors a caller is expected to handle."""
@@ -79,68 +77,119 @@ PROFILE_VALUE = (
 PROFILE = f"map<string,{PROFILE_VALUE}>"
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-# One row per table, view or collection, as a source lists it.
-LISTED_CONTAINERS = _schema(
-    "database string, schema_name string, container_name string, "
-    "container_type string, estimated_count bigint, native_description string, "
-    "last_modified_at string"
-)
+Fields = dict[str, str]
 
-# One row per column, as a source lists it.
-LISTED_COLUMNS = _schema(
-    "database string, schema_name string, container_name string, "
-    "column_name string, ordinal int, native_type string, nullable boolean, "
-    "is_pk boolean, is_fk boolean, native_description string, "
-    "references_container string, references_column string"
-)
 
-CONTAINERS = _schema(
-    "database string, schema_name string, container_name string, "
-    "container_type string, estimated_count bigint, schema_hash string, "
-    "native_description string, description string, description_source string, "
-    "description_updated_at timestamp, last_modified_at string, error string, "
-    "scanned_at timestamp"
-)
+def ddl(fields: Fields) -> str:
+    """The fields of a frame as a schema string."""
+    return ", ".join(f"{name} {kind}" for name, kind in fields.items())
 
-COLUMNS = _schema(
-    "database string, schema_name string, container_name string, "
-    "column_name string, ordinal int, native_type string, nullable boolean, "
-    "is_pk boolean, is_fk boolean, native_description string, "
-    "description string, description_source string, "
-    "description_updated_at timestamp, references_container string, "
-    "references_column string, sensitivity string, sensitivity_source string, "
-    f"profile {PROFILE}, scanned_at timestamp"
-)
 
-DETAIL = (
-    "struct<added:array<string>,removed:array<string>,retyped:array<string>>"
-)
-CHANGES = _schema(
-    "id bigint, job_id string, database string, schema_name string, "
-    "container_name string, change_type string, old_hash string, "
-    f"new_hash string, detail {DETAIL}, detected_at timestamp"
-)
+def _fields(text: str) -> Fields:
+    """``name type`` pairs, one to a line."""
+    return dict(line.split(maxsplit=1) for line in text.strip().splitlines())
 
-SCAN_RUNS = _schema(
-    "job_id string, database string, state string, containers_done int, "
-    "containers_failed int, containers_skipped int, error string, "
-    "started_at timestamp, finished_at timestamp"
-)
 
-# One row per profiled column.
-COLUMN_PROFILE = _schema(
-    "column_name string, ordinal int, native_type string, null_ratio double, "
-    "distinct_count bigint, min_value string, max_value string, "
-    f"top_values array<{TOP_VALUE}>, approximate boolean"
-)
+# One row per table, view or collection, as a source lists it.
+LISTED_CONTAINERS = _fields("""
+    database string
+    schema_name string
+    container_name string
+    container_type string
+    estimated_count bigint
+    native_description string
+    last_modified_at string
+""")
 
-AUDIT = _schema(
-    "ts timestamp, key_id string, tool string, "
-    "params map<string,string>, outcome string, duration_ms double, "
-    "rendered_sql string, rows_returned bigint, unmasked boolean, "
-    "masked_columns array<string>, error string"
-)
+# One row per column, as a source lists it.
+LISTED_COLUMNS = _fields("""
+    database string
+    schema_name string
+    container_name string
+    column_name string
+    ordinal int
+    native_type string
+    nullable boolean
+    is_pk boolean
+    is_fk boolean
+    native_description string
+    references_container string
+    references_column string
+""")
+
+CONTAINERS = _fields("""
+    database string
+    schema_name string
+    container_name string
+    container_type string
+    estimated_count bigint
+    schema_hash string
+    native_description string
+    description string
+    description_source string
+    description_updated_at timestamp
+    last_modified_at string
+    error string
+    scanned_at timestamp
+""")
+
+COLUMNS = _fields(f"""
+    database string
+    schema_name string
+    container_name string
+    column_name string
+    ordinal int
+    native_type string
+    nullable boolean
+    is_pk boolean
+    is_fk boolean
+    native_description string
+    description string
+    description_source string
+    description_updated_at timestamp
+    references_container string
+    references_column string
+    sensitivity string
+    sensitivity_source string
+    profile {PROFILE}
+    scanned_at timestamp
+""")
+
+CHANGES = _fields("""
+    id bigint
+    job_id string
+    database string
+    schema_name string
+    container_name string
+    change_type string
+    old_hash string
+    new_hash string
+    detail struct<added:array<string>,removed:array<string>,retyped:array<string>>
+    detected_at timestamp
+""")
+
+SCAN_RUNS = _fields("""
+    job_id string
+    database string
+    state string
+    containers_done int
+    containers_failed int
+    containers_skipped int
+    error string
+    started_at timestamp
+    finished_at timestamp
+""")
+
+AUDIT = _fields("""
+    ts timestamp
+    key_id string
+    tool string
+    params map<string,string>
+    outcome string
+    duration_ms double
+    rendered_sql string
+    rows_returned bigint
+    unmasked boolean
+    masked_columns array<string>
+    error string
+""")

@@ -243,16 +243,18 @@ def table_profile(
     max_distinct: int = TOP_VALUES_MAX_DISTINCT,
     approximate: bool = False,
     rsd: float = 0.05,
+    gate: bool | None = None,
 ) -> DataFrame:
     """One row per column: null ratio, range, distinct count, commonest values.
 
     With ``modes=None`` every column gets what its type warrants, and a column
     of more than ``max_distinct`` values gets no list of commonest ones. Modes
-    named by the caller are always gathered. ``approximate=True`` replaces the
+    named by the caller are always gathered, unless ``gate`` says otherwise.
+    ``approximate=True`` replaces the
     exact distinct count by a sketch and flags it.
     """
     chosen = choose_modes(df, modes)
-    gated = modes is None
+    gated = modes is None if gate is None else gate
 
     def having(mode: str) -> list[str]:
         return [name for name in df.columns if mode in chosen[name]]
