@@ -62,13 +62,34 @@ def _types(df: DataFrame) -> dict[str, T.DataType]:
     return {field.name: field.dataType for field in df.schema.fields}
 
 
+# Types counted under Spark's own text and rendered after, once per distinct
+# value instead of once per row.
+_RENDER_LATER = (
+    T.FloatType,
+    T.DoubleType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampNTZType,
+)
+_NEVER_LONG = (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)
+
+
 def _counting_sql(name: str, dtype: T.DataType) -> str:
-    """The value as the text it is counted under; -0.0 counts as 0.0."""
+    """The text a value is counted under; -0.0 counts as 0.0."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return value_sql(f"(cast({ident(name)} as double) + 0.0d)", T.DoubleType())
+        return f"cast(cast({ident(name)} as double) + 0.0d as string)"
+    if isinstance(dtype, _RENDER_LATER):
+        return f"cast({ident(name)} as string)"
     return value_sql(ident(name), dtype)
 
 
+def _rendered_sql(dtype: T.DataType) -> str:
+    """``value``, counted as above, as it is shown."""
+    if isinstance(dtype, T.FloatType):
+        dtype = T.DoubleType()
+    return value_sql(f"try_cast(value as {dtype.simpleString()})", dtype)
+
+
 # ---- null ratio and range ----
 
 
@@ -95,7 +116,8 @@ def light_profile(
         if name in ranged and not isinstance(dtype, _UNORDERED):
             aggregates += [f"min({ref}) as lo{index}", f"max({ref}) as hi{index}"]
             if isinstance(dtype, (T.FloatType, T.DoubleType)):
-                low_float, high_float = f"lo{index}", f"hi{index}"
+                # Adding zero turns -0.0 into 0.0, whichever of them was met.
+                low_float, high_float = f"lo{index} + 0.0d", f"hi{index} + 0.0d"
             else:
                 low = value_sql(f"lo{index}", dtype)
                 high = value_sql(f"hi{index}", dtype)
@@ -148,17 +170,26 @@ def value_counts(
     """
     require_columns(df, columns)
     types = _types(df)
-    keys = {}
+    keys, shown = {}, {}
     for name in columns:
         text = _counting_sql(name, types[name])
-        if name in distinct_only:
+        if name in distinct_only and not isinstance(types[name], _NEVER_LONG):
             text = f"if(length({text}) > {_DIGEST_OVER}, sha2({text}, 256), {text})"
+        if name not in distinct_only and isinstance(types[name], _RENDER_LATER):
+            shown.setdefault(_rendered_sql(types[name]), []).append(literal(name))
         keys[name] = text
-    return (
+    counts = (
         _unpivoted(df, keys)
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if not shown:
+        return counts
+    cases = " ".join(
+        f"when column_name in ({', '.join(names)}) then {text}"
+        for text, names in shown.items()
+    )
+    return counts.selectExpr("column_name", f"case {cases} else value end as value", "n")
 
 
 def count_summary(counts: DataFrame) -> DataFrame:

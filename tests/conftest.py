@@ -13,9 +13,12 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        # Small frames, many plans: compiling each costs more than running it.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
