@@ -159,13 +159,18 @@ def scan_tables(
         columns = declare_keys(columns, keys)
     compared = drift.compare(drift.fingerprint(listed, columns), mine, force=force)
 
+    # Everything below builds on the comparison, so it is made once and kept
+    # where a lost executor does not take it along.
+    folder = f"{store.root}/work/run={job_id}"
+    compared.write.parquet(f"{folder}/compared")
+    compared = spark.read.schema(compared.schema).parquet(f"{folder}/compared")
+
     todo = [
         row.container_name
         for row in compared.where(F.col("outcome") == DONE)
         .select("container_name")
         .collect()
     ]
-    folder = f"{store.root}/findings/run={job_id}"
     counted = set(counted)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         jobs = [
@@ -173,7 +178,7 @@ def scan_tables(
                 _inspect,
                 opened[name],
                 (database, schema_name, name),
-                f"{folder}/table={index}",
+                f"{folder}/found/table={index}",
                 modes,
                 name in counted,
                 full_detection,
@@ -187,7 +192,7 @@ def scan_tables(
         findings = (
             spark.read.schema(_FINDINGS)
             .option("recursiveFileLookup", "true")
-            .parquet(folder)
+            .parquet(f"{folder}/found")
         )
     else:
         findings = spark.createDataFrame([], _FINDINGS)
