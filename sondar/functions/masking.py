@@ -23,14 +23,14 @@ def level_from_name(name: Column) -> Column:
     )
 
 
-def value_matches(text: Column) -> list[Column]:
-    """One boolean per value pattern, in order.
+def value_regexes() -> list[str]:
+    """The value patterns as Java regular expressions, in order.
 
     White space around the value is allowed for inside the pattern, which
     saves rewriting every value before matching it.
     """
     return [
-        text.rlike(rf"(?U)^\s*{pattern.removeprefix('^').removesuffix('$')}\s*$")
+        rf"(?U)^\s*{pattern.removeprefix('^').removesuffix('$')}\s*$"
         for pattern in VALUE_PATTERNS
     ]
 

@@ -18,10 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from sondar.functions.sql import ident, literal
 from sondar.functions.text import value_sql
@@ -46,9 +45,9 @@ _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 # Rows looked at to find columns that certainly have many distinct values.
 _PROBE_ROWS = 1024
 
-# A longer value is counted by its SHA-256 where only the number of distinct
-# values is wanted; shorter than the digest's 64 characters, so no value can
-# look like a digest.
+# Where only the number of distinct values is wanted, a longer text is counted
+# by its SHA-256. Below the digest's 64 characters, so that no text left as it
+# is can look like a digest.
 _DIGEST_OVER = 48
 
 
@@ -71,7 +70,16 @@ _RENDER_LATER = (
     T.DateType,
     T.TimestampNTZType,
 )
-_NEVER_LONG = (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)
+# At most eight bytes, and hashed as such.
+_EIGHT_BYTES = (
+    T.IntegralType,
+    T.FloatType,
+    T.DoubleType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
 
 
 def _counting_sql(name: str, dtype: T.DataType) -> str:
@@ -153,36 +161,30 @@ def light_profile(
 # ---- value counts ----
 
 
-def _unpivoted(df: DataFrame, keys: Mapping[str, str]) -> DataFrame:
-    """(column_name, value) rows, one per named column of every row."""
-    pairs = ", ".join(f"{literal(name)}, {text}" for name, text in keys.items())
-    return df.selectExpr(f"stack({len(keys)}, {pairs}) as (column_name, value)")
+def _unpivoted_counts(df: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """(column_name, value, n) of the named expressions, one per column.
 
+    The shuffle carries a column's position; its name is put back after.
+    """
+    pairs = ", ".join(f"{slot}, {text}" for slot, text in enumerate(keys.values()))
+    names = ", ".join(literal(name) for name in keys)
+    return (
+        df.selectExpr(f"stack({len(keys)}, {pairs}) as (slot, value)")
+        .groupBy("slot", "value")
+        .agg(F.expr("count(1) as n"))
+        .selectExpr(f"element_at(array({names}), slot + 1) as column_name", "value", "n")
+    )
 
-def value_counts(
-    df: DataFrame, columns: Sequence[str], distinct_only: Sequence[str] = ()
-) -> DataFrame:
-    """(column_name, value, n): how often each value occurs; NULL is a value.
 
-    For a column in ``distinct_only`` a long value is replaced by its digest
-    before the shuffle: its number of distinct values stays exact, and
-    documents are not moved just to be told apart.
-    """
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, n): how often each value occurs; NULL is a value."""
     require_columns(df, columns)
     types = _types(df)
-    keys, shown = {}, {}
+    shown: dict[str, list[str]] = {}
     for name in columns:
-        text = _counting_sql(name, types[name])
-        if name in distinct_only and not isinstance(types[name], _NEVER_LONG):
-            text = f"if(length({text}) > {_DIGEST_OVER}, sha2({text}, 256), {text})"
-        if name not in distinct_only and isinstance(types[name], _RENDER_LATER):
+        if isinstance(types[name], _RENDER_LATER):
             shown.setdefault(_rendered_sql(types[name]), []).append(literal(name))
-        keys[name] = text
-    counts = (
-        _unpivoted(df, keys)
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = _unpivoted_counts(df, {c: _counting_sql(c, types[c]) for c in columns})
     if not shown:
         return counts
     cases = " ".join(
@@ -195,14 +197,39 @@ def value_counts(
 def count_summary(counts: DataFrame) -> DataFrame:
     """Rows, nulls and distinct non-null values per column of a value count."""
     return counts.groupBy("column_name").agg(
-        F.count("value").alias("distinct_count"),
-        F.sum("n").alias("rows"),
-        F.coalesce(
-            F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)
-        ).alias("nulls"),
+        F.expr("count(value) as distinct_count"),
+        F.expr("sum(n) as rows"),
+        F.expr("coalesce(sum(if(value is null, n, null)), 0) as nulls"),
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact distinct counts (with rows and nulls) where no value is shown.
+
+    Values that fit eight bytes are told apart by their xxhash64, which maps
+    eight bytes one to one; long texts by their SHA-256, so that documents are
+    not moved just to be told apart; all others by themselves.
+    """
+    require_columns(df, columns)
+    types = _types(df)
+    fixed, texts = {}, {}
+    for name in columns:
+        dtype, ref = types[name], ident(name)
+        if isinstance(dtype, _EIGHT_BYTES):
+            if isinstance(dtype, (T.FloatType, T.DoubleType)):
+                ref = f"cast({ref} as double) + 0.0d"
+            fixed[name] = f"if({ref} is null, null, xxhash64({ref}))"
+            continue
+        text = _counting_sql(name, dtype)
+        if not isinstance(dtype, T.DecimalType):
+            text = f"if(length({text}) > {_DIGEST_OVER}, sha2({text}, 256), {text})"
+        texts[name] = text
+    parts = [
+        count_summary(_unpivoted_counts(df, keys)) for keys in (fixed, texts) if keys
+    ]
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+
+
 def top_values(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     """(column_name, rank, value, count, is_null): commonest values first, ties
     by value. NULL is shown as '' and sorts as the word ``None``.
@@ -210,19 +237,16 @@ def top_values(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     The rank limit is applied inside every task before the shuffle, so a column
     of many values brings ``n`` rows per task to its ranking, not all of them.
     """
-    order = Window.partitionBy("column_name").orderBy(
-        F.desc("n"), F.coalesce("value", F.lit("None")), F.col("value").isNull()
-    )
     return (
-        counts.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= n)
-        .select(
+        counts.selectExpr(
             "column_name",
-            "rank",
-            F.coalesce("value", F.lit("")).alias("value"),
-            F.col("n").alias("count"),
-            F.col("value").isNull().alias("is_null"),
+            "row_number() over (partition by column_name order by n desc, "
+            "coalesce(value, 'None'), value is null) as rank",
+            "coalesce(value, '') as value",
+            "n as count",
+            "value is null as is_null",
         )
+        .where(f"rank <= {int(n)}")
     )
 
 
@@ -301,72 +325,59 @@ def table_profile(
     apart = [c for c in exact if c not in ranked]
     counted = {*ranked, *apart}
 
-    spine = light_profile(
+    out = light_profile(
         df, ranged, [c for c in nulls if c not in counted], sketched, rsd
     )
-    out = spine
-    # What is joined below has at most one row per column of the table.
-    summaries, tops = [], None
+    # What is joined has at most one row per column of the table.
+    summaries = []
     if ranked:
         counts = value_counts(df, ranked)
         summaries.append(count_summary(counts))
-        tops = (
-            top_values(counts, top_n)
-            .groupBy("column_name")
-            .agg(
-                F.array_sort(
-                    F.collect_list(F.struct("rank", "value", "count", "is_null"))
-                ).alias("ranks")
+        tops = top_values(counts, top_n).groupBy("column_name").agg(
+            F.expr(
+                "array_sort(collect_list(named_struct("
+                "'rank', rank, 'value', value, 'count', count, 'is_null', is_null))) "
+                "as ranks"
             )
         )
         out = out.join(F.broadcast(tops), "column_name", "left")
     else:
-        out = out.withColumn("ranks", F.lit(None).cast(_RANKS))
+        out = out.selectExpr("*", f"cast(null as {_RANKS}) as ranks")
     if apart:
-        summaries.append(count_summary(value_counts(df, apart, distinct_only=apart)))
+        summaries.append(distinct_counts(df, apart))
     if summaries:
         summary = summaries[0]
         for more in summaries[1:]:
             summary = summary.unionByName(more)
         out = out.join(F.broadcast(summary), "column_name", "left")
     else:
-        for name in ("distinct_count", "rows", "nulls"):
-            out = out.withColumn(name, F.lit(None).cast("bigint"))
+        out = out.selectExpr(
+            "*",
+            *[
+                f"cast(null as bigint) as {name}"
+                for name in ("distinct_count", "rows", "nulls")
+            ],
+        )
 
-    def among(names: Iterable[str]) -> Column:
-        return F.col("column_name").isin(list(names))
+    def among(names: Iterable[str]) -> str:
+        listing = ", ".join(literal(name) for name in names)
+        return f"column_name in ({listing})" if listing else "false"
 
-    shown = F.lit(True)
-    if gated:
-        shown = F.coalesce("distinct_count", F.lit(0)) <= max_distinct
-    return out.select(
+    shown = f"coalesce(distinct_count, 0) <= {max_distinct}" if gated else "true"
+    return out.selectExpr(
         "column_name",
         "ordinal",
         "native_type",
-        F.when(
-            among(nulls),
-            F.coalesce("null_ratio", F.col("nulls") / F.nullif("rows", F.lit(0))),
-        ).alias("null_ratio"),
-        F.when(among(sketched), F.col("approx_distinct"))
-        .when(among(exact), F.coalesce("distinct_count", F.lit(0)))
-        .alias("distinct_count"),
+        f"if({among(nulls)}, coalesce(null_ratio, nulls / nullif(rows, 0)), null) "
+        "as null_ratio",
+        f"case when {among(sketched)} then approx_distinct "
+        f"when {among(exact)} then coalesce(distinct_count, 0) end as distinct_count",
         "min_value",
         "max_value",
-        F.when(
-            among(ranked) & shown,
-            F.coalesce(
-                F.transform(
-                    "ranks",
-                    lambda item: F.struct(
-                        item["value"].alias("value"),
-                        item["count"].alias("count"),
-                        item["is_null"].alias("is_null"),
-                    ),
-                ),
-                F.array().cast(f"array<{TOP_VALUE}>"),
-            ),
-        ).alias("top_values"),
-        among(sketched).alias("approximate"),
+        f"if({among(ranked)} and {shown}, coalesce(transform(ranks, r -> "
+        "named_struct('value', r.value, 'count', r.count, 'is_null', r.is_null)), "
+        f"cast(array() as array<{TOP_VALUE}>)), null) as top_values",
+        f"{among(sketched)} as approximate",
     )
 
 
@@ -396,48 +407,41 @@ def as_mode_map(profile: DataFrame) -> DataFrame:
     A mode that was not gathered has no entry.
     """
 
-    def entry(mode: str, present: Column, **fields: Column) -> Column:
-        types = {
-            "distinct_count": "bigint",
-            "null_ratio": "double",
-            "top_values": f"array<{TOP_VALUE}>",
-            "min_value": "string",
-            "max_value": "string",
-            "approximate": "boolean",
-        }
-        fields = {"approximate": F.lit(False), **fields}
-        value = F.struct(
-            *[
-                fields.get(name, F.lit(None)).cast(kind).alias(name)
-                for name, kind in types.items()
-            ]
+    fields = {
+        "distinct_count": "bigint",
+        "null_ratio": "double",
+        "top_values": f"array<{TOP_VALUE}>",
+        "min_value": "string",
+        "max_value": "string",
+        "approximate": "boolean",
+    }
+
+    def entry(mode: str, *present: str) -> str:
+        approximate = "approximate" if mode == DISTINCT_COUNT else "false"
+        values = ", ".join(
+            f"{literal(name)}, cast("
+            + (
+                approximate
+                if name == "approximate"
+                else name if name in present else "null"
+            )
+            + f" as {kind})"
+            for name, kind in fields.items()
         )
-        return F.when(present, F.struct(F.lit(mode).alias("key"), value.alias("value")))
-
-    entries = F.array_compact(
-        F.array(
-            entry(
-                NULL_RATIO,
-                F.col("null_ratio").isNotNull(),
-                null_ratio=F.col("null_ratio"),
-            ),
-            entry(
-                MIN_MAX,
-                F.col("min_value").isNotNull() | F.col("max_value").isNotNull(),
-                min_value=F.col("min_value"),
-                max_value=F.col("max_value"),
-            ),
-            entry(
-                DISTINCT_COUNT,
-                F.col("distinct_count").isNotNull(),
-                distinct_count=F.col("distinct_count"),
-                approximate=F.col("approximate"),
-            ),
-            entry(
-                TOP_VALUES,
-                F.col("top_values").isNotNull(),
-                top_values=F.col("top_values"),
-            ),
+        gathered = " or ".join(f"{name} is not null" for name in present)
+        return (
+            f"if({gathered}, named_struct('key', {literal(mode)}, "
+            f"'value', named_struct({values})), null)"
         )
+
+    entries = ", ".join(
+        [
+            entry(NULL_RATIO, "null_ratio"),
+            entry(MIN_MAX, "min_value", "max_value"),
+            entry(DISTINCT_COUNT, "distinct_count"),
+            entry(TOP_VALUES, "top_values"),
+        ]
+    )
+    return profile.selectExpr(
+        "column_name", f"map_from_entries(array_compact(array({entries}))) as profile"
     )
-    return profile.select("column_name", F.map_from_entries(entries).alias("profile"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.functions.fixed import VALUE_PATTERNS
-from sondar.functions.masking import level_from_name, mask_text, value_matches
+from sondar.functions.masking import level_from_name, mask_text, value_regexes
 from sondar.functions.sql import ident, literal
 from sondar.functions.text import value_sql
 from sondar.model import (
@@ -61,13 +61,11 @@ def by_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             "select '' as column_name, '' as sensitivity where false"
         )
     aggregates = []
-    texts = _as_texts(df, columns)
     for index, name in enumerate(columns):
-        text = F.col(ident(name))
-        aggregates.append(F.count_if(text != "").alias(f"n{index}"))
+        aggregates.append(f"count_if({ident(name)} <> '') as n{index}")
         aggregates += [
-            F.count_if(hit).alias(f"m{index}_{which}")
-            for which, hit in enumerate(value_matches(text))
+            f"count_if({ident(name)} rlike {literal(pattern)}) as m{index}_{which}"
+            for which, pattern in enumerate(value_regexes())
         ]
     rows = ", ".join(
         f"named_struct('column_name', {literal(name)}, 'n', n{index}, 'hits', greatest("
@@ -77,14 +75,13 @@ def by_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
     # Every value pattern stands for the same level.
     return (
-        texts.agg(*aggregates)
+        _as_texts(df, columns)
+        .selectExpr(*aggregates)
         .selectExpr(f"inline(array({rows}))")
-        .select(
+        .selectExpr(
             "column_name",
-            F.when(
-                (F.col("n") >= _MIN_VALUES) & (2 * F.col("hits") > F.col("n")),
-                F.lit(PII),
-            ).alias("sensitivity"),
+            f"if(n >= {_MIN_VALUES} and 2 * hits > n, {literal(PII)}, null) "
+            "as sensitivity",
         )
     )
 

@@ -25,6 +25,7 @@ from sondar.operators import drift, inventory
 from sondar.operators.profile import as_mode_map, table_profile
 from sondar.operators.sensitivity import detect, record_detected
 from sondar.plans.store import CatalogStore
+from sondar.session import keep
 from sondar.sources.lake import declare_keys, schema_rows
 
 log = logging.getLogger("sondar.scan")
@@ -112,7 +113,7 @@ def scan_tables(
     covered: bool = True,
     counted: Iterable[str] = (),
     full_detection: bool = False,
-    parallel: int = 4,
+    parallel: int = 8,
     now: datetime | None = None,
 ) -> int:
     """Bring the inventory of one database up to date; returns the version.
@@ -162,8 +163,7 @@ def scan_tables(
     # Everything below builds on the comparison, so it is made once and kept
     # where a lost executor does not take it along.
     folder = f"{store.root}/work/run={job_id}"
-    compared.write.parquet(f"{folder}/compared")
-    compared = spark.read.schema(compared.schema).parquet(f"{folder}/compared")
+    compared = keep(compared, f"{folder}/compared")
 
     todo = [
         row.container_name

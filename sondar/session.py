@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -24,3 +24,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             "set spark.checkpoint.dir to a folder all executors share"
         )
     return tempfile.mkdtemp(prefix=f"sondar-{label}-")
+
+
+def keep(df: DataFrame, path: str) -> DataFrame:
+    """The frame written to ``path`` and read back.
+
+    What several results build on is then computed once and survives a lost
+    executor; ``path`` has to be on storage all executors share.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

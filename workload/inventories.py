@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.functions.types import modes_for_type_text
-from sondar.model import COLUMN_KEY, COLUMNS, CONTAINER_KEY, PROFILE, PROFILE_VALUE
+from sondar.model import (
+    COLUMN_KEY,
+    COLUMNS,
+    CONTAINER_KEY,
+    LISTED_COLUMNS,
+    PROFILE,
+    PROFILE_VALUE,
+)
 from sondar.operators import drift, inventory
+from sondar.operators.browse import recent_changes
 from sondar.operators.sensitivity import by_name, record_detected, with_recorded
+from sondar.session import keep, scratch_dir
 from workload import derived as d
 from workload import plain, registry
 
@@ -16,20 +27,63 @@ _AT = "timestamp '2024-06-01 00:00:00'"
 
 
 class Looks:
-    """Both looks at the catalog and the inventory after the first."""
+    """Both looks at the catalog and the inventory after the first.
+
+    As in a scan, what several steps read is a written table: the inventory
+    itself and the comparison with it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        def read(text: str) -> DataFrame:
-            return d.frame(spark, sf_dir, text)
-
-        self.columns = read(d.COLUMNS_NOW)
-        self.containers = drift.fingerprint(read(d.CONTAINERS_NOW), self.columns)
-        first = drift.fingerprint(read(d.CONTAINERS_THEN), read(d.COLUMNS_THEN))
-        self.stored = d.stored_containers(first)
-        self.stored_columns = read(d.COLUMNS_STORED).withColumn(
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._root = None
+
+    def _read(self, text: str) -> DataFrame:
+        return d.frame(self.spark, self.sf_dir, text)
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        self._root = self._root or scratch_dir(self.spark, "looks")
+        return keep(df, f"{self._root}/{name}")
+
+    @cached_property
+    def columns(self) -> DataFrame:
+        return self._read(d.COLUMNS_NOW)
+
+    @cached_property
+    def containers(self) -> DataFrame:
+        return drift.fingerprint(self._read(d.CONTAINERS_NOW), self.columns)
+
+    @cached_property
+    def listed(self) -> DataFrame:
+        return self._read(d.CONTAINERS_NOW)
+
+    @cached_property
+    def stored_columns(self) -> DataFrame:
+        return self._read(d.COLUMNS_STORED).withColumn(
             "profile", F.lit(None).cast(PROFILE)
         )
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        first = drift.fingerprint(self._read(d.CONTAINERS_THEN), self._read(d.COLUMNS_THEN))
+        return d.stored_containers(first)
+
+    def scanned(self) -> Looks:
+        """Keeps the inventory, the new listing and the comparison."""
+        self.stored_columns = self._keep(self.stored_columns, "stored_columns")
+        self.stored = self._keep(
+            d.stored_containers(
+                drift.fingerprint(
+                    self._read(d.CONTAINERS_THEN),
+                    self.stored_columns.select(*LISTED_COLUMNS),
+                )
+            ),
+            "stored",
+        )
+        self.columns = self._keep(self.columns, "columns")
+        self.kept = self._keep(self.compared(), "compared")
+        return self
+
     def compared(self, **options: bool) -> DataFrame:
         return drift.compare(self.containers, self.stored, **options)
 
@@ -128,8 +182,9 @@ _CHANGES_ALL = (
 
 
 def _changes(looks: Looks, covered: bool = True) -> DataFrame:
+    looks = looks.scanned()
     return drift.changes(
-        looks.compared(),
+        looks.kept,
         looks.columns,
         looks.stored,
         looks.stored_columns,
@@ -166,7 +221,7 @@ def schema_changes_partial_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.add("removed_containers", _REMOVED)
 def removed_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     looks = Looks(spark, sf_dir)
-    return drift.removed(looks.containers, looks.stored)
+    return drift.removed(looks.listed, looks.stored)
 
 
 @registry.add(
@@ -176,8 +231,6 @@ def removed_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest first; within one scan the ids decide, which rise with the key."""
-    from sondar.operators.browse import recent_changes
-
     changes = drift.with_ids(_changes(Looks(spark, sf_dir)), 0)
     return recent_changes(
         changes, database="1-URGENT", since="2024-06-01 00:00:00"
@@ -208,7 +261,8 @@ from ({d.STORED_CONTAINERS}) o full join ({d.COMPARED}) c
 
 
 def _upserted(looks: Looks) -> DataFrame:
-    return inventory.upsert_containers(looks.stored, looks.compared(), at()).select(
+    looks = looks.scanned()
+    return inventory.upsert_containers(looks.stored, looks.kept, at()).select(
         *CONTAINER_KEY,
         "container_type",
         "estimated_count",
@@ -232,9 +286,8 @@ def upsert_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def forget_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     looks = Looks(spark, sf_dir)
-    return inventory.forget(
-        _upserted(looks), drift.removed(looks.containers, looks.stored)
-    )
+    after = _upserted(looks)
+    return inventory.forget(after, drift.removed(looks.listed, looks.stored))
 
 
 _FIELDS = (
@@ -258,8 +311,9 @@ _SYNCED_NAMES = [*COLUMN_KEY, *_FIELDS.split(", "), *_KEPT.split(", ")]
 
 
 def _synced(looks: Looks) -> DataFrame:
+    looks = looks.scanned()
     return inventory.sync_columns(
-        looks.stored_columns, looks.columns, looks.compared(), at()
+        looks.stored_columns, looks.columns, looks.kept, at()
     )
 
 
