@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from sondar.operators.browse import recent_changes, summary
@@ -102,12 +103,22 @@ def test_recorded_levels_drive_masking(spark, tmp_path):
     assert sensitive_columns(data["users"], known) == {"email": "pii", "reach": "pii"}
 
 
-def test_scratch_follows_the_cluster_setting(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared")
-    try:
-        assert scratch_dir(spark, "x").startswith(f"{tmp_path}/shared/")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class Settings(dict):
+    """As much of a session as names its folders."""
+
+    master = "yarn"
+    conf = sparkContext = property(lambda self: self)
+
+    def getConf(self):
+        return self
+
+
+def test_scratch_follows_the_cluster_setting():
+    shared = Settings({"spark.checkpoint.dir": "hdfs://shared/"})
+    first, second = scratch_dir(shared, "x"), scratch_dir(shared, "x")
+    assert first.startswith("hdfs://shared/sondar/x-") and first != second
+    with pytest.raises(RuntimeError):
+        scratch_dir(Settings(), "x")
 
 
 def test_audit(spark, tmp_path):

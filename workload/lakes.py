@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.model import TOP_VALUES_MAX_DISTINCT
+from sondar.operators.profile import row_counts
 from sondar.plans.scan import scan_tables
 from sondar.plans.store import CatalogStore
 from sondar.session import scratch_dir
@@ -48,11 +49,22 @@ def lake_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.add(
     "lake_files",
-    union([f"select '{t}' as container_name, 'parquet' as format" for t in TABLES]),
+    union(
+        [
+            f"select '{t}' as container_name, count(*) as estimated_count from {t}"
+            for t in TABLES
+        ]
+    ),
 )
 def lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given folder: every data file in it is a dataset."""
-    return lake.discover_flat(spark, sf_dir).select("container_name", "format")
+    """Every data file of the given folder is a dataset; found, then counted."""
+    found = lake.discover_flat(spark, sf_dir).collect()
+    return row_counts(
+        {
+            row.container_name: spark.read.format(row.format).load(row.first_file)
+            for row in found
+        }
+    )
 
 
 _KEPT = "event_id, user_id, value, event_type"
