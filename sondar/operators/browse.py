@@ -173,45 +173,41 @@ def column_page(
 
 
 def name_candidates(requested: DataFrame, containers: DataFrame) -> DataFrame:
-    """(container, candidate): the catalog's names each requested one may mean.
+    """(container, candidate, exact): the catalog's names each requested one may
+    mean, NULL where there is none.
 
-    A name the catalog holds means itself; a bare one also any qualified name
-    that ends in it.
+    A name the catalog holds means itself (``exact``); a bare one may be the
+    last part of qualified names.
     """
-    wanted = requested.select("container").distinct()
-    known = containers.select("container_name").distinct()
-    exact = wanted.join(
-        known, wanted["container"] == known["container_name"]
-    ).select("container", F.col("container_name").alias("candidate"))
-    qualified = known.select(
-        F.col("container_name").alias("candidate"),
-        F.substring_index("container_name", ".", -1).alias("container"),
+    known = containers.select(F.col("container_name").alias("candidate")).distinct()
+    names = known.selectExpr(
+        "candidate",
+        "inline(if(contains(candidate, '.'), "
+        "array(named_struct('name', candidate, 'exact', true), "
+        "named_struct('name', substring_index(candidate, '.', -1), 'exact', false)), "
+        "array(named_struct('name', candidate, 'exact', true))))",
     )
-    bare = wanted.where(~F.col("container").contains(".")).join(
-        exact, "container", "left_anti"
+    wanted = requested.select("container").distinct()
+    return wanted.join(names, wanted["container"] == names["name"], "left").select(
+        "container", "candidate", "exact"
     )
-    return exact.unionByName(bare.join(qualified, "container").select(*exact.columns))
 
 
 def resolve_names(requested: DataFrame, containers: DataFrame) -> DataFrame:
     """(container, resolved, matches) for every requested name; ``resolved`` is
     NULL where the catalog has no such name or several."""
-    found = (
+    return (
         name_candidates(requested, containers)
         .groupBy("container")
         .agg(
-            F.count(F.lit(1)).alias("matches"),
+            F.coalesce(F.max("exact"), F.lit(False)).alias("exact"),
+            F.count("candidate").alias("found"),
             F.min("candidate").alias("candidate"),
         )
-    )
-    return (
-        requested.select("container")
-        .distinct()
-        .join(found, "container", "left")
-        .select(
+        .selectExpr(
             "container",
-            F.when(F.col("matches") == 1, F.col("candidate")).alias("resolved"),
-            F.coalesce("matches", F.lit(0)).alias("matches"),
+            "if(exact, container, if(found = 1, candidate, null)) as resolved",
+            "if(exact, 1L, found) as matches",
         )
     )
 

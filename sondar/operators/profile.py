@@ -46,9 +46,10 @@ _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 _PROBE_ROWS = 1024
 
 # Where only the number of distinct values is wanted, a longer text is counted
-# by its SHA-256. Below the digest's 64 characters, so that no text left as it
-# is can look like a digest.
-_DIGEST_OVER = 48
+# by its start and its SHA-256. Such a key has one character more than any text
+# left as it is, so the two cannot be mistaken for each other.
+_DIGEST_OVER = 256
+_START = _DIGEST_OVER + 1 - 64
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
@@ -207,7 +208,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact distinct counts (with rows and nulls) where no value is shown.
 
     Values that fit eight bytes are told apart by their xxhash64, which maps
-    eight bytes one to one; long texts by their SHA-256, so that documents are
+    eight bytes one to one; long texts by a digest, so that documents are
     not moved just to be told apart; all others by themselves.
     """
     require_columns(df, columns)
@@ -222,7 +223,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             continue
         text = _counting_sql(name, dtype)
         if not isinstance(dtype, T.DecimalType):
-            text = f"if(length({text}) > {_DIGEST_OVER}, sha2({text}, 256), {text})"
+            digest = f"concat(left({text}, {_START}), sha2({text}, 256))"
+            text = f"if(length({text}) > {_DIGEST_OVER}, {digest}, {text})"
         texts[name] = text
     parts = [
         count_summary(_unpivoted_counts(df, keys)) for keys in (fixed, texts) if keys

@@ -101,7 +101,7 @@ def test_gate_holds_when_the_first_rows_are_alike(spark):
 
 def test_long_values_are_told_apart_exactly(spark):
     df = spark.range(3000).select(
-        F.concat(F.repeat(F.lit("x"), 100), (F.col("id") % 1500).cast("string")).alias("v")
+        F.concat(F.repeat(F.lit("x"), 254), (F.col("id") % 1500).cast("string")).alias("v")
     )
     row(p.table_profile(df), distinct_count=1500, null_ratio=0.0, top_values=None)
 
