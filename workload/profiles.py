@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondar.functions.text import value_text
+from sondar.functions.text import json_ready, value_text
 from sondar.operators.profile import (
     light_profile,
     profile_column,
@@ -334,3 +334,28 @@ def value_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         *[value_text(f.name, f.dataType).alias(f.name) for f in df.schema.fields]
     )
+
+
+@registry.add(
+    "json_ready",
+    f"""
+select event_id, user_id, event_type, value, {clock('ts')} as ts, strftime(ts, '%Y-%m-%d') as day,
+       to_base64(encode(props)) as raw, (value::decimal(12,2))::varchar as amount,
+       '{{"at":"' || {clock('ts')} || '","days":["' || strftime(ts, '%Y-%m-%d') || '"]}}' as nested
+from events
+""",
+)
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row in a shape JSON can carry; the nested value is shown as text."""
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        "ts",
+        "cast(ts as date) as day",
+        "cast(props as binary) as raw",
+        "cast(value as decimal(12,2)) as amount",
+        "named_struct('at', ts, 'days', array(cast(ts as date))) as nested",
+    )
+    return json_ready(rows).withColumn("nested", F.to_json("nested"))
