@@ -53,19 +53,21 @@ select o_orderpriority as database, lower(o_orderstatus) as schema_name,
             else 'note' end as column_name,
        l_linenumber as ordinal,
        @TYPE as native_type,
-       status = 'O' as nullable, l_linenumber = 1 as is_pk, l_linenumber = 5 as is_fk,
-       case when flag = 'R' then concat('line ', l_linenumber, ' | returned') end
+       status = 2 as nullable, l_linenumber = 1 as is_pk, l_linenumber = 5 as is_fk,
+       case when flag = 3 then concat('line ', l_linenumber, ' | returned') end
          as native_description,
        case when l_linenumber = 5 then concat('part_', part) end as references_container,
        case when l_linenumber = 5 and part > 100 then 'id' end as references_column
-from (select l_orderkey, l_linenumber, min(l_returnflag) as flag, min(l_linestatus) as status,
+from (select l_orderkey, l_linenumber,
+             min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as flag,
+             min(case l_linestatus when 'F' then 1 else 2 end) as status,
              max(l_partkey) as part, sum(l_quantity) as quantity,
              max(l_discount) as discount, max(l_tax) as tax
       from {lineitem} group by l_orderkey, l_linenumber) l
 join (select * from {orders} where @ORDERS) o on o_orderkey = l_orderkey
 where @WHERE
 """
-_TYPE = "case flag when 'A' then 'bigint' when 'N' then 'varchar(20)' else 'timestamp' end"
+_TYPE = "case flag when 1 then 'bigint' when 2 then 'varchar(20)' else 'timestamp' end"
 
 COLUMNS_THEN = (
     _COLUMNS.replace("@TYPE", _TYPE)

@@ -17,7 +17,9 @@ _COLUMNS = ", ".join(LISTED_COLUMNS)
 
 # One row per (order, line number), as a column of that order's relation.
 _LINES = """
-select l_orderkey, l_linenumber, min(l_returnflag) as flag, min(l_linestatus) as status,
+select l_orderkey, l_linenumber,
+       min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as flag,
+       min(case l_linestatus when 'F' then 1 else 2 end) as status,
        max(l_partkey) as part, max(l_suppkey) as supplier, count(*) as n
 from {lineitem} group by l_orderkey, l_linenumber
 """
@@ -39,16 +41,16 @@ from {orders} join {customer} on c_custkey = o_custkey
 """
 _PG_ATTRIBUTE = f"""
 select l_orderkey as attrelid, concat('col_', l_linenumber) as attname, l_linenumber - 1 as attnum,
-       case flag when 'A' then 'integer' when 'N' then 'character varying(20)' else 'timestamp with time zone' end
+       case flag when 1 then 'integer' when 2 then 'character varying(20)' else 'timestamp with time zone' end
          as native_type,
-       status = 'F' as attnotnull, l_linenumber = 3 and flag = 'A' as attisdropped
+       status = 1 as attnotnull, l_linenumber = 3 and flag = 1 as attisdropped
 from ({_LINES}) l
 """
 _PG_DESCRIPTION = f"""
 select o_orderkey as objoid, 1259 as classoid, 0 as objsubid, concat('placed by ', o_custkey) as description
 from {{orders}} where o_totalprice >= 300000
 union all
-select l_orderkey, 1259, l_linenumber - 1, concat('line ', l_linenumber) from ({_LINES}) l where flag = 'R'
+select l_orderkey, 1259, l_linenumber - 1, concat('line ', l_linenumber) from ({_LINES}) l where flag = 3
 union all
 select o_orderkey, 2615, 0, 'of something else' from {{orders}}
 """
@@ -196,8 +198,8 @@ from {{orders}}
 _MY_COLUMNS = f"""
 select {_SCHEMA_OF} as TABLE_SCHEMA, concat('t_', l_orderkey) as TABLE_NAME,
        concat('c_', l_linenumber) as COLUMN_NAME, l_linenumber as ORDINAL_POSITION,
-       case flag when 'A' then 'int unsigned' when 'N' then 'varchar(50)' else 'enum(''a'')' end as COLUMN_TYPE,
-       case status when 'O' then 'YES' else 'NO' end as IS_NULLABLE,
+       case flag when 1 then 'int unsigned' when 2 then 'varchar(50)' else 'enum(''a'')' end as COLUMN_TYPE,
+       case status when 2 then 'YES' else 'NO' end as IS_NULLABLE,
        case l_linenumber when 1 then 'PRI' when 2 then 'MUL' else '' end as COLUMN_KEY,
        case when part > 500 then concat('part ', part) else '' end as COLUMN_COMMENT
 from ({_LINES}) l join {{orders}} on o_orderkey = l_orderkey
@@ -271,11 +273,11 @@ from {orders} join {customer} on c_custkey = o_custkey
     "sys_schemas": "select n_nationkey as schema_id, lower(n_name) as name from {nation}",
     "sys_columns": f"""
 select l_orderkey as object_id, concat('col_', l_linenumber) as name, l_linenumber as column_id,
-       case flag when 'A' then 1 when 'N' then case status when 'O' then 2 else 3 end
-            else case status when 'O' then 4 else 5 end end as user_type_id,
+       case flag when 1 then 1 when 2 then case status when 2 then 2 else 3 end
+            else case status when 2 then 4 else 5 end end as user_type_id,
        case when supplier < 20 then -1 else 2 * supplier end as max_length,
        l_linenumber + 10 as precision, l_linenumber as scale,
-       case status when 'O' then 1 else 0 end as is_nullable
+       case status when 2 then 1 else 0 end as is_nullable
 from ({_LINES}) l
 """,
     "sys_types": """
@@ -287,7 +289,7 @@ select 1 as class, o_orderkey as major_id, 0 as minor_id, 'MS_Description' as na
        case when o_totalprice < 200000 then '' else concat('sold to ', o_custkey) end as value
 from {{orders}} where o_orderstatus <> 'P'
 union all
-select 1, l_orderkey, l_linenumber, case flag when 'R' then 'MS_Description' else 'Other' end,
+select 1, l_orderkey, l_linenumber, case flag when 3 then 'MS_Description' else 'Other' end,
        concat('line ', l_linenumber) from ({_LINES}) l
 """,
     "partition_stats": """
