@@ -73,14 +73,27 @@ def infer_schema(
     )
 
 
-# How a field of one type is read for its statistics.
+def _get(kind: str, *paths: str) -> str:
+    """SQL that reads ``{0}`` as ``kind`` from the first path that has it."""
+    return ", ".join(
+        f"try_variant_get({{0}}, {literal(path)}, {literal(kind)})" for path in paths
+    )
+
+
+# How a field of one type is read for its statistics; typed values may come as
+# plain JSON or as single-key objects.
 _READ_AS = {
-    "int": ("bigint", "$"),
-    "long": ("bigint", "$"),
-    "double": ("double", "$"),
-    "decimal": ("decimal(38,18)", "$.$numberDecimal"),
-    "bool": ("boolean", "$"),
-    "string": ("string", "$"),
+    "int": f"coalesce({_get('bigint', '$', '$["$numberInt"]')})",
+    "long": f"coalesce({_get('bigint', '$', '$["$numberLong"]')})",
+    "double": f"coalesce({_get('double', '$', '$["$numberDouble"]')})",
+    "decimal": _get("decimal(38,18)", '$["$numberDecimal"]'),
+    "bool": _get("boolean", "$"),
+    "string": _get("string", "$"),
+    "date": (
+        f"coalesce({_get('timestamp', '$["$date"]')}, "
+        f"timestamp_millis({_get('bigint', '$["$date"]["$numberLong"]')}))"
+    ),
+    "timestamp": f"timestamp_seconds({_get('bigint', '$["$timestamp"]["t"]')})",
 }
 
 
@@ -98,11 +111,8 @@ def flatten(df: DataFrame, document: str, fields: dict[str, str]) -> DataFrame:
     ).select(*[F.col(f"d.{ident(name)}").alias(alias) for alias, name in names.items()])
     out = []
     for alias, name in names.items():
-        kind, path = _READ_AS.get(fields[name], (None, None))
-        if kind:
-            text = f"try_variant_get({alias}, {literal(path)}, {literal(kind)})"
-        else:
-            text = f"if({alias} is null or is_variant_null({alias}), null, true)"
+        present = f"if({alias} is null or is_variant_null({alias}), null, true)"
+        text = _READ_AS.get(fields[name], present).replace("{0}", alias)
         out.append(f"{text} as {ident(name)}")
     return parsed.selectExpr(*out)
 
@@ -132,6 +142,14 @@ def document_profile(
     kinds = ", ".join(
         f"{literal(name)}, {literal(kind)}" for name, kind in fields.items()
     )
-    return profile.withColumn(
-        "native_type", F.expr(f"element_at(map({kinds}), column_name)")
+    # Decimals are compared at full scale and shown without the padding.
+    plain = {
+        name: F.when(
+            F.expr(f"element_at(map({kinds}), column_name) = 'decimal'"),
+            F.regexp_replace(name, r"\.?0+$", ""),
+        ).otherwise(F.col(name))
+        for name in ("min_value", "max_value")
+    }
+    return profile.withColumns(
+        {**plain, "native_type": F.expr(f"element_at(map({kinds}), column_name)")}
     )

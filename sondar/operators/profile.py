@@ -37,9 +37,6 @@ from sondar.model import (
     UnknownColumn,
 )
 
-# Types whose values cannot be ordered by min/max.
-_UNORDERED = (T.MapType, T.VariantType, T.BinaryType)
-
 _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 
 # Rows looked at to find columns that certainly have many distinct values.
@@ -58,6 +55,15 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise UnknownColumn(", ".join(missing))
 
 
+def _has_range(dtype: T.DataType) -> bool:
+    """Whether min and max apply; a map, inside another type too, has no order."""
+    if isinstance(dtype, T.ArrayType):
+        return _has_range(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_has_range(field.dataType) for field in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType, T.BinaryType))
+
+
 def _types(df: DataFrame) -> dict[str, T.DataType]:
     return {field.name: field.dataType for field in df.schema.fields}
 
@@ -122,7 +128,7 @@ def light_profile(
         if name in counted:
             aggregates.append(f"count({ref}) as n{index}")
             ratio = f"(rows - n{index}) / nullif(rows, 0)"
-        if name in ranged and not isinstance(dtype, _UNORDERED):
+        if name in ranged and _has_range(dtype):
             aggregates += [f"min({ref}) as lo{index}", f"max({ref}) as hi{index}"]
             if isinstance(dtype, (T.FloatType, T.DoubleType)):
                 # Adding zero turns -0.0 into 0.0, whichever of them was met.

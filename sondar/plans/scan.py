@@ -144,7 +144,8 @@ def scan_tables(
             opened[name] = frame
         except Exception as error:  # noqa: BLE001 - per-table isolation
             log.warning("cannot read %s: %s", name, error)
-            errors[name] = f"{type(error).__name__}: {str(error).splitlines()[0]}"
+            reason = str(error).partition("\n")[0]
+            errors[name] = f"{type(error).__name__}: {reason}"
 
     listed = spark.createDataFrame(
         [

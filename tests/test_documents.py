@@ -100,6 +100,27 @@ def test_profile(spark):
     assert found["o"].null_ratio == 0.75
 
 
+def test_typed_values(spark):
+    frame = docs(
+        spark,
+        '{"d":{"$date":"2024-01-02T03:04:05Z"},"t":{"$timestamp":{"t":1704164645,"i":1}},'
+        '"n":{"$numberDecimal":"10.5"},"l":{"$numberLong":"5"},"b":true}',
+        '{"d":{"$date":{"$numberLong":"1704164646500"}},"t":{"$timestamp":{"t":1704164646,"i":1}},'
+        '"n":{"$numberDecimal":"9.25"},"l":{"$numberLong":"40"},"b":null}',
+    )
+    inferred = d.infer_schema(frame, "doc", order_by=["n"])
+    found = {r.column_name: r for r in d.document_profile(frame, "doc", inferred).collect()}
+    assert {n: r.native_type for n, r in found.items()} == {
+        "d": "date", "t": "timestamp", "n": "decimal", "l": "long", "b": "bool",
+    }
+    ranges = {n: (r.min_value, r.max_value) for n, r in found.items()}
+    assert ranges["d"] == ("2024-01-02T03:04:05+00:00", "2024-01-02T03:04:06.500000+00:00")
+    assert ranges["t"] == ("2024-01-02T03:04:05+00:00", "2024-01-02T03:04:06+00:00")
+    assert ranges["l"] == ("5", "40")
+    assert ranges["n"] == ("9.25", "10.5")
+    assert found["b"].null_ratio == 0.5 and found["b"].distinct_count == 1
+
+
 def test_malformed_documents_fail(spark):
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         schema(docs(spark, "not json"))

@@ -130,6 +130,30 @@ def test_zero_and_minus_zero_are_one_value(spark):
     row(p.profile_column(df, "v", "distinct_count"), distinct_count=1)
 
 
+def test_every_type_takes_every_mode(spark):
+    df = spark.sql(
+        "select date '2024-01-02' as d, timestamp_ntz '2024-01-02 03:04:05.5' as t, "
+        "timestamp '2024-01-02 03:04:05' as z, 1.20bd as n, cast(1.5 as float) as f, "
+        "true as b, x'726177' as y, array(1, 2) as a, map('k', 1) as m, "
+        "named_struct('k', map('x', 1)) as s, parse_json('[1]') as v, interval '1' day as i, "
+        "null as u, 'x' as c, 7 as l"
+    )
+    df = df.unionAll(df.selectExpr(*[f"null as {c}" for c in df.columns]))
+    found = {r.column_name: r for r in p.table_profile(df, list(p.ALL_MODES)).collect()}
+    shown = {name: r.top_values[0].value or r.top_values[1].value for name, r in found.items() if name != "u"}
+    assert {k: shown[k] for k in "dtznfbyamsvcl"} == {
+        "d": "2024-01-02", "t": "2024-01-02T03:04:05.500000", "z": "2024-01-02T03:04:05+00:00",
+        "n": "1.20", "f": "1.5", "b": "True", "y": "cmF3", "a": "[1,2]", "m": '{"k":1}',
+        "s": '{"k":{"x":1}}', "v": "[1]", "c": "x", "l": "7",
+    }
+    for name, r in found.items():
+        assert r.null_ratio == (1.0 if name == "u" else 0.5), name
+        assert r.distinct_count == (0 if name == "u" else 1), name
+        assert (r.min_value is None) == (name in "ymsvu"), name
+    exact = {r.column_name: r.distinct_count for r in p.distinct_counts(df, df.columns).collect()}
+    assert exact == {name: r.distinct_count for name, r in found.items()}
+
+
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, "x")], "`a.b` int, `it's `` \\\\ odd` string")
     names = [r.column_name for r in p.table_profile(df).orderBy("ordinal").collect()]
