@@ -36,7 +36,7 @@ from sondar.llm.common import quoted, slices, staged
 MIN_LEN = 200
 ANCHOR = 48
 SHARD_BYTES = 1 << 20
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x2545F4914F6CDD1D
