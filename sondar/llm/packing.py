@@ -23,7 +23,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +31,8 @@ from pyspark.sql import types as T
 from sondar.llm.common import quoted, slices
 
 WINDOW = 512
-#: Pre-tokens remembered by a Python worker; any number may pass through.
-REMEMBERED = 400_000
-# Fixed value: the pre-token pattern that byte-level BPE files apply by default.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Parts of texts remembered by a Python worker; any number may pass through.
+REMEMBERED = 1_000_000
 # Characters on whose classes every Unicode version agrees.
 _UNUSUAL = re.compile("[^\\t\\n\\x20-\\x7e\\xa1-\\xac\\xae-\\u024f\\u2013\\u2014\\u2018-\\u201e\\u2022\\u2026\\u20ac]")
 
@@ -174,15 +171,15 @@ def packed(pieces: Iterable[Piece], limits: Limits = Limits(), window: int = WIN
         yield from _finished(sequence, limits)
 
 
-_remembered: dict[str, dict[str, bytes]] = {}
+_remembered: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
 def text_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Ids of texts by the tokenizer file at ``path``, without special tokens.
 
-    A byte-level file encodes each pre-token by itself, so a worker asks for the
-    ids of each different pre-token once.  Texts with unusual characters, and
-    other kinds of files, are encoded whole.
+    The pre-tokens of a byte-level file never run from a visible character into a
+    space, so such a text is cut there and a worker asks for the ids of each different
+    part once.  Texts with unusual characters, and other kinds of files, are encoded whole.
     """
     # Spark runs the tasks of an executor side by side; threads inside would be in the way.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -193,30 +190,52 @@ def text_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     with open(path, encoding="utf-8") as file:
         form = json.load(file)
     before = form.get("pre_tokenizer") or {}
-    by_word = (
+    by_part = (
         form.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
         and not before.get("add_prefix_space", True)
     )
-    find = regex.compile(PRE_TOKEN).findall
-    known = _remembered.setdefault(path, {})
+    starts, spaced = _remembered.setdefault(path, ({}, {}))
+    line_end = tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def direct(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def direct(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        if not by_word:
-            return direct(texts)
-        usual = [not _UNUSUAL.search(text) for text in texts]
-        words = [find(text) if plain else () for text, plain in zip(texts, usual)]
-        different = set().union(*words)
-        if len(known) + len(different) > REMEMBERED:
+    ends = dict(zip(",.", direct([",", "."])))
+
+    def learn(known: dict[str, bytes], parts: set[str], prefix: str) -> None:
+        if len(known) + len(parts) > REMEMBERED:
             known.clear()
-        new = [w for w in different if w not in known]
-        known.update((w, i.tobytes()) for w, i in zip(new, direct(new)))
-        look = known.__getitem__
+        new = [p for p in parts if p not in known]
+        if prefix and len(line_end) == 1:
+            # A comma or full stop after a letter is a token of its own.
+            ended = [p for p in new if len(p) > 1 and p[-1] in ",." and p[-2].isalpha()]
+            new = list({p[:-1] for p in ended if p[:-1] not in known}.union(new).difference(ended))
+            # Parts without white space are encoded in one text; a line end before a space is a
+            # token of its own, so it tells them apart.
+            plain = [p for p in new if p and "\n" not in p and "\t" not in p]
+            groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+            for group, raw in zip(groups, direct(["\n".join([prefix + p for p in group]) for group in groups])):
+                marks = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == line_end[0])
+                if len(marks) == len(group) - 1:
+                    cuts = [-1, *marks.tolist(), len(raw) // 4]
+                    known.update((p, raw[4 * a + 4 : 4 * b]) for p, a, b in zip(group, cuts, cuts[1:]))
+            new = [p for p in new if p not in known]
+        known.update(zip(new, direct([prefix + p for p in new])))
+        if prefix and len(line_end) == 1:
+            known.update((p, known[p[:-1]] + ends[p[-1]]) for p in ended)
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        whole = [
+            not by_part or "  " in t or "\n " in t or "\t " in t or _UNUSUAL.search(t) is not None for t in texts
+        ]
+        split = [() if w else t.split(" ") for t, w in zip(texts, whole)]
+        learn(starts, {s[0] for s in split if s}, "")
+        rest = [s[1:] for s in split]
+        learn(spaced, set().union(*rest), " ")
+        look = spaced.__getitem__
         return [
-            np.frombuffer(b"".join(map(look, found)), dtype="<u4") if plain else direct([text])[0]
-            for text, found, plain in zip(texts, words, usual)
+            np.frombuffer(direct([t])[0] if w else starts[s[0]] + b"".join(map(look, r)), dtype="<u4")
+            for t, w, s, r in zip(texts, whole, split, rest)
         ]
 
     return encode
