@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 from sondar.llm.common import quoted, slices
 
 WINDOW = 512
-#: Parts of texts remembered by a Python worker; any number may pass through.
-REMEMBERED = 1_000_000
+#: Bytes of text whose different parts are encoded together, and parts remembered by a
+#: Python worker; any number may pass through.
+TOGETHER, REMEMBERED = 32 << 20, 1_200_000
 # Characters on whose classes every Unicode version agrees.
 _UNUSUAL = re.compile("[^\\t\\n\\x20-\\x7e\\xa1-\\xac\\xae-\\u024f\\u2013\\u2014\\u2018-\\u201e\\u2022\\u2026\\u20ac]")
 
@@ -171,15 +173,15 @@ def packed(pieces: Iterable[Piece], limits: Limits = Limits(), window: int = WIN
         yield from _finished(sequence, limits)
 
 
-_remembered: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+_remembered: dict[str, dict[str, bytes]] = {}
 
 
-def text_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
+def text_encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """Ids of texts by the tokenizer file at ``path``, without special tokens.
 
     The pre-tokens of a byte-level file never run from a visible character into a
-    space, so such a text is cut there and a worker asks for the ids of each different
-    part once.  Texts with unusual characters, and other kinds of files, are encoded whole.
+    space, so a batch of such texts is cut there and each different part is encoded
+    once, and remembered by the Python worker.  Texts with unusual characters, and other kinds of files, are encoded whole.
     """
     # Spark runs the tasks of an executor side by side; threads inside would be in the way.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -194,49 +196,65 @@ def text_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
         form.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
         and not before.get("add_prefix_space", True)
     )
-    starts, spaced = _remembered.setdefault(path, ({}, {}))
     line_end = tokenizer.encode("\n", add_special_tokens=False).ids
+    by_part = by_part and len(line_end) == 1
 
     def direct(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     ends = dict(zip(",.", direct([",", "."])))
-
-    def learn(known: dict[str, bytes], parts: set[str], prefix: str) -> None:
-        if len(known) + len(parts) > REMEMBERED:
+    known = _remembered.setdefault(path, {})
+
+    def after_space(parts: list[str]) -> list[bytes]:
+        """The ids of each part with a space before it."""
+        # A comma or full stop after a letter is a token of its own.
+        ended = [len(p) > 1 and p[-1] in ",." and p[-2].isalpha() for p in parts]
+        wanted = dict.fromkeys([p[:-1] if e else p for p, e in zip(parts, ended)])
+        new = [p for p in wanted if p not in known]
+        if len(known) + len(new) > REMEMBERED:
             known.clear()
-        new = [p for p in parts if p not in known]
-        if prefix and len(line_end) == 1:
-            # A comma or full stop after a letter is a token of its own.
-            ended = [p for p in new if len(p) > 1 and p[-1] in ",." and p[-2].isalpha()]
-            new = list({p[:-1] for p in ended if p[:-1] not in known}.union(new).difference(ended))
-            # Parts without white space are encoded in one text; a line end before a space is a
-            # token of its own, so it tells them apart.
-            plain = [p for p in new if p and "\n" not in p and "\t" not in p]
-            groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-            for group, raw in zip(groups, direct(["\n".join([prefix + p for p in group]) for group in groups])):
-                marks = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == line_end[0])
-                if len(marks) == len(group) - 1:
-                    cuts = [-1, *marks.tolist(), len(raw) // 4]
-                    known.update((p, raw[4 * a + 4 : 4 * b]) for p, a, b in zip(group, cuts, cuts[1:]))
-            new = [p for p in new if p not in known]
-        known.update(zip(new, direct([prefix + p for p in new])))
-        if prefix and len(line_end) == 1:
-            known.update((p, known[p[:-1]] + ends[p[-1]]) for p in ended)
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        whole = [
-            not by_part or "  " in t or "\n " in t or "\t " in t or _UNUSUAL.search(t) is not None for t in texts
-        ]
-        split = [() if w else t.split(" ") for t, w in zip(texts, whole)]
-        learn(starts, {s[0] for s in split if s}, "")
-        rest = [s[1:] for s in split]
-        learn(spaced, set().union(*rest), " ")
-        look = spaced.__getitem__
-        return [
-            np.frombuffer(direct([t])[0] if w else starts[s[0]] + b"".join(map(look, r)), dtype="<u4")
-            for t, w, s, r in zip(texts, whole, split, rest)
-        ]
+            new = list(wanted)
+        # Parts without white space are encoded many in one text; a line end before a
+        # space is a token of its own, so it tells them apart.
+        plain = [p for p in new if p and "\n" not in p and "\t" not in p]
+        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        for group, raw in zip(groups, direct(["\n".join([" " + p for p in g]) for g in groups])):
+            marks = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == line_end[0])
+            if len(marks) == len(group) - 1:
+                cuts = [-1, *marks.tolist(), len(raw) // 4]
+                known.update((p, raw[4 * a + 4 : 4 * b]) for p, a, b in zip(group, cuts, cuts[1:]))
+        new = [p for p in new if p not in known]
+        known.update(zip(new, direct([" " + p for p in new])))
+        return [known[p[:-1]] + ends[p[-1]] if e else known[p] for p, e in zip(parts, ended)]
+
+    def by_parts(texts: pa.Array) -> Iterator[np.ndarray]:
+        cut = pc.split_pattern(texts, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        which = coded.indices.to_numpy().astype(np.int64)
+        # A text's first part has no space before it.
+        start = coded.dictionary.take(pa.array(which[bounds[:-1] - bounds[0]])).to_pylist()
+        different = list(dict.fromkeys(start))
+        place = {p: i for i, p in enumerate(different, len(coded.dictionary))}
+        which[bounds[:-1] - bounds[0]] = [place[p] for p in start]
+        ids = after_space(coded.dictionary.to_pylist()) + direct(different)
+        length = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        begin = np.cumsum(length) - length
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        del ids, coded, cut
+        for a, b in zip(bounds - bounds[0], bounds[1:] - bounds[0]):
+            of = which[a:b]
+            size = length[of]
+            yield flat[np.repeat(begin[of] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+
+    def encode(texts: pa.Array) -> Iterator[np.ndarray]:
+        words = texts.fill_null("")
+        whole = np.array([
+            not by_part or "  " in t or "\n " in t or "\t " in t or _UNUSUAL.search(t) is not None for t in words.to_pylist()
+        ], dtype=bool)
+        parts = by_parts(words.filter(pa.array(~whole))) if not whole.all() else iter(())
+        for text, alone in zip(words, whole):
+            yield np.frombuffer(direct([text.as_py()])[0], dtype="<u4") if alone else next(parts)
 
     return encode
 
@@ -271,9 +289,8 @@ def pack_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
             number = 0
             for batch in batches:
                 id_type[:] = [batch.schema.field("i").type]
-                for part in slices(batch, "t", 1 << 21):
-                    texts = [t or "" for t in part.column("t").to_pylist()]
-                    rows = zip(part.column("i").to_pylist(), encode(texts), part.column("p").to_pylist())
+                for part in slices(batch, "t", TOGETHER):
+                    rows = zip(part.column("i").to_pylist(), encode(part.column("t")), part.column("p").to_pylist())
                     for name, found, free in rows:
                         if end_id is not None:
                             found = np.append(found, np.uint32(end_id)).astype("<u4")
