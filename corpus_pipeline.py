@@ -51,7 +51,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' ids as pieces of sequences of 2048."""
     ship(spark)
-    return packing.pack_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+    # Workers are shared with the other stages, so little is remembered here.
+    return packing.pack_texts(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), ids=False, together=8 << 20, remembered=200_000)
 
 
 STAGES = [

@@ -176,7 +176,7 @@ def packed(pieces: Iterable[Piece], limits: Limits = Limits(), window: int = WIN
 _remembered: dict[str, dict[str, bytes]] = {}
 
 
-def text_encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+def text_encoder(path: str, remembered: int = REMEMBERED) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """Ids of texts by the tokenizer file at ``path``, without special tokens.
 
     The pre-tokens of a byte-level file never run from a visible character into a
@@ -211,7 +211,7 @@ def text_encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
         ended = [len(p) > 1 and p[-1] in ",." and p[-2].isalpha() for p in parts]
         wanted = dict.fromkeys([p[:-1] if e else p for p, e in zip(parts, ended)])
         new = [p for p in wanted if p not in known]
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) + len(new) > remembered:
             known.clear()
             new = list(wanted)
         # Parts without white space are encoded many in one text; a line end before a
@@ -245,7 +245,7 @@ def text_encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
         for a, b in zip(bounds - bounds[0], bounds[1:] - bounds[0]):
             of = which[a:b]
             size = length[of]
-            yield flat[np.repeat(begin[of] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            yield flat.take(np.repeat(begin[of] - (np.cumsum(size) - size), size) + np.arange(size.sum()))
 
     def encode(texts: pa.Array) -> Iterator[np.ndarray]:
         words = texts.fill_null("")
@@ -253,14 +253,15 @@ def text_encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
             not by_part or "  " in t or "\n " in t or "\t " in t or _UNUSUAL.search(t) is not None for t in words.to_pylist()
         ], dtype=bool)
         parts = by_parts(words.filter(pa.array(~whole))) if not whole.all() else iter(())
-        for text, alone in zip(words, whole):
-            yield np.frombuffer(direct([text.as_py()])[0], dtype="<u4") if alone else next(parts)
+        for i, alone in enumerate(whole.tolist()):
+            yield np.frombuffer(direct([words[i].as_py()])[0], dtype="<u4") if alone else next(parts)
 
     return encode
 
 
 def pack_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", prompt: str | None = None,
-               end_id: int | None = 1, limits: Limits = Limits(), ids: bool = True) -> DataFrame:
+               end_id: int | None = 1, limits: Limits = Limits(), ids: bool = True,
+               together: int = TOGETHER, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of the packed texts.
 
     ``id_col``, ``start`` and ``length`` (the piece's place in its text's ids),
@@ -269,7 +270,8 @@ def pack_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
     ids as little-endian 32-bit integers and, if asked, the ``ids``.  ``prompt``
     names a column with the number of leading ids that bear no loss.  A null text is empty: only its
     ``end_id`` is packed, and without one it has no piece.  Null and repeated ids
-    are kept; every row is an example of its own.
+    are kept; every row is an example of its own.  ``together`` and ``remembered``
+    trade a worker's memory for time and change nothing else.
     """
     kind = docs.schema[id_col].dataType
     frame = docs.select(quoted(id_col).alias("i"), quoted(text).alias("t"),
@@ -280,7 +282,7 @@ def pack_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
     ] + ([T.StructField("ids", T.ArrayType(T.LongType()))] if ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = text_encoder(path)
+        encode = text_encoder(path, remembered)
         names: dict[int, tuple[pa.Scalar, int]] = {}
         first = TaskContext.get().partitionId() << 36
         id_type: list[pa.DataType] = []
@@ -289,7 +291,7 @@ def pack_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
             number = 0
             for batch in batches:
                 id_type[:] = [batch.schema.field("i").type]
-                for part in slices(batch, "t", TOGETHER):
+                for part in slices(batch, "t", together):
                     rows = zip(part.column("i").to_pylist(), encode(part.column("t")), part.column("p").to_pylist())
                     for name, found, free in rows:
                         if end_id is not None:
