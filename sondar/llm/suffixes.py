@@ -340,8 +340,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_len: int = MIN_LEN,
     every = staged(runs(texts, min_len, anchor, block_bytes), "runs")
     twice = staged(
         every.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("g1").alias("low"), F.max("g1").alias("high"))
-        .where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed")), "anchors")
-    hits = staged(every.join(twice, "h"), "hits")
+        .where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"), "low"), "anchors")
+    hits = staged(every.join(twice.drop("low"), "h"), "hits")
     start = F.shiftrightunsigned("place", 8).bitwiseAND(_START_MASK)
     last = F.col("place").bitwiseAND(_COUNT_MASK)
     of_text = [F.col("k"), F.shiftrightunsigned("place", 39).alias("second")]
@@ -395,11 +395,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_len: int = MIN_LEN,
     decided = staged(
         segments.where("n > 1").select("h", "g1", "g2", F.lit(None).cast("array<int>").alias("windows"))
         .unionByName(found.join(segments.where("n > 1"), ["h", "g1", "g2"], "left_anti")), "decided")
-    whole = hits.where("not mixed").select("k", "place", F.lit(None).cast("array<int>").alias("windows"))
-    parts = hits.where("mixed").join(decided, ["h", "g1", "g2"]).select("k", "place", "windows")
+    # Every run gets the decision on its segment; all segments of an anchor that is not mixed are one.
+    every_segment = decided.unionByName(twice.where("not mixed").select(
+        "h", F.col("low").alias("g1"), F.lit(None).cast("long").alias("g2"), F.lit(None).cast("array<int>").alias("windows"))).alias("d")
+    found = hits.alias("r").join(
+        every_segment, (F.col("r.h") == F.col("d.h")) & (F.col("r.g1") == F.col("d.g1"))
+        & (F.col("d.g2").isNull() | (F.col("r.g2") == F.col("d.g2")))).select("k", "place", "windows")
     span = F.when(F.col("windows").isNull(), F.array(start, start + last)).otherwise(
         F.transform("windows", lambda w: w + start))
-    return whole.unionByName(parts).groupBy(*of_text).agg(F.collect_set(span).alias("spans"))
+    return found.groupBy(*of_text).agg(F.collect_set(span).alias("spans"))
 
 
 def _cut(min_len: int, whole_characters: bool):
