@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from sondar.functions.sql import ident, literal
 from sondar.functions.types import document_type, modes_for_document_type
-from sondar.model import SCHEMA_SAMPLE_DOCUMENTS, UnknownColumn
+from sondar.model import UnknownColumn
 from sondar.operators.profile import table_profile
 
 _STRICT = {"mode": "FAILFAST"}
@@ -27,16 +27,15 @@ def infer_schema(
     document: str,
     *,
     order_by: Sequence[str] = (),
-    sample_documents: int | None = SCHEMA_SAMPLE_DOCUMENTS,
+    sample_documents: int | None = None,
 ) -> DataFrame:
     """(column_name, ordinal, native_type, nullable, is_pk, is_fk) of a column
     of JSON objects.
 
     Each top-level field once, in the order first seen, with every type it was
     seen holding joined by a bar; nullable where any document lacks it or holds
-    null. Nested values are ``object`` and ``array``. Judged on the first
-    documents, or on all of them with ``sample_documents=None``; malformed
-    documents fail the query.
+    null. Nested values are ``object`` and ``array``. Judged on all documents,
+    or on the first ``sample_documents``; malformed documents fail the query.
 
     Fields are combined map-side to one row per name and task; only the
     distinct field names are numbered together.

@@ -94,15 +94,15 @@ def _rows_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 def detect(
     df: DataFrame,
     *,
-    full: bool = False,
+    full: bool = True,
     order_by: Sequence[str] = (),
     sample_rows: int = SENSITIVITY_SAMPLE_ROWS,
 ) -> DataFrame:
     """(column_name, sensitivity) of the columns recognised as sensitive.
 
     Names first; values are read only for columns whose name says nothing, and
-    not at all if there is none. By default those are judged on a few rows;
-    ``full`` judges them on the whole table, in one pass.
+    not at all if there is none. Those are judged on the whole table, in one
+    pass; ``full=False`` judges them on ``sample_rows`` rows.
     """
     spark = df.sparkSession
     named = by_name(_rows_frame(spark, df.columns))
@@ -144,7 +144,7 @@ def sensitive_columns(
     df: DataFrame,
     recorded: Mapping[str, str] | None = None,
     *,
-    full: bool = False,
+    full: bool = True,
     order_by: Sequence[str] = (),
 ) -> dict[str, str]:
     """Column -> level for the columns of ``df`` to hide."""

@@ -112,7 +112,7 @@ def scan_tables(
     force: bool = False,
     covered: bool = True,
     counted: Iterable[str] = (),
-    full_detection: bool = False,
+    full_detection: bool = True,
     parallel: int = 8,
     now: datetime | None = None,
 ) -> int:
@@ -121,7 +121,8 @@ def scan_tables(
     Schemas are read first and compared with the last version; only tables that
     changed are profiled, ``parallel`` of them at a time. A table that cannot
     be opened is recorded as failed and the others go on. ``covered=False``
-    says ``tables`` is not the whole catalog, so nothing counts as removed.
+    says ``tables`` is not the whole schema, so nothing counts as removed; other
+    schemas of the database are never touched.
     ``counted`` names the tables whose rows are worth counting (Parquet).
     """
     spark: SparkSession = store.spark
@@ -132,7 +133,8 @@ def scan_tables(
     previous, previous_columns = store.state("containers", version), store.state(
         "columns", version
     )
-    here = F.col("database") == database
+    # Only what this run lists can be missing from it: other schemas stay as they are.
+    here = (F.col("database") == database) & (F.col("schema_name") == schema_name)
     mine, my_columns = previous.where(here), previous_columns.where(here)
 
     opened: dict[str, DataFrame] = {}

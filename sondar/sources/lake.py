@@ -17,9 +17,6 @@ from sondar.functions.fixed import FILE_FORMATS
 from sondar.functions.sql import ident
 from sondar.model import LISTED_COLUMNS, UnknownContainer, ddl
 
-# Folders below the dataset's own in which a data file is still looked for.
-_MAX_DEPTH = 3
-
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of every file below ``root``; contents are not read."""
@@ -44,12 +41,13 @@ def _with_format(files: DataFrame) -> DataFrame:
     return files.withColumn("format", F.try_element_at(kinds, extension))
 
 
-def datasets(files: DataFrame, root: str) -> DataFrame:
+def datasets(files: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
     """(container_name, format, first_file) from a listing (``path``).
 
     The format is that of the first data file met when a folder's files are
     tried before its subfolders, both by name. Loose files, folders without
-    data and other extensions are left out.
+    data and other extensions are left out; so are files more than ``max_depth``
+    folders below the dataset's own, if it is given.
     """
     start = _below(root)
     inside = F.substr(
@@ -58,7 +56,7 @@ def datasets(files: DataFrame, root: str) -> DataFrame:
     parts = files.select("path", F.split(inside, "/").alias("parts"))
     # A file sorts before a folder, then by name: prefix 0 or 1 per step.
     order = F.transform(
-        F.slice("parts", 2, _MAX_DEPTH + 1),
+        F.slice("parts", F.lit(2), F.size("parts")),
         lambda part, at: F.concat(
             F.when(at == F.size("parts") - 2, F.lit("0")).otherwise(F.lit("1")), part
         ),
@@ -67,7 +65,8 @@ def datasets(files: DataFrame, root: str) -> DataFrame:
         _with_format(parts)
         .where(
             F.col("format").isNotNull()
-            & F.size("parts").between(2, _MAX_DEPTH + 2)
+            & (F.size("parts") >= 2)
+            & (F.lit(True) if max_depth is None else F.size("parts") <= max_depth + 2)
         )
         .groupBy(F.col("parts")[0].alias("container_name"))
         .agg(F.min_by(F.struct("format", "path"), order).alias("first"))
@@ -171,7 +170,8 @@ def read_dataset(
 
     Keys that are not whole numbers stay text. CSV and JSON infer their types
     by reading the data once unless ``schema`` gives them (CSV also takes
-    ``samplingRatio`` in ``options``).
+    ``samplingRatio`` in ``options``). Malformed rows fail the query; for CSV a
+    ``mode`` in ``options`` says otherwise.
     """
     kind, first_file = resolve(spark, root, name)
     folder = f"{root.rstrip('/')}/{name}"
@@ -184,6 +184,8 @@ def read_dataset(
             reader = reader.schema(schema)
         elif kind == "csv":
             reader = reader.option("inferSchema", "true")
+        if kind == "csv" and "mode" not in {o.lower() for o in options or ()}:
+            reader = reader.option("mode", "FAILFAST")
         df = reader.option("header", "true").format(kind).load(folder)
     for key in _partition_keys(root, name, first_file):
         if key in df.columns and not isinstance(

@@ -135,3 +135,22 @@ def test_audit(spark, tmp_path):
     assert (seen.key_id, seen.container, seen.reads, seen.rows_returned) == ("k1", "users", 1, 3)
     parsed = audit.parse_trail(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert sorted(parsed.collect()) == sorted(trail.collect())
+
+
+def test_a_scan_leaves_other_schemas_alone(spark, tmp_path):
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    one = spark.createDataFrame([(1, "a")], "id int, note string")
+    scan_tables(store, "shop", {"first": one, "second": one}, schema_name="x")
+    scan_tables(store, "shop", {"other": one}, schema_name="y")
+    named = lambda: {(r.schema_name, r.container_name) for r in store.state("containers").collect()}
+    assert named() == {("x", "first"), ("x", "second"), ("y", "other")}
+    scan_tables(store, "shop", {"first": one}, schema_name="x")
+    assert named() == {("x", "first"), ("y", "other")}
+    removed = store.log("changes").where("change_type = 'container_removed'").collect()
+    assert [(r.schema_name, r.container_name) for r in removed] == [("x", "second")]
+
+
+def test_values_are_judged_on_every_row(spark):
+    rows = [(f"word {i}",) for i in range(30)] + [(f"u{i}@x.com",) for i in range(70)]
+    mixed = spark.createDataFrame(rows, "v string").coalesce(1)
+    assert sensitive_columns(mixed) == {"v": "pii"}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.operators import documents as d
+from sondar.model import SCHEMA_SAMPLE_DOCUMENTS
 from workload import plain, registry, run_sql
 from workload.profiles import union
 
@@ -70,7 +71,9 @@ def document_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def document_schema_first_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reading a catalog takes by default: the first hundred documents."""
-    return d.infer_schema(docs(spark, sf_dir), "document", order_by=["event_id"])
+    return d.infer_schema(
+        docs(spark, sf_dir), "document", order_by=["event_id"], sample_documents=SCHEMA_SAMPLE_DOCUMENTS
+    )
 
 
 @registry.add(

@@ -39,7 +39,7 @@ k as (select *, list_transform(range(2, len(parts) + 1), lambda i:
 select parts[1] as container_name,
        case arg_min(ext, ordering) when 'parquet' then 'parquet' when 'csv' then 'csv' else 'json' end as format,
        arg_min(path, ordering) as first_file
-from k where ext in ('parquet', 'csv', 'json', 'jsonl', 'ndjson') and len(parts) between 2 and 5
+from k where ext in ('parquet', 'csv', 'json', 'jsonl', 'ndjson') and len(parts) >= 2
 group by 1
 """,
 )
