@@ -45,7 +45,7 @@ def _double_sql(x: str) -> str:
     )
 
 
-def _clock_sql(x: str) -> str:
+def clock_sql(x: str) -> str:
     """ISO date and time; a fraction only where there is one, six digits."""
     whole = f"date_format({x}, \"yyyy-MM-dd'T'HH:mm:ss\")"
     return (
@@ -98,9 +98,9 @@ def value_sql(x: str, dtype: T.DataType, depth: int = 0) -> str:
     if isinstance(dtype, T.FloatType):
         return _double_sql(f"cast({x} as double)")
     if isinstance(dtype, T.TimestampNTZType):
-        return _clock_sql(x)
+        return clock_sql(x)
     if isinstance(dtype, T.TimestampType):
-        return f"concat({_clock_sql(x)}, date_format({x}, 'xxx'))"
+        return f"concat({clock_sql(x)}, date_format({x}, 'xxx'))"
     if isinstance(dtype, T.DateType):
         return f"date_format({x}, 'yyyy-MM-dd')"
     if isinstance(dtype, T.BinaryType):

@@ -19,6 +19,10 @@ class AmbiguousContainer(SondarError):
     """A bare name that several schemas hold."""
 
 
+class NotPermitted(SondarError):
+    """The caller's access does not cover this."""
+
+
 class InvalidCursor(SondarError):
     """A page cursor that no page handed out."""
 
@@ -55,11 +59,9 @@ FAILED = "failed"
 TOP_N = 20
 TOP_VALUES_MAX_DISTINCT = 200
 DEFAULT_SAMPLE_ROWS = 3
-MAX_SAMPLE_ROWS = 100
 SENSITIVITY_SAMPLE_ROWS = 20
 SCHEMA_SAMPLE_DOCUMENTS = 100
 DEFAULT_PAGE = 100
-MAX_PAGE = 1000
 DEFAULT_SEARCH_LIMIT = 50
 DEFAULT_CHANGE_LIMIT = 100
 SEARCH_DESCRIPTION_CHARS = 120

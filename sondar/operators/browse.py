@@ -16,7 +16,6 @@ from sondar.model import (
     DEFAULT_CHANGE_LIMIT,
     DEFAULT_PAGE,
     DEFAULT_SEARCH_LIMIT,
-    MAX_PAGE,
     AmbiguousContainer,
     InvalidCursor,
     UnknownContainer,
@@ -28,11 +27,13 @@ from sondar.model import (
 @dataclass(frozen=True)
 class Access:
     """What a caller may read: shell-style patterns on container names, deny
-    before allow, and a list of databases. Empty lists restrict nothing."""
+    before allow, and a list of databases. Empty lists restrict nothing.
+    ``raw_samples`` allows rows without masking."""
 
     allow: tuple[str, ...] = ()
     deny: tuple[str, ...] = ()
     databases: tuple[str, ...] = ()
+    raw_samples: bool = False
 
     @classmethod
     def from_claims(cls, claims: dict[str, Any]) -> Access:
@@ -44,13 +45,17 @@ class Access:
             return tuple(item for item in items if isinstance(item, str))
 
         rule = claims.get("containers")
+        raw = claims.get("allow_raw_sample") is True
         if rule is not None and not isinstance(rule, dict):
-            return cls(deny=("*",), databases=strings(claims.get("databases")))
+            return cls(
+                deny=("*",), databases=strings(claims.get("databases")), raw_samples=raw
+            )
         rule = rule or {}
         return cls(
             allow=strings(rule.get("allow")),
             deny=strings(rule.get("deny")),
             databases=strings(claims.get("databases")),
+            raw_samples=raw,
         )
 
     def condition(self) -> Column:
@@ -83,7 +88,7 @@ def in_scope(
 
 
 def _page_size(limit: int | None) -> int:
-    return DEFAULT_PAGE if limit is None else max(1, min(limit, MAX_PAGE))
+    return DEFAULT_PAGE if limit is None else max(1, limit)
 
 
 _CONTAINER_ORDER = ["container_name", "database", "schema_name"]
@@ -93,16 +98,18 @@ def containers_after(
     containers: DataFrame,
     *,
     database: str | None = None,
+    schema: str | None = None,
     limit: int | None = None,
     cursor: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The next containers by name, one more than the page holds.
+    """The next containers by name, of one schema if it is given; one more than
+    the page holds.
 
     The cursor is (container_name, database, schema_name) of the last row
     seen, so equal names in two databases are not lost at a page's edge. Only
     a page's worth of rows leaves each task.
     """
-    rows = in_scope(containers, database)
+    rows = in_scope(containers, database, schema)
     if cursor is not None:
         if len(cursor) != 3:
             raise InvalidCursor(str(cursor))
@@ -248,13 +255,14 @@ def search(
     *,
     database: str | None = None,
     kind: str = "all",
-    limit: int = DEFAULT_SEARCH_LIMIT,
+    limit: int | None = DEFAULT_SEARCH_LIMIT,
 ) -> DataFrame:
     """Containers and columns whose name or description holds the keyword.
 
     Case does not matter and no character is special. Name hits come before
     description hits, containers before columns, then by name; everything is
     ranked before the limit, which each task applies to its own rows first.
+    ``limit=None`` gives every hit, sorted over as many tasks as it takes.
     """
     if kind not in ("all", "container", "column"):
         raise ValueError(f"unknown kind: {kind!r}")
@@ -297,14 +305,15 @@ def search(
             hits(columns, "column_name", F.col("column_name"), F.col("native_type"))
         )
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return found.orderBy(
+    ranked = found.orderBy(
         F.col("match_in") != "name",
         F.col("column_name").isNotNull(),
         "container_name",
         F.coalesce("column_name", F.lit("")),
         "database",
         "schema_name",
-    ).limit(limit)
+    )
+    return ranked if limit is None else ranked.limit(limit)
 
 
 # ---- references and changes

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from sondar.functions.sql import ident, literal
 from sondar.functions.types import document_type, modes_for_document_type
-from sondar.model import UnknownColumn
+from sondar.model import NULL_RATIO, UnknownColumn
 from sondar.operators.profile import table_profile
 
 _STRICT = {"mode": "FAILFAST"}
@@ -79,13 +79,29 @@ def _get(kind: str, *paths: str) -> str:
     )
 
 
+def _decimal(text: str) -> str:
+    """A decimal as a struct that sorts like the number and ends with its text.
+
+    One type cannot hold 34 digits with any scale: whole part, nine digits and
+    eighteen digits of fraction are compared one after the other, as far as each
+    has room. What is no number of at most 38 whole digits is NULL.
+    """
+    parts = ", ".join(
+        f"'d{scale}', try_cast({text} as decimal(38,{scale}))" for scale in (0, 9, 18)
+    )
+    return (
+        f"if(try_cast({text} as decimal(38,0)) is null, null, "
+        f"named_struct({parts}, 'text', {text}))"
+    )
+
+
 # How a field of one type is read for its statistics; typed values may come as
 # plain JSON or as single-key objects.
 _READ_AS = {
     "int": f"coalesce({_get('bigint', '$', '$["$numberInt"]')})",
     "long": f"coalesce({_get('bigint', '$', '$["$numberLong"]')})",
     "double": f"coalesce({_get('double', '$', '$["$numberDouble"]')})",
-    "decimal": _get("decimal(38,18)", '$["$numberDecimal"]'),
+    "decimal": _decimal(_get("string", '$["$numberDecimal"]')),
     "bool": _get("boolean", "$"),
     "string": _get("string", "$"),
     "date": (
@@ -100,9 +116,23 @@ def flatten(df: DataFrame, document: str, fields: dict[str, str]) -> DataFrame:
     """One typed column per named field (name -> document type).
 
     A field of one simple type comes as that type; any other as ``true`` where
-    it is present. A missing field and a null one are both NULL. The document
-    is parsed once, whatever the number of fields.
+    it is present. A missing field and a null one are both NULL, and so is a value
+    that does not fit the type. The document is parsed once, whatever the number
+    of fields.
     """
+    return _flattened(df, document, fields)
+
+
+def _flattened(
+    df: DataFrame,
+    document: str,
+    fields: dict[str, str],
+    present_as: dict[str, str] | None = None,
+    fit_as: dict[str, str] | None = None,
+) -> DataFrame:
+    """:func:`flatten`; with ``present_as`` and ``fit_as`` also a column per field
+    that is NULL where the field is missing or null, and one that is NULL where
+    it is there but does not fit its type."""
     names = {f"f{index}": name for index, name in enumerate(fields)}
     schema = T.StructType([T.StructField(n, T.VariantType()) for n in fields])
     parsed = df.select(
@@ -113,14 +143,30 @@ def flatten(df: DataFrame, document: str, fields: dict[str, str]) -> DataFrame:
         present = f"if({alias} is null or is_variant_null({alias}), null, true)"
         text = _READ_AS.get(fields[name], present).replace("{0}", alias)
         out.append(f"{text} as {ident(name)}")
+        if present_as:
+            out.append(f"{present} as {ident(present_as[name])}")
+        if fit_as:
+            fits = f"if({present} and ({text}) is null, null, true)"
+            out.append(f"{fits} as {ident(fit_as[name])}")
     return parsed.selectExpr(*out)
 
 
 def document_profile(
-    df: DataFrame, document: str, schema: DataFrame, **options: object
+    df: DataFrame,
+    document: str,
+    schema: DataFrame,
+    *,
+    max_fields: int = 10_000,
+    **options: object,
 ) -> DataFrame:
     """Profile of the fields in ``schema`` (from :func:`infer_schema`) over all
-    documents, each with the statistics its type allows."""
+    documents, each with the statistics its type allows.
+
+    The null ratio counts documents that lack the field or hold null. Values that
+    do not fit the type (a schema of other documents, numbers beyond 38 digits)
+    are in no range or count; ``unfit_ratio`` says how many documents hold one.
+    A collection of more than ``max_fields`` fields is refused.
+    """
     rows = (
         schema.select(
             "column_name",
@@ -129,23 +175,62 @@ def document_profile(
             modes_for_document_type(F.col("native_type")).alias("modes"),
         )
         .orderBy("ordinal")
+        .limit(max_fields + 1)
         .collect()
     )
     if not rows:
         raise UnknownColumn(document)
+    if len(rows) > max_fields:
+        raise ValueError(f"{document} has more than {max_fields} fields; are its keys data?")
     fields = {row.column_name: row.native_type for row in rows}
     modes = {row.column_name: row.modes for row in rows}
-    profile = table_profile(
-        flatten(df, document, fields), modes, gate=True, **options
+    # Two more columns a field, under names no field has, read in the same pass.
+    longest = max(map(len, fields))
+    there = {name: f"{i}p" + " " * (longest + 1) for i, name in enumerate(fields)}
+    fit = {name: f"{i}f" + " " * (longest + 1) for i, name in enumerate(fields)}
+    asked = {name: [m for m in modes[name] if m != NULL_RATIO] for name in fields}
+    asked |= {name: [NULL_RATIO] for name in [*there.values(), *fit.values()]}
+    found = table_profile(
+        _flattened(df, document, fields, there, fit), asked, **options
+    )
+    owners = ", ".join(
+        f"{literal(alias)}, {literal(name)}"
+        for aliases in (there, fit)
+        for name, alias in aliases.items()
+    )
+    own = f"element_at(map({owners}), column_name)"
+    ratios = (
+        found.selectExpr(f"{own} as _field", "column_name as _alias", "null_ratio as _r")
+        .where("_field is not null")
+        .groupBy(F.col("_field").alias("column_name"))
+        .agg(
+            F.max(F.when(F.col("_alias").isin(list(there.values())), F.col("_r"))).alias("_nulls"),
+            F.max(F.when(F.col("_alias").isin(list(fit.values())), F.col("_r"))).alias("unfit_ratio"),
+        )
+    )
+    positions = ", ".join(f"{literal(n)}, {i}" for i, n in enumerate(fields, start=1))
+    profile = (
+        found.where(F.col("column_name").isin(list(fields)))
+        .join(ratios, "column_name")
+        .withColumns(
+            {
+                "null_ratio": F.col("_nulls"),
+                "ordinal": F.expr(f"element_at(map({positions}), column_name)"),
+                "modes": F.array_append("modes", F.lit(NULL_RATIO)),
+            }
+        )
+        .drop("_nulls")
     )
     kinds = ", ".join(
         f"{literal(name)}, {literal(kind)}" for name, kind in fields.items()
     )
-    # Decimals are compared at full scale and shown without the padding.
+    # Decimals are shown as written, without zeros that pad their fraction.
     plain = {
         name: F.when(
             F.expr(f"element_at(map({kinds}), column_name) = 'decimal'"),
-            F.regexp_replace(name, r"\.?0+$", ""),
+            F.regexp_replace(
+                F.get_json_object(name, "$.text"), r"^([^.eE]*)(?:\.0+|(\.\d*[1-9])0+)$", "$1$2"
+            ),
         ).otherwise(F.col(name))
         for name in ("min_value", "max_value")
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -150,6 +150,29 @@ class Annotated:
     unknown_columns: DataFrame
 
 
+def _last_notes(
+    notes: DataFrame, keys: Sequence[str], fields: Mapping[str, str]
+) -> DataFrame:
+    """One row per key with the last value given to each field (under its new
+    name), by ``sequence``; an error where that does not say which is the last."""
+    at = F.col("sequence") if "sequence" in notes.columns else F.lit(0)
+    at = at.cast("bigint")
+
+    def last(name: str) -> Column:
+        value, given = F.col(name), F.col(name).isNotNull()
+        # The largest and the smallest value under the highest sequence.
+        high = F.max(F.when(given, F.struct(at.alias("at"), value.alias("value"))))
+        low = F.min(F.when(given, F.struct((-at).alias("at"), value.alias("value"))))
+        several = F.raise_error(
+            F.concat(F.lit(f"several notes on the {name} of "), F.concat_ws(".", *keys))
+        )
+        return F.when(high["value"] != low["value"], several.cast("string")).otherwise(
+            high["value"]
+        )
+
+    return notes.groupBy(*keys).agg(*[last(n).alias(new) for n, new in fields.items()])
+
+
 def annotate(
     containers: DataFrame,
     columns: DataFrame,
@@ -165,6 +188,10 @@ def annotate(
     ``column_notes`` the column key, ``description`` and ``sensitivity``. NULL
     leaves a field as it is, blank clears a description. A note on a container
     the inventory does not have is an error, and then nothing is written.
+
+    Of several notes on one thing the one with the highest ``sequence`` wins, field
+    by field; without that column, or with equal ones, several notes that give a
+    field different values are refused, since their order is unknown.
     """
     spark = containers.sparkSession
     at = F.current_timestamp() if written_at is None else written_at
@@ -198,16 +225,14 @@ def annotate(
         "description_updated_at": described("description_updated_at", at),
     }
     # One note per thing: a second one must not double its row.
-    notes = container_notes.groupBy(*CONTAINER_KEY).agg(
-        F.max("description").alias("_text")
-    )
+    notes = _last_notes(container_notes, CONTAINER_KEY, {"description": "_text"})
     new_containers = (
         containers.join(notes, CONTAINER_KEY, "left")
         .withColumns(fields)
         .select(*containers.columns)
     )
-    marks = column_notes.groupBy(*COLUMN_KEY).agg(
-        F.max("description").alias("_text"), F.max("sensitivity").alias("_level")
+    marks = _last_notes(
+        column_notes, COLUMN_KEY, {"description": "_text", "sensitivity": "_level"}
     )
     levelled = F.col("_level").isNotNull()
     new_columns = (
@@ -233,8 +258,9 @@ def annotate(
         .distinct(),
         columns_updated=column_notes.where(says)
         .join(known, COLUMN_KEY, "left_semi")
-        .select(*COLUMN_KEY),
-        unknown_columns=column_notes.join(known, COLUMN_KEY, "left_anti").select(
-            *COLUMN_KEY
-        ),
+        .select(*COLUMN_KEY)
+        .distinct(),
+        unknown_columns=column_notes.join(known, COLUMN_KEY, "left_anti")
+        .select(*COLUMN_KEY)
+        .distinct(),
     )

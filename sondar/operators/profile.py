@@ -7,8 +7,8 @@ A table is profiled in passes over disjoint sets of columns, whatever its width:
 * value counts: the categorical columns unpivoted to (column, value) and
   counted, map-side combined before the one shuffle, so a value that fills a
   third of the table costs one row per task;
-* columns certain to hold too many values to list are counted the same way,
-  but with digests in place of long values, and are never ranked.
+* columns whose values are only told apart are counted the same way, but with
+  digests in place of long values, and are not ranked.
 
 Exact distinct counts come out of the value counts. Several ``count_distinct``
 in one aggregation would multiply every row by the number of columns instead.
@@ -33,21 +33,11 @@ from sondar.model import (
     TOP_N,
     TOP_VALUE,
     TOP_VALUES,
-    TOP_VALUES_MAX_DISTINCT,
     UnknownColumn,
 )
 
 _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 
-# Rows looked at to find columns that certainly have many distinct values.
-_PROBE_ROWS = 1024
-
-# Where only the number of distinct values is wanted, a longer text is counted
-# by its start and its SHA-256. Such a key has one character more than any text
-# left as it is, so the two cannot be mistaken for each other.
-_DIGEST_OVER = 256
-_START = _DIGEST_OVER + 1 - 64
-
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     missing = [name for name in names if name not in df.columns]
@@ -214,8 +204,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact distinct counts (with rows and nulls) where no value is shown.
 
     Values that fit eight bytes are told apart by their xxhash64, which maps
-    eight bytes one to one; long texts by a digest, so that documents are
-    not moved just to be told apart; all others by themselves.
+    eight bytes one to one; decimals by themselves; all others by the SHA-256 of
+    their text, so that documents are not moved just to be told apart.
     """
     require_columns(df, columns)
     types = _types(df)
@@ -229,8 +219,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             continue
         text = _counting_sql(name, dtype)
         if not isinstance(dtype, T.DecimalType):
-            digest = f"concat(left({text}, {_START}), sha2({text}, 256))"
-            text = f"if(length({text}) > {_DIGEST_OVER}, {digest}, {text})"
+            text = f"sha2({text}, 256)"
         texts[name] = text
     parts = [
         count_summary(_unpivoted_counts(df, keys)) for keys in (fixed, texts) if keys
@@ -258,25 +247,6 @@ def top_values(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     )
 
 
-def _certainly_wide(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
-    """Columns that show more than ``limit`` distinct values in a few rows.
-
-    Proof, not a guess: a sample never holds more distinct values than the
-    table, nor more distinct hashes than values. Only hashes of a bounded
-    number of rows reach the driver.
-    """
-    if not columns:
-        return []
-    rows = df.selectExpr(*[f"xxhash64({ident(name)})" for name in columns]).take(
-        max(_PROBE_ROWS, 4 * limit)
-    )
-    return [
-        name
-        for index, name in enumerate(columns)
-        if len({row[index] for row in rows}) > limit + 1  # one may be NULL
-    ]
-
-
 # ---- whole table ----
 
 
@@ -303,21 +273,18 @@ def table_profile(
     modes: Sequence[str] | Mapping[str, Sequence[str]] | None = None,
     *,
     top_n: int = TOP_N,
-    max_distinct: int = TOP_VALUES_MAX_DISTINCT,
+    max_distinct: int | None = None,
     approximate: bool = False,
     rsd: float = 0.05,
-    gate: bool | None = None,
 ) -> DataFrame:
     """One row per column: null ratio, range, distinct count, commonest values.
 
-    With ``modes=None`` every column gets what its type warrants, and a column
-    of more than ``max_distinct`` values gets no list of commonest ones. Modes
-    named by the caller are always gathered, unless ``gate`` says otherwise.
-    ``approximate=True`` replaces the
-    exact distinct count by a sketch and flags it.
+    With ``modes=None`` every column gets what its type warrants. ``max_distinct``
+    leaves the list of commonest values out where a column has more values than
+    that. ``approximate=True`` replaces the exact distinct count by a sketch and
+    flags it. ``modes`` names what was gathered for each column.
     """
     chosen = choose_modes(df, modes)
-    gated = modes is None if gate is None else gate
 
     def having(mode: str) -> list[str]:
         return [name for name in df.columns if mode in chosen[name]]
@@ -328,8 +295,7 @@ def table_profile(
     exact = [] if approximate else distinct
     # Columns whose values are listed, and columns only told apart. Both give
     # their null ratio as well, so a text column is read once.
-    wide = _certainly_wide(df, listed, max_distinct) if gated else []
-    ranked = [c for c in listed if c not in wide]
+    ranked = listed
     apart = [c for c in exact if c not in ranked]
     counted = {*ranked, *apart}
 
@@ -348,7 +314,7 @@ def table_profile(
                 "as ranks"
             )
         )
-        out = out.join(F.broadcast(tops), "column_name", "left")
+        out = out.join(tops, "column_name", "left")
     else:
         out = out.selectExpr("*", f"cast(null as {_RANKS}) as ranks")
     if apart:
@@ -357,7 +323,7 @@ def table_profile(
         summary = summaries[0]
         for more in summaries[1:]:
             summary = summary.unionByName(more)
-        out = out.join(F.broadcast(summary), "column_name", "left")
+        out = out.join(summary, "column_name", "left")
     else:
         out = out.selectExpr(
             "*",
@@ -371,7 +337,12 @@ def table_profile(
         listing = ", ".join(literal(name) for name in names)
         return f"column_name in ({listing})" if listing else "false"
 
-    shown = f"coalesce(distinct_count, 0) <= {max_distinct}" if gated else "true"
+    shown = "true" if max_distinct is None else f"coalesce(distinct_count, 0) <= {int(max_distinct)}"
+    ran = ", ".join(
+        f"{literal(name)}, array({', '.join(map(literal, picked))})"
+        for name, picked in chosen.items()
+        if picked
+    )
     return out.selectExpr(
         "column_name",
         "ordinal",
@@ -386,6 +357,9 @@ def table_profile(
         "named_struct('value', r.value, 'count', r.count, 'is_null', r.is_null)), "
         f"cast(array() as array<{TOP_VALUE}>)), null) as top_values",
         f"{among(sketched)} as approximate",
+        "cast(coalesce("
+        + (f"element_at(map({ran}), column_name), " if ran else "")
+        + "array()) as array<string>) as modes",
     )
 
 
@@ -412,7 +386,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def as_mode_map(profile: DataFrame) -> DataFrame:
     """(column_name, profile): the flat profile keyed by mode, as stored.
 
-    A mode that was not gathered has no entry.
+    Every mode that ran has an entry, with NULL fields where the table had
+    nothing to say, so that merging it replaces what an earlier run found.
     """
 
     fields = {
@@ -424,21 +399,20 @@ def as_mode_map(profile: DataFrame) -> DataFrame:
         "approximate": "boolean",
     }
 
-    def entry(mode: str, *present: str) -> str:
+    def entry(mode: str, *gathered: str) -> str:
         approximate = "approximate" if mode == DISTINCT_COUNT else "false"
         values = ", ".join(
             f"{literal(name)}, cast("
             + (
                 approximate
                 if name == "approximate"
-                else name if name in present else "null"
+                else name if name in gathered else "null"
             )
             + f" as {kind})"
             for name, kind in fields.items()
         )
-        gathered = " or ".join(f"{name} is not null" for name in present)
         return (
-            f"if({gathered}, named_struct('key', {literal(mode)}, "
+            f"if(array_contains(modes, {literal(mode)}), named_struct('key', {literal(mode)}, "
             f"'value', named_struct({values})), null)"
         )
 

@@ -13,12 +13,13 @@ from sondar.functions.sql import ident, literal
 from sondar.functions.text import value_sql
 from sondar.model import (
     DEFAULT_SAMPLE_ROWS,
-    MAX_SAMPLE_ROWS,
     NONE,
     PII,
     SENSITIVITY_SAMPLE_ROWS,
     SOURCE_DETECTED,
+    NotPermitted,
 )
+from sondar.operators.browse import Access
 
 # Fewer values than this say nothing about a column.
 _MIN_VALUES = 3
@@ -29,13 +30,31 @@ def sample(
     limit: int = DEFAULT_SAMPLE_ROWS,
     *,
     order_by: Sequence[str] = (),
-    max_rows: int = MAX_SAMPLE_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """A few rows, between none and ``max_rows``; any rows unless ordered."""
-    rows = max(0, min(limit, max_rows))
+    """As many rows as asked for, at most ``max_rows`` if that is given; any
+    rows unless ordered."""
+    rows = max(0, limit if max_rows is None else min(limit, max_rows))
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
 
 
+def sample_for(
+    df: DataFrame,
+    access: Access,
+    limit: int = DEFAULT_SAMPLE_ROWS,
+    *,
+    masked: bool = True,
+    recorded: Mapping[str, str] | None = None,
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """Rows for a caller: masked, or as they are if the caller may see that."""
+    if masked:
+        return masked_sample(df, limit, recorded, order_by=order_by)[0]
+    if not access.raw_samples:
+        raise NotPermitted("samples without masking")
+    return sample(df, limit, order_by=order_by)
+
+
 def by_name(names: DataFrame, column: str = "column_name") -> DataFrame:
     """Adds ``sensitivity``: the level each column name alone gives, or NULL."""
     return names.withColumn("sensitivity", level_from_name(F.col(column)))
@@ -193,7 +212,11 @@ def masked_sample(
     *,
     order_by: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str]]:
-    """A few rows with sensitive columns masked, and the names of those."""
+    """A few rows with sensitive columns masked, and the names of those.
+
+    Columns are judged on the whole table, so on the rows shown as well,
+    whichever those are.
+    """
     levels = sensitive_columns(df, recorded, order_by=order_by)
     rows = sample(df, limit, order_by=order_by)
     return mask_table(rows, levels), sorted(levels)

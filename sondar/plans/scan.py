@@ -6,7 +6,9 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,14 @@ from sondar.model import (
     COLUMN_KEY,
     CONTAINER_KEY,
     DONE,
+    LISTED_COLUMNS,
     LISTED_CONTAINERS,
     PROFILE,
     SCAN_RUNS,
     ddl,
 )
 from sondar.operators import drift, inventory
+from sondar.operators.documents import document_profile, flatten, infer_schema
 from sondar.operators.profile import as_mode_map, table_profile
 from sondar.operators.sensitivity import detect, record_detected
 from sondar.plans.store import CatalogStore
@@ -35,22 +39,67 @@ _FINDINGS = (
     f"column_name string, sensitivity string, profile {PROFILE}, rows bigint"
 )
 
-Table = DataFrame | Callable[[], DataFrame]
+
+
+@dataclass(frozen=True)
+class Collection:
+    """JSON documents without a declared schema: the frame, its document column,
+    and the order that says which field came first."""
+
+    frame: DataFrame
+    document: str
+    order_by: Sequence[str] = ()
+
+    @cached_property
+    def fields(self) -> DataFrame:
+        """What the documents hold, read once; one row per top-level field."""
+        found = infer_schema(self.frame, self.document, order_by=self.order_by)
+        return self.frame.sparkSession.createDataFrame(found.collect(), found.schema)
+
+    @cached_property
+    def typed(self) -> DataFrame:
+        """The fields as typed columns."""
+        types = {r.column_name: r.native_type for r in self.fields.collect()}
+        return flatten(self.frame, self.document, types)
+
+
+Table = DataFrame | Collection | Callable[[], DataFrame | Collection]
+
+
+def _listed_fields(
+    tables: Mapping[str, Collection], columns: DataFrame, database: str, schema_name: str
+) -> DataFrame:
+    """The columns of collections, shaped like ``columns``."""
+    for name, table in tables.items():
+        columns = columns.unionByName(
+            table.fields.withColumns(
+                {
+                    "database": F.lit(database),
+                    "schema_name": F.lit(schema_name),
+                    "container_name": F.lit(name),
+                }
+            ),
+            allowMissingColumns=True,
+        )
+    return columns
 
 
 def _inspect(
-    df: DataFrame,
+    table: DataFrame | Collection,
     key: tuple[str, str, str],
     target: str,
     modes: Sequence[str] | None,
     count: bool,
     full_detection: bool,
-) -> None:
+    max_distinct: int | None,
+) -> list[str]:
     """Write what one table's data says to folders of its own below ``target``:
     a row per sensitive column, per profiled column, and for the row count.
 
-    Should that fail, every part is tried by itself and the columns one by one,
-    so that one unreadable column does not cost the table its profile.
+    Should that fail, it is tried once more, since a lost executor says nothing
+    about the table. Should it fail again, every part is tried by itself and the
+    columns one by one, so that one unreadable column does not cost the table
+    its profile. Returns the parts that could not be had.
     """
     empty = {
         "column_name": F.lit(None).cast("string"),
@@ -67,21 +116,31 @@ def _inspect(
         labels = [F.lit(v).alias(k) for k, v in zip(CONTAINER_KEY, key, strict=True)]
         return frame.select(*labels, *values)
 
-    def profile(frame: DataFrame) -> DataFrame:
-        return as_mode_map(table_profile(frame, modes))
+    def profile(names: Sequence[str]) -> DataFrame:
+        if isinstance(table, Collection):
+            fields = table.fields.where(F.col("column_name").isin(list(names)))
+            found = document_profile(
+                table.frame, table.document, fields, max_distinct=max_distinct
+            )
+        else:
+            found = table_profile(
+                df.selectExpr(*map(ident, names)), modes, max_distinct=max_distinct
+            )
+        return as_mode_map(found)
 
-    wanted: list[Callable[[], DataFrame]] = [
-        lambda: detect(df, full=full_detection)
-    ]
+    df = table.typed if isinstance(table, Collection) else table
+    wanted: dict[str, Callable[[], DataFrame]] = {
+        "sensitivity": lambda: detect(df, full=full_detection)
+    }
     if count:
-        wanted.append(lambda: df.agg(F.count(F.lit(1)).alias("rows")))
-    single = list(wanted)
-    if modes is None or modes:
-        wanted.append(lambda: profile(df))
-        single += [
-            lambda name=name: profile(df.selectExpr(ident(name)))
+        wanted["rows"] = lambda: df.agg(F.count(F.lit(1)).alias("rows"))
+    single = dict(wanted)
+    if (modes is None or modes) and df.columns:
+        wanted["profile"] = lambda: profile(df.columns)
+        single |= {
+            f"profile of {name}": lambda name=name: profile([name])
             for name in df.columns
-        ]
+        }
 
     def write(parts: Sequence[Callable[[], DataFrame]], label: str) -> None:
         frames = [shaped(part()) for part in parts]
@@ -89,16 +148,20 @@ def _inspect(
             f"{target}/part={label}"
         )
 
-    try:
-        write(wanted, "all")
-        return
-    except Exception as error:  # noqa: BLE001
-        log.warning("inspecting %s piece by piece after: %s", key, error)
-    for index, part in enumerate(single):
+    for _ in range(2):
+        try:
+            write(list(wanted.values()), "all")
+            return []
+        except Exception as error:  # noqa: BLE001
+            log.warning("inspecting %s failed: %s", key, error)
+    lost = []
+    for index, (label, part) in enumerate(single.items()):
         try:
             write([part], str(index))
         except Exception as error:  # noqa: BLE001
-            log.warning("no result for a part of %s: %s", key, error)
+            log.warning("no %s of %s: %s", label, key, error)
+            lost.append(label)
+    return lost
 
 
 def scan_tables(
@@ -107,12 +170,15 @@ def scan_tables(
     tables: Mapping[str, Table],
     *,
     schema_name: str = "",
+    containers: DataFrame | None = None,
+    columns: DataFrame | None = None,
     keys: DataFrame | None = None,
     modes: Sequence[str] | None = None,
     force: bool = False,
     covered: bool = True,
     counted: Iterable[str] = (),
     full_detection: bool = True,
+    max_distinct: int | None = None,
     parallel: int = 8,
     now: datetime | None = None,
 ) -> int:
@@ -120,10 +186,16 @@ def scan_tables(
 
     Schemas are read first and compared with the last version; only tables that
     changed are profiled, ``parallel`` of them at a time. A table that cannot
-    be opened is recorded as failed and the others go on. ``covered=False``
-    says ``tables`` is not the whole schema, so nothing counts as removed; other
-    schemas of the database are never touched.
-    ``counted`` names the tables whose rows are worth counting (Parquet).
+    be opened is recorded as failed and the others go on; one that could only be
+    read in part is recorded with what it lacks, and read again by the next scan.
+    ``covered=False`` says the listing is not the whole schema, so nothing counts
+    as removed; other schemas of the database are never touched.
+
+    ``containers`` and ``columns`` are what a source lists of this schema, such as
+    those of ``sources.postgres``; types, comments, estimates and keys come from
+    them, and ``tables`` opens the ones whose data is to be read. Without them
+    every table is listed by its own schema. ``counted`` names the tables whose
+    rows are worth counting (Parquet); their count replaces the listed estimate.
     """
     spark: SparkSession = store.spark
     job_id = uuid.uuid4().hex
@@ -137,28 +209,57 @@ def scan_tables(
     here = (F.col("database") == database) & (F.col("schema_name") == schema_name)
     mine, my_columns = previous.where(here), previous_columns.where(here)
 
-    opened: dict[str, DataFrame] = {}
-    errors: dict[str, str] = {}
-    for name, table in tables.items():
+    def open_one(table: Table) -> DataFrame | Collection | str:
         try:
-            frame = table() if callable(table) else table
-            frame.schema  # noqa: B018 - resolves the table
-            opened[name] = frame
+            found = table() if callable(table) else table
+            # Resolves the table; a collection's fields are in its documents.
+            found.fields if isinstance(found, Collection) else found.schema  # noqa: B018
+            return found
         except Exception as error:  # noqa: BLE001 - per-table isolation
-            log.warning("cannot read %s: %s", name, error)
+            log.warning("cannot read a table: %s", error)
             reason = str(error).partition("\n")[0]
-            errors[name] = f"{type(error).__name__}: {reason}"
-
-    listed = spark.createDataFrame(
-        [
-            (database, schema_name, name, "table", None, None, None, errors.get(name))
-            for name in tables
-        ],
-        ddl({**LISTED_CONTAINERS, "error": "string"}),
-    )
-    columns = schema_rows(
-        spark, {n: df.schema for n, df in opened.items()}, database, schema_name
-    )
+            return f"{type(error).__name__}: {reason}"
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        outcome = dict(zip(tables, pool.map(open_one, tables.values()), strict=True))
+    errors = {name: found for name, found in outcome.items() if isinstance(found, str)}
+    opened = {name: found for name, found in outcome.items() if name not in errors}
+
+    def collections() -> dict[str, Collection]:
+        return {n: t for n, t in opened.items() if isinstance(t, Collection)}
+
+    if containers is None:
+        listed = spark.createDataFrame(
+            [
+                (
+                    database, schema_name, name,
+                    "collection" if name in collections() else "table",
+                    None, None, None, errors.get(name),
+                )
+                for name in tables
+            ],
+            ddl({**LISTED_CONTAINERS, "error": "string"}),
+        )
+    else:
+        unread = spark.createDataFrame(
+            [(name, text) for name, text in errors.items()],
+            "container_name string, error string",
+        )
+        listed = (
+            containers.where(here)
+            .select(*LISTED_CONTAINERS)
+            .join(unread, "container_name", "left")
+        )
+    if columns is None:
+        columns = schema_rows(
+            spark,
+            {n: t.schema for n, t in opened.items() if n not in collections()},
+            database,
+            schema_name,
+        )
+        columns = _listed_fields(collections(), columns, database, schema_name)
+    else:
+        columns = columns.where(here).select(*LISTED_COLUMNS)
     if keys is not None:
         columns = declare_keys(columns, keys)
     compared = drift.compare(drift.fingerprint(listed, columns), mine, force=force)
@@ -170,7 +271,9 @@ def scan_tables(
 
     todo = [
         row.container_name
-        for row in compared.where(F.col("outcome") == DONE)
+        for row in compared.where(
+            (F.col("outcome") == DONE) & F.col("container_name").isin(list(opened))
+        )
         .select("container_name")
         .collect()
     ]
@@ -185,11 +288,11 @@ def scan_tables(
                 modes,
                 name in counted,
                 full_detection,
+                max_distinct,
             )
             for index, name in enumerate(todo)
         ]
-        for job in jobs:
-            job.result()
+        lost = {name: job.result() for name, job in zip(todo, jobs, strict=True)}
     if todo:
         # Folders name the table and part; the rows carry their own keys.
         findings = (
@@ -205,9 +308,20 @@ def scan_tables(
     )
     compared = (
         compared.join(counts, CONTAINER_KEY, "left")
-        .withColumn("estimated_count", F.col("_rows"))
+        .withColumn("estimated_count", F.coalesce("_rows", "estimated_count"))
         .drop("_rows")
     )
+    incomplete = [
+        (name, f"not read: {', '.join(parts)}") for name, parts in lost.items() if parts
+    ]
+    if incomplete:
+        # An error makes the next scan read the container again.
+        partly = spark.createDataFrame(incomplete, "container_name string, _lacks string")
+        compared = (
+            compared.join(partly, "container_name", "left")
+            .withColumn("error", F.coalesce("error", "_lacks"))
+            .drop("_lacks")
+        )
     by_column = findings.where(F.col("column_name").isNotNull())
     new_changes = drift.changes(
         compared,

@@ -1,13 +1,15 @@
 """Datasets in a lake folder: discovery, schemas and scans.
 
 A dataset is a direct child folder of the root that holds a Parquet, CSV or
-line-delimited JSON file, at most three folders down.
+line-delimited JSON file, at any depth.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,9 +125,46 @@ def resolve(spark: SparkSession, root: str, name: str) -> tuple[str, str]:
     return found[0].format, found[0].first_file
 
 
-def _partition_keys(root: str, name: str, first_file: str) -> list[str]:
-    inside = first_file.split(f"{_below(root)}{name}/", 1)[-1]
-    return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
+# A whole number written the one way that reading it as a number keeps.
+_PLAIN_INT = r"^(0|-?[1-9][0-9]{0,17})$"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_AS_WRITTEN = "spark.sql.sources.partitionColumnTypeInference.enabled"
+_reading = Lock()
+
+
+def _whole_keys(spark: SparkSession, root: str, name: str) -> dict[str, str]:
+    """Partition key -> whole-number type, for keys whose every folder is named
+    with a plain whole number; from the listing, a row per key."""
+    folder = f"{_below(root)}{name}/"
+    inside = F.substr(F.col("path"), F.instr("path", folder) + F.lit(len(folder)))
+    part = F.col("part")
+    value = F.substring_index(part, "=", -1)
+    rows = (
+        list_files(spark, f"{root.rstrip('/')}/{name}")
+        .select(F.explode(F.split(inside, "/")).alias("part"))
+        .where(F.contains(part, F.lit("=")) & ~F.endswith(part, F.lit(_NO_VALUE)))
+        .groupBy(F.substring_index(part, "=", 1).alias("key"))
+        .agg(
+            F.bool_and(value.rlike(_PLAIN_INT)).alias("whole"),
+            F.max(F.length(value)).alias("digits"),
+        )
+        .where("whole")
+        .collect()
+    )
+    return {row.key: "int" if row.digits <= 9 else "bigint" for row in rows}
+
+
+@contextmanager
+def _partitions_as_written(spark: SparkSession) -> Iterator[None]:
+    """Partition values are text while a folder is being opened; the setting is
+    the session's, so one folder is opened at a time."""
+    with _reading:
+        before = spark.conf.get(_AS_WRITTEN)
+        spark.conf.set(_AS_WRITTEN, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(_AS_WRITTEN, before)
 
 
 def _json_lines(
@@ -168,16 +207,20 @@ def read_dataset(
 ) -> DataFrame:
     """One dataset as a frame; ``key=value`` folders become last columns.
 
-    Keys that are not whole numbers stay text. CSV and JSON infer their types
-    by reading the data once unless ``schema`` gives them (CSV also takes
-    ``samplingRatio`` in ``options``). Malformed rows fail the query; for CSV a
-    ``mode`` in ``options`` says otherwise.
+    A key is a whole number if all its folders are named with plain ones, else
+    text as written (``1.10``, ``01``). CSV and JSON infer their types by reading
+    the data once unless ``schema`` gives them (CSV also takes ``samplingRatio``
+    in ``options``). Malformed rows fail the query; for CSV a ``mode`` in
+    ``options`` says otherwise. An empty CSV cell is NULL, quoted or not; another
+    ``nullValue`` in ``options`` keeps quoted ones as empty texts.
     """
-    kind, first_file = resolve(spark, root, name)
+    kind, _ = resolve(spark, root, name)
     folder = f"{root.rstrip('/')}/{name}"
     reader = spark.read.options(**(options or {}))
+    whole = _whole_keys(spark, root, name)
     if kind == "json":
-        df = _json_lines(spark, folder, schema)
+        with _partitions_as_written(spark):
+            df = _json_lines(spark, folder, schema)
     else:
         reader = reader.option("pathGlobFilter", f"*.{kind}")
         if schema is not None:
@@ -186,12 +229,11 @@ def read_dataset(
             reader = reader.option("inferSchema", "true")
         if kind == "csv" and "mode" not in {o.lower() for o in options or ()}:
             reader = reader.option("mode", "FAILFAST")
-        df = reader.option("header", "true").format(kind).load(folder)
-    for key in _partition_keys(root, name, first_file):
-        if key in df.columns and not isinstance(
-            df.schema[key].dataType, (T.IntegralType, T.StringType)
-        ):
-            df = df.withColumn(key, F.col(ident(key)).cast("string"))
+        with _partitions_as_written(spark):
+            df = reader.option("header", "true").format(kind).load(folder)
+    for key, kept in whole.items():
+        if key in df.columns and isinstance(df.schema[key].dataType, T.StringType):
+            df = df.withColumn(key, F.col(ident(key)).cast(kept))
     return df
 
 

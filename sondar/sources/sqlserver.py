@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondar.functions.text import clock_sql
 from sondar.functions.types import sqlserver_type
 from sondar.sources.catalogs import (
     attach_keys,
@@ -80,9 +81,7 @@ def containers(
                 "container_type": F.when(
                     F.col("kind") == "U", F.lit("table")
                 ).otherwise(F.lit("view")),
-                "last_modified_at": F.date_format(
-                    "modify_date", "yyyy-MM-dd'T'HH:mm:ss"
-                ),
+                "last_modified_at": F.expr(clock_sql("modify_date")),
             }
         )
     )

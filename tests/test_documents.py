@@ -124,3 +124,28 @@ def test_typed_values(spark):
 def test_malformed_documents_fail(spark):
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         schema(docs(spark, "not json"))
+
+
+def test_values_that_do_not_fit_are_no_missing_ones(spark):
+    frame = docs(
+        spark,
+        '{"v":1,"n":{"$numberDecimal":"123456789012345678901234567890"}}',
+        '{"v":"x","n":{"$numberDecimal":"-0.50"}}',
+        '{"v":"y","n":{"$numberDecimal":"1E+3"}}',
+        '{"v":null,"n":{"$numberDecimal":"99999999999999999999.125"}}',
+    )
+    early = spark.createDataFrame(
+        [("v", "int", 1), ("n", "decimal", 2)], "column_name string, native_type string, ordinal int"
+    )
+    found = {r.column_name: r for r in d.document_profile(frame, "doc", early).collect()}
+    assert (found["v"].null_ratio, found["v"].unfit_ratio) == (0.25, 0.5)
+    assert (found["v"].min_value, found["v"].max_value) == ("1", "1")
+    assert (found["n"].null_ratio, found["n"].unfit_ratio) == (0.0, 0.0)
+    assert found["n"].min_value == "-0.5"
+    assert found["n"].max_value == "123456789012345678901234567890"
+
+
+def test_too_many_fields_are_refused(spark):
+    frame = docs(spark, '{"a":1,"b":2,"c":3}')
+    with pytest.raises(ValueError, match="more than 2 fields"):
+        d.document_profile(frame, "doc", d.infer_schema(frame, "doc"), max_fields=2)

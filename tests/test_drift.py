@@ -258,3 +258,17 @@ def test_one_inventory(spark, inv):
     assert inventory.one_inventory([inv.containers, other]).count() == 4
     with pytest.raises(ValueError):
         inventory.one_inventory([])
+
+
+def test_the_later_note_wins(spark):
+    from sondar.operators.inventory import _last_notes
+
+    rows = [("t", 1, "zebra", "secret"), ("t", 2, "apple", None), ("u", 1, None, None)]
+    frame = spark.createDataFrame(rows, "k string, sequence int, description string, sensitivity string")
+    fields = {"description": "a", "sensitivity": "b"}
+    found = {r.k: (r.a, r.b) for r in _last_notes(frame, ["k"], fields).collect()}
+    assert found == {"t": ("apple", "secret"), "u": (None, None)}
+    with pytest.raises(Exception, match="several notes on the description of t"):
+        _last_notes(frame.drop("sequence"), ["k"], fields).collect()
+    same = frame.withColumn("description", F.lit("x")).drop("sequence")
+    assert {r.a for r in _last_notes(same, ["k"], fields).collect()} == {"x"}

@@ -84,8 +84,9 @@ def test_modes_follow_the_type(spark):
 @pytest.mark.parametrize("rows", [200, 201])
 def test_gate_on_distinct_values(spark, rows):
     df = spark.range(rows).select(F.col("id").cast("string").alias("v"))
-    found = row(p.table_profile(df), distinct_count=rows)
+    found = row(p.table_profile(df, max_distinct=200), distinct_count=rows)
     assert (found.top_values is None) == (rows > 200)
+    assert len(row(p.table_profile(df), distinct_count=rows).top_values) == 20
     named = row(p.table_profile(df, ["top_values"]))
     assert len(named.top_values) == 20
 
@@ -95,7 +96,7 @@ def test_gate_holds_when_the_first_rows_are_alike(spark):
     df = spark.range(0, 6000, 1, 1).select(
         F.when(F.col("id") < 5000, F.lit("same")).otherwise(F.col("id").cast("string")).alias("v")
     )
-    found = row(p.table_profile(df), distinct_count=1001)
+    found = row(p.table_profile(df, max_distinct=200), distinct_count=1001)
     assert found.top_values is None
 
 
@@ -103,7 +104,7 @@ def test_long_values_are_told_apart_exactly(spark):
     df = spark.range(3000).select(
         F.concat(F.repeat(F.lit("x"), 254), (F.col("id") % 1500).cast("string")).alias("v")
     )
-    row(p.table_profile(df), distinct_count=1500, null_ratio=0.0, top_values=None)
+    row(p.table_profile(df, max_distinct=200), distinct_count=1500, null_ratio=0.0, top_values=None)
 
 
 def test_nulls_of_a_wide_column(spark):

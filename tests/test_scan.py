@@ -154,3 +154,73 @@ def test_values_are_judged_on_every_row(spark):
     rows = [(f"word {i}",) for i in range(30)] + [(f"u{i}@x.com",) for i in range(70)]
     mixed = spark.createDataFrame(rows, "v string").coalesce(1)
     assert sensitive_columns(mixed) == {"v": "pii"}
+
+
+def test_statistics_do_not_outlive_their_values(spark, tmp_path):
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    full = spark.range(5).select("id", F.col("id").cast("string").alias("word"))
+    scan_tables(store, "shop", {"t": full})
+    scan_tables(store, "shop", {"t": full.where("false")}, force=True)
+    found = {r.column_name: r.profile for r in store.state("columns").collect()}
+    assert found["id"]["null_ratio"].null_ratio is None
+    assert found["id"]["min_max"].min_value is None and found["id"]["min_max"].max_value is None
+    assert found["word"]["distinct_count"].distinct_count == 0
+    assert found["word"]["top_values"].top_values == []
+
+
+def test_a_part_that_failed_is_read_again(spark, tmp_path):
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    broken = spark.range(5).select("id", F.raise_error(F.lit("x")).cast("string").alias("note"))
+    good = spark.range(5).select("id", F.when(F.col("id") >= 0, F.lit("n")).alias("note"))
+    assert broken.schema == good.schema
+    scan_tables(store, "shop", {"t": broken}, modes=["null_ratio"])
+    assert "profile of note" in store.state("containers").first().error
+    scan_tables(store, "shop", {"t": good}, modes=["null_ratio"])
+    assert store.state("containers").first().error is None
+    notes = store.state("columns").where("column_name = 'note'").first()
+    assert notes.profile["null_ratio"].null_ratio == 0.0
+    assert store.log("changes").count() == 1
+
+
+def test_descriptions_survive_scans_of_other_schemas(spark, tmp_path):
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    one = spark.range(2).toDF("id")
+    scan_tables(store, "shop", {"a": one}, schema_name="x", modes=[])
+    written = store.state("containers").withColumn("description", F.lit("by hand"))
+    store.commit(containers=written)
+    scan_tables(store, "shop", {"b": one}, schema_name="y", modes=[])
+    found = {r.container_name: r.description for r in store.state("containers").collect()}
+    assert found == {"a": "by hand", "b": None}
+
+
+def test_a_listing_with_one_table_to_read(spark, tmp_path):
+    from sondar.model import LISTED_COLUMNS, LISTED_CONTAINERS, ddl
+
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    containers = spark.createDataFrame(
+        [
+            ("shop", "x", "read", "table", 7, "kept", "2024-01-01T00:00:00"),
+            ("shop", "x", "seen", "view", None, None, None),
+            ("shop", "x", "lost", "table", 3, None, None),
+            ("shop", "y", "other", "table", 3, None, None),
+        ],
+        ddl(LISTED_CONTAINERS),
+    )
+    columns = spark.createDataFrame(
+        [("shop", "x", n, "id", 1, "int4", False, True, False, None, None, None) for n in ("read", "seen", "lost")],
+        ddl(LISTED_COLUMNS),
+    )
+
+    def gone():
+        raise OSError("gone")
+
+    scan_tables(
+        store, "shop", {"read": spark.range(2).toDF("id"), "lost": gone}, schema_name="x",
+        containers=containers, columns=columns, counted=["read"],
+    )
+    found = {r.container_name: r for r in store.state("containers").collect()}
+    assert set(found) == {"read", "seen", "lost"}
+    assert found["read"].estimated_count == 2 and found["read"].native_description == "kept"
+    assert found["seen"].container_type == "view" and found["lost"].error == "OSError: gone"
+    profiled = {r.container_name: r.profile is not None for r in store.state("columns").collect()}
+    assert profiled == {"read": True, "seen": False}

@@ -146,3 +146,16 @@ def test_with_recorded(spark):
     rec = spark.createDataFrame([("a", "none"), ("c", "secret")], "column_name string, sensitivity string")
     found = {r.column_name: r.sensitivity for r in s.with_recorded(det, rec).collect()}
     assert found == {"b": "pii", "c": "secret"}
+
+
+def test_raw_rows_need_the_grant(contacts):
+    from sondar.model import NotPermitted
+    from sondar.operators.browse import Access
+
+    with pytest.raises(NotPermitted):
+        s.sample_for(contacts, Access.from_claims({}), masked=False)
+    with pytest.raises(NotPermitted):
+        s.sample_for(contacts, Access.from_claims({"allow_raw_sample": "yes"}), masked=False)
+    granted = Access.from_claims({"allow_raw_sample": True})
+    assert s.sample_for(contacts, granted, 2, masked=False).count() == 2
+    assert s.sample_for(contacts, Access(), 2).count() == 2

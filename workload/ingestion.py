@@ -266,7 +266,8 @@ _SS = {
     "sys_objects": """
 select o_orderkey as object_id, concat('obj_', o_orderkey) as name, c_nationkey as schema_id,
        case o_orderpriority when '1-URGENT' then 'V ' when '2-HIGH' then 'P ' else 'U ' end as type,
-       case when o_totalprice >= 50000 then o_orderdate end as modify_date,
+       case when o_totalprice >= 50000 then o_orderdate + case when o_totalprice >= 100000
+            then interval '1500' microsecond else interval '0' microsecond end end as modify_date,
        case when o_totalprice >= 470000 then 1 else 0 end as is_ms_shipped
 from {orders} join {customer} on c_custkey = o_custkey
 """,
@@ -334,7 +335,9 @@ select 'shop' as database, schema_name, container_name,
        case trim(type) when 'U' then 'table' else 'view' end as container_type,
        (select sum(row_count) from partition_stats p where p.object_id = obj.object_id
           and index_id in (0, 1))::bigint as estimated_count,
-       description as native_description, strftime(modify_date, '%Y-%m-%dT%H:%M:%S') as last_modified_at
+       description as native_description, strftime(modify_date, '%Y-%m-%dT%H:%M:%S')
+         || case when microsecond(modify_date) % 1000000 = 0 then '' else strftime(modify_date, '.%f') end
+         as last_modified_at
 from obj left join props on major_id = object_id and minor_id = 0
 """,
 )

@@ -165,7 +165,10 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "references_container, references_column)"
     )
     tables = {t: (lambda t=t: table(spark, sf_dir, t)) for t in TABLES}
-    scan_tables(store, "given", tables, keys=keys, counted=TABLES)
+    scan_tables(
+        store, "given", tables, keys=keys, counted=TABLES,
+        max_distinct=TOP_VALUES_MAX_DISTINCT,
+    )
     counts = store.state("containers").select("container_name", "estimated_count")
     return store.state("columns").join(counts, "container_name").select(
         "container_name",

@@ -152,5 +152,5 @@ def masked_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return s.sample(
-        orders, 100_000, order_by=[F.desc("o_totalprice"), F.col("o_orderkey")]
+        orders, 100, order_by=[F.desc("o_totalprice"), F.col("o_orderkey")]
     )
