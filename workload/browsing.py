@@ -88,7 +88,7 @@ def column_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("column_name", "ordinal", "native_type")
 
 
-def _search_sql(word: str, limit: int) -> str:
+def _search_sql(word: str, limit: int | None = None) -> str:
     text = "coalesce(nullif(description, ''), native_description)"
     cut = (
         f"case when length({text}) > 120 then rtrim(left({text}, 120)) || '…' else {text} end"
@@ -107,15 +107,15 @@ select * from (
          case when contains(lower(column_name), '{word}') then 'name' else 'description' end
   from {_K} where {hit.format(n='column_name', w=word)})
 order by match_in <> 'name', column_name is not null, container_name, coalesce(column_name, ''),
-         database, schema_name limit {limit}
+         database, schema_name {"" if limit is None else f"limit {limit}"}
 """
 
 
-@registry.add("search_names_and_descriptions", _search_sql("email", 100000000))
+@registry.add("search_names_and_descriptions", _search_sql("email"))
 def search_names_and_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit: a name for most, a description for some."""
     return browse.search(
-        containers(spark, sf_dir), columns(spark, sf_dir), " EMAIL ", limit=100_000_000
+        containers(spark, sf_dir), columns(spark, sf_dir), " EMAIL ", limit=None
     )
 
 

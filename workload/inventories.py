@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondar.functions.fixed import NAME_PATTERNS
 from sondar.functions.types import modes_for_type_text
 from sondar.model import (
     COLUMN_KEY,
@@ -330,11 +331,13 @@ _FLAT_NAME = (
     "regexp_replace(lower(regexp_replace(column_name, '([a-z0-9])([A-Z])', '\\1_\\2', 'g')), "
     "'[^a-z0-9]+', '', 'g')"
 )
+_LEVELS = " ".join(
+    f"when regexp_matches({_FLAT_NAME}, '{pattern}') then '{level}'"
+    for pattern, level in NAME_PATTERNS
+)
 _BY_NAME = f"""
 select {d.KEY}, column_name,
-       case when regexp_matches({_FLAT_NAME}, 'password|passwd|secret|apikey|accesstoken|privatekey|credential') then 'secret'
-            when regexp_matches({_FLAT_NAME}, 'email|mail(address)?') then 'pii'
-            when regexp_matches({_FLAT_NAME}, 'phone|mobile|telephone|msisdn') then 'pii' end
+       case {_LEVELS} end
          as sensitivity
 from ({plain(d.COLUMNS_NOW)})
 """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondar.functions.fixed import NAME_PATTERNS, VALUE_PATTERNS
 from sondar.operators import sensitivity as s
 from workload import plain, registry, run_sql, table
 from workload.profiles import union
@@ -30,20 +31,12 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, CONTACTS)
 
 
-_PATTERNS = [
-    r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$",
-    r"^\+?\d[\d\s().-]{7,}\d$",
-    r"^\d{3}-\d{2}-\d{4}$",
-    r"^(?:\d[ -]?){13,19}$",
-]
-
-
 def _judged(source: str, column: str, name: str | None = None) -> str:
     text = f"{column}::varchar"
     hits = " or ".join(
         f"2 * count(*) filter (where regexp_matches(trim({text}, ' \t\n\r'), '{p}')) "
         f"> count(*) filter (where {text} <> '')"
-        for p in _PATTERNS
+        for p in VALUE_PATTERNS
     )
     return (
         f"select '{name or column}' as column_name, case when "
@@ -154,3 +147,27 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.sample(
         orders, 100, order_by=[F.desc("o_totalprice"), F.col("o_orderkey")]
     )
+
+
+# Column names as customers might have chosen them: every pattern and some others.
+_NAMES = """
+select distinct concat(case c_custkey % 12 when 0 then 'user_Passwd_' when 1 then 'Contact E-Mail '
+  when 2 then 'msisdn' when 3 then 'tax-id_' when 4 then 'card_NO' when 5 then 'ZipCode' when 6 then 'birth_day'
+  when 7 then 'geo_location' when 8 then 'Given_Name' when 9 then 'Street Address ' when 10 then 'total'
+  else 'api_KEY' end, c_nationkey) as column_name
+from {customer}
+"""
+
+
+@registry.add(
+    "detect_every_name_pattern",
+    "select column_name, case "
+    + " ".join(
+        f"when regexp_matches(flat, '{pattern}') then '{level}'"
+        for pattern, level in NAME_PATTERNS
+    )
+    + " end as sensitivity from (select *, regexp_replace(lower(column_name), '[^a-z0-9]', '', 'g') "
+    f"as flat from ({plain(_NAMES)}))",
+)
+def detect_every_name_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.by_name(run_sql(spark, sf_dir, _NAMES))
