@@ -152,57 +152,87 @@ def changes(
 
     ``covered`` says the scan saw the whole catalog; only then can anything
     have been removed. A forced rescan of an unchanged container is no change.
+
+    Everything known about a container meets in one shuffle on its key; the lists
+    gathered there are as long as the container is wide.
     """
-    done = compared.where(F.col("outcome") == DONE)
-    none = F.lit(None).cast("string")
-    no_detail = F.lit(None).cast(CHANGES["detail"])
-    added = done.where(F.col("old_hash").isNull()).select(
-        *CONTAINER_KEY,
-        F.lit(CONTAINER_ADDED).alias("change_type"),
-        none.alias("old_hash"),
-        F.col("schema_hash").alias("new_hash"),
-        no_detail.alias("detail"),
+    nothing = F.lit(None)
+    shape = {
+        "outcome": "string",
+        "old_hash": "string",
+        "schema_hash": "string",
+        "recorded": "boolean",
+        "then": "struct<name:string,type:string>",
+        "now": "struct<name:string,type:string>",
+    }
+
+    def part(df: DataFrame, **given: Column) -> DataFrame:
+        return df.select(
+            *CONTAINER_KEY,
+            *[given.get(n, nothing).cast(kind).alias(n) for n, kind in shape.items()],
+        )
+
+    column = F.struct(F.col("column_name").alias("name"), F.col("native_type").alias("type"))
+    hashes = {name: F.col(name) for name in ("outcome", "old_hash", "schema_hash")}
+    gathered = (
+        part(compared, **hashes)
+        .unionAll(part(previous, recorded=F.lit(True)))
+        .unionAll(part(previous_columns, then=column))
+        .unionAll(part(current_columns, now=column))
+        .groupBy(*CONTAINER_KEY)
+        .agg(
+            *[F.max(name).alias(name) for name in (*hashes, "recorded")],
+            F.collect_list("then").alias("then"),
+            F.collect_list("now").alias("now"),
+        )
     )
-    moved = done.where(F.col("old_hash") != F.col("schema_hash")).select(
-        *CONTAINER_KEY, "old_hash", F.col("schema_hash").alias("new_hash")
+    done = F.col("outcome") == DONE
+    kind = (
+        F.when(done & F.col("old_hash").isNull(), F.lit(CONTAINER_ADDED))
+        .when(done & (F.col("old_hash") != F.col("schema_hash")), F.lit(SCHEMA_CHANGED))
+        .when(
+            F.lit(covered) & F.col("recorded") & F.col("outcome").isNull(),
+            F.lit(CONTAINER_REMOVED),
+        )
     )
-    keys = moved.select(*CONTAINER_KEY)
 
-    def names(kind: str) -> Column:
-        picked = F.array_sort(
-            F.collect_list(F.when(F.col("change") == kind, F.col("detail")))
-        )
-        return F.when(F.size(picked) > 0, picked).alias(kind)
+    def names(columns: str) -> Column:
+        return F.transform(columns, lambda c: c["name"])
 
-    details = (
-        column_changes(
-            previous_columns.join(keys, CONTAINER_KEY, "left_semi"),
-            current_columns.join(keys, CONTAINER_KEY, "left_semi"),
+    def listed(names: Column) -> Column:
+        names = F.array_sort(names)
+        return F.when(F.size(names) > 0, names)
+
+    def retyped(now: Column) -> Column:
+        old = F.get(F.filter("then", lambda then: then["name"] == now["name"]), F.lit(0))
+        return F.when(
+            old["type"] != now["type"], retype_text(now["name"], old["type"], now["type"])
         )
-        .groupBy(*CONTAINER_KEY)
-        .agg(names("added"), names("removed"), names("retyped"))
-        .select(*CONTAINER_KEY, F.struct("added", "removed", "retyped").alias("detail"))
-    )
-    changed = moved.join(details, CONTAINER_KEY, "left").select(
-        *CONTAINER_KEY,
-        F.lit(SCHEMA_CHANGED).alias("change_type"),
-        "old_hash",
-        "new_hash",
-        "detail",
+
+    detail = F.struct(
+        listed(F.array_except(names("now"), names("then"))).alias("added"),
+        listed(F.array_except(names("then"), names("now"))).alias("removed"),
+        listed(
+            F.array_compact(F.transform(F.array_except("now", "then"), retyped))
+        ).alias("retyped"),
     )
-    out = added.unionByName(changed)
-    if covered:
-        out = out.unionByName(
-            removed(compared, previous).select(
-                *CONTAINER_KEY,
-                F.lit(CONTAINER_REMOVED).alias("change_type"),
-                none.alias("old_hash"),
-                none.alias("new_hash"),
-                no_detail.alias("detail"),
-            )
+    changed = F.col("change_type") == SCHEMA_CHANGED
+    differs = F.coalesce("detail.added", "detail.removed", "detail.retyped").isNotNull()
+    return (
+        gathered.withColumn("change_type", kind)
+        .where(F.col("change_type").isNotNull())
+        .withColumn("detail", detail)
+        .select(
+            *CONTAINER_KEY,
+            "change_type",
+            F.when(changed, F.col("old_hash")).alias("old_hash"),
+            F.when(done, F.col("schema_hash")).alias("new_hash"),
+            F.when(changed & differs, F.col("detail"))
+            .cast(CHANGES["detail"])
+            .alias("detail"),
+            F.lit(job_id).alias("job_id"),
+            detected_at.alias("detected_at"),
         )
-    return out.withColumns(
-        {"job_id": F.lit(job_id), "detected_at": detected_at}
     )
 
 

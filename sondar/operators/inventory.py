@@ -16,6 +16,7 @@ from sondar.model import (
     CONTAINERS,
     DONE,
     FAILED,
+    LISTED_COLUMNS,
     NONE,
     PII,
     PROFILE_VALUE,
@@ -81,16 +82,31 @@ def sync_columns(
     """Columns after a scan: those of scanned containers become what the source
     lists, keeping descriptions, verdicts and profiles of the survivors; all
     other containers keep theirs."""
-    done = compared.where(F.col("outcome") == DONE).select(*CONTAINER_KEY)
-    kept_fields = [*_WRITTEN, "sensitivity", "sensitivity_source", "profile"]
-    fresh = (
-        current.join(done, CONTAINER_KEY, "left_semi")
-        .join(previous.select(*COLUMN_KEY, *kept_fields), COLUMN_KEY, "left")
-        .withColumn("scanned_at", scanned_at)
-        .select(*[F.col(name).cast(kind).alias(name) for name, kind in COLUMNS.items()])
+    done = compared.where(F.col("outcome") == DONE).select(
+        *CONTAINER_KEY, F.lit(True).alias("_done")
+    )
+    old = _prefixed(previous, COLUMN_KEY, "old_").withColumn("_had", F.lit(True))
+    new = _prefixed(current, COLUMN_KEY, "new_").withColumn("_has", F.lit(True))
+    scanned = F.col("_done").isNotNull()
+
+    def pick(name: str) -> Column:
+        if name == "scanned_at":
+            fresh = scanned_at
+        else:
+            fresh = F.col(("new_" if name in LISTED_COLUMNS else "old_") + name)
+        return F.when(scanned, fresh).otherwise(F.col("old_" + name))
+
+    return (
+        old.join(new, COLUMN_KEY, "full")
+        .join(done, CONTAINER_KEY, "left")
+        .where(F.when(scanned, F.col("_has")).otherwise(F.col("_had")))
+        .select(
+            *[
+                F.col(name) if name in COLUMN_KEY else pick(name).cast(kind).alias(name)
+                for name, kind in COLUMNS.items()
+            ]
+        )
     )
-    untouched = previous.join(done, CONTAINER_KEY, "left_anti")
-    return fresh.unionByName(untouched.select(*COLUMNS))
 
 
 def forget(df: DataFrame, gone: DataFrame) -> DataFrame:

@@ -20,7 +20,6 @@ from sondar.model import (
 from sondar.operators import drift, inventory
 from sondar.operators.browse import recent_changes
 from sondar.operators.sensitivity import by_name, record_detected, with_recorded
-from sondar.session import keep, scratch_dir
 from workload import derived as d
 from workload import plain, registry
 
@@ -28,24 +27,15 @@ _AT = "timestamp '2024-06-01 00:00:00'"
 
 
 class Looks:
-    """Both looks at the catalog and the inventory after the first.
-
-    As in a scan, what several steps read is a written table: the inventory
-    itself and the comparison with it.
-    """
+    """Both looks at the catalog and the inventory after the first."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
-        self._root = None
 
     def _read(self, text: str) -> DataFrame:
         return d.frame(self.spark, self.sf_dir, text)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        self._root = self._root or scratch_dir(self.spark, "looks")
-        return keep(df, f"{self._root}/{name}")
-
     @cached_property
     def columns(self) -> DataFrame:
         return self._read(d.COLUMNS_NOW)
@@ -69,22 +59,6 @@ class Looks:
         first = drift.fingerprint(self._read(d.CONTAINERS_THEN), self._read(d.COLUMNS_THEN))
         return d.stored_containers(first)
 
-    def scanned(self) -> Looks:
-        """Keeps the inventory, the new listing and the comparison."""
-        self.stored_columns = self._keep(self.stored_columns, "stored_columns")
-        self.stored = self._keep(
-            d.stored_containers(
-                drift.fingerprint(
-                    self._read(d.CONTAINERS_THEN),
-                    self.stored_columns.select(*LISTED_COLUMNS),
-                )
-            ),
-            "stored",
-        )
-        self.columns = self._keep(self.columns, "columns")
-        self.kept = self._keep(self.compared(), "compared")
-        return self
-
     def compared(self, **options: bool) -> DataFrame:
         return drift.compare(self.containers, self.stored, **options)
 
@@ -183,9 +157,8 @@ _CHANGES_ALL = (
 
 
 def _changes(looks: Looks, covered: bool = True) -> DataFrame:
-    looks = looks.scanned()
     return drift.changes(
-        looks.kept,
+        looks.compared(),
         looks.columns,
         looks.stored,
         looks.stored_columns,
@@ -262,8 +235,7 @@ from ({d.STORED_CONTAINERS}) o full join ({d.COMPARED}) c
 
 
 def _upserted(looks: Looks) -> DataFrame:
-    looks = looks.scanned()
-    return inventory.upsert_containers(looks.stored, looks.kept, at()).select(
+    return inventory.upsert_containers(looks.stored, looks.compared(), at()).select(
         *CONTAINER_KEY,
         "container_type",
         "estimated_count",
@@ -312,9 +284,8 @@ _SYNCED_NAMES = [*COLUMN_KEY, *_FIELDS.split(", "), *_KEPT.split(", ")]
 
 
 def _synced(looks: Looks) -> DataFrame:
-    looks = looks.scanned()
     return inventory.sync_columns(
-        looks.stored_columns, looks.columns, looks.kept, at()
+        looks.stored_columns, looks.columns, looks.compared(), at()
     )
 
 
