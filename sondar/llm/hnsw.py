@@ -3,9 +3,9 @@
 Different vectors of a label are dealt to shards of bounded size.  Each shard gets
 a hierarchical graph; every vector of the label queries every shard's graph.  A search
 keeps a beam of candidates and then walks on from whatever is close enough, so
-results do not end with the beam.  In each shard some queries are repeated by
-brute force; until enough of their links are found, the beam is doubled and all queries
-run again.  The cosine of every link is verified in double precision.
+results do not end with the beam.  In each shard queries are repeated by brute force
+until enough of them had partners; until enough of their links are found, the beam is
+doubled.  The cosine of every link is verified in double precision.
 
 A shard answers with the number of links of each vector and one edge for
 each component it touches, never with all pairs.
@@ -163,34 +163,73 @@ def _unit(raw: np.ndarray) -> np.ndarray:
 
 
 def audited(graph: Graph, raw: np.ndarray, queries: np.ndarray, least: float, recall: float = RECALL,
-            beam: int = BEAM, sample: int = AUDITED) -> tuple[list[list[int]], int, float]:
+            beam: int = BEAM, sample: int = AUDITED) -> tuple[list[list[int]], int, float | None]:
     """For each query the vectors of the graph with a cosine of at least ``least``,
-    the beam used and the recall measured on a sample of the queries.
-
-    The beam is doubled until the recall is reached; as wide as the shard, it finds
-    whatever is connected, and what brute force finds is taken for the sampled queries.
+    the beam used and the recall measured on queries that have partners (None where no
+    query has one).  Where the queries are ``raw`` itself, a vector is no partner of its own.
+
+    Queries are repeated by brute force in blocks of ``sample``, until those with partners
+    make up for ``sample`` members of pairs or no query is left; each weighs as little as its
+    group is large, so that a large group does not hide the pairs.  The recall is the mean
+    over up to ``sample`` queries with about as many partners (by powers of two), and the
+    least of these means counts.  The beam is doubled until the recall is reached; if one as
+    wide as the shard does not, all queries are repeated.  A repeated query is answered in full.
     """
     units = _unit(queries)
     norms, query_norms = np.sqrt((raw * raw).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
+    own, slack = queries is raw, least - 1e-9
 
     def exact(k: int, found: np.ndarray) -> list[int]:
         cosine = raw[found] @ queries[k] / (norms[found] * query_norms[k])
         return found[cosine >= least].tolist()
 
-    slack = least - 1e-9
-    picked = np.unique(np.linspace(0, len(queries) - 1, min(sample, len(queries))).astype(int))
-    truth = {int(k): set(exact(int(k), np.flatnonzero(graph.x @ units[k] >= slack))) for k in picked}
-    total = sum(map(len, truth.values()))
-    while True:
-        met = {k: len(t & set(exact(k, np.array(graph.within(units[k], slack, beam), dtype=np.int64)))) for k, t in truth.items()}
-        reached = sum(met.values()) / total if total else 1.0
-        if reached >= recall or beam >= len(raw):
-            break
+    def partners(k: int, found: list[int]) -> int:
+        return len(found) - (own and k in found)
+
+    def met(k: int) -> list[int]:
+        return exact(k, np.array(graph.within(units[k], slack, beam), dtype=np.int64))
+
+    # Partners of the repeated queries: numbers only, a group may be large.
+    true: dict[int, int] = {}
+    order = np.random.default_rng(len(queries)).permutation(len(queries))
+
+    def repeat(enough: float) -> None:
+        weight = sum(1 / (1 + n) for n in true.values() if n)
+        at_once = max(1, min(sample, (4 << 20) // max(len(raw), 1)))
+        while weight < enough and len(true) < len(order):
+            block = order[len(true) : len(true) + at_once]
+            cosine = units[block] @ graph.x.T
+            near, sure = (np.count_nonzero(cosine >= c, axis=1) for c in (slack, least + 1e-9))
+            for r, k in enumerate(block.tolist()):
+                # Only where rounding could decide are the cosines verified to be counted.
+                true[k] = int(sure[r]) - own if near[r] == sure[r] else partners(k, exact(k, np.flatnonzero(cosine[r] >= slack)))
+                weight += 1 / (1 + true[k]) if true[k] else 0
+
+    def reached() -> float | None:
+        classes: dict[int, list[float]] = {}
+        for k, n in true.items():
+            if n and len(shares := classes.setdefault(n.bit_length(), [])) < sample:
+                shares.append(partners(k, met(k)) / n)
+        return min((sum(x) / len(x) for x in classes.values()), default=None)
+
+    # A member of a pair weighs a half.
+    repeat(sample / 2)
+    measured = reached()
+    while measured is not None and measured < recall and beam < len(raw):
         beam *= 2
-    found = [exact(k, np.array(graph.within(units[k], slack, beam), dtype=np.int64)) for k in range(len(queries))]
-    for k, t in truth.items():
-        found[k] = sorted(t)
-    return found, beam, reached
+        measured = reached()
+    if measured is not None and measured < recall:
+        repeat(math.inf)
+    found = []
+    for k in range(len(queries)):
+        if true.get(k) == 0:
+            found.append([k] if own else [])
+            continue
+        hits = met(k)
+        if partners(k, hits) < true.get(k, 0):
+            hits = exact(k, np.flatnonzero(graph.x @ units[k] >= slack))
+        found.append(hits)
+    return found, beam, measured
 
 
 _FOUND = "vec long, links long, root long, beam int, recall double"
@@ -213,7 +252,7 @@ def _build(least: float, recall: float):
         links = np.bincount(i, copies[j], len(ids)).astype(np.int64) + copies - 1
         label = forest(i, j, len(ids))
         return pa.table({"vec": ids, "links": links, "root": ids[label], "beam": np.full(len(ids), beam, np.int32),
-                         "recall": np.full(len(ids), reached)})
+                         "recall": pa.array([reached] * len(ids), pa.float64())})
 
     return build
 
@@ -251,7 +290,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     null or non-finite components link with nothing.  ``n_links`` counts the other rows
     linked directly, ``component_id`` is the smallest id reachable, and ``kept`` says that it
     is the row's own.  ``recall`` is what the audit of the row's shard measured (null
-    where nothing was searched).  Rows with equal vectors link and count one by one; rows
+    where nothing was searched or no vector had a partner).  Rows with equal vectors link and count one by one; rows
     without an id have themselves alone in the result (null component) but count as links.
 
     A vector meets the shards of its label only; their number grows with the label, so a label

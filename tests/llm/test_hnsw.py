@@ -63,6 +63,45 @@ def test_widening_reaches_the_recall():
     assert beam > 1 and sum(map(len, found)) > 900
 
 
+class Missing(hnsw.Graph):
+    """A graph whose searches miss the pairs until the beam is wide."""
+
+    pairs: set = frozenset()
+
+    def within(self, q, least, beam):
+        k = int((self.x @ q).argmax())
+        return [k] if beam < 96 and k in self.pairs else np.flatnonzero(self.x @ q >= least).tolist()
+
+
+def test_audit_sees_rare_pairs_and_no_selves():
+    raw = np.random.default_rng(3).normal(size=(1500, 32))
+    raw[700] = raw[20] + 0.001
+    graph = Missing(hnsw._unit(raw), neighbours=2, beam=2)
+    graph.pairs = {20, 700}
+    found, beam, reached = hnsw.audited(graph, raw, raw, 0.98)
+    assert beam == 96 and reached == 1 and sorted(found[20]) == sorted(found[700]) == [20, 700]
+    found, beam, reached = hnsw.audited(graph, raw, np.random.default_rng(4).normal(size=(200, 32)), 0.98)
+    assert reached is None and not any(found)
+
+
+def test_audit_is_not_drowned_by_a_large_group():
+    rng = np.random.default_rng(6)
+    raw = rng.normal(size=(2000, 32))
+    raw[:1600] = raw[0] + rng.normal(size=(1600, 32)) * 0.02
+    raw[1800:1804] = raw[1900:1904] + 0.001
+    graph = Missing(hnsw._unit(raw), neighbours=2, beam=2)
+    graph.pairs = {*range(1800, 1804), *range(1900, 1904)}
+    found, beam, reached = hnsw.audited(graph, raw, raw, 0.98)
+    assert beam == 96 and reached >= 0.99
+    assert all(sorted(found[k]) == [k, k + 100] for k in range(1800, 1804))
+
+
+def test_recall_is_null_without_partners(spark):
+    rows = [(i, 0, [float(i == j) for j in range(8)]) for i in range(8)]
+    got = hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert len(got) == 8 and all(r.recall is None and r.n_links == 0 for r in got)
+
+
 def test_empty_and_repeated(spark):
     schema = "vec_id long, label int, embedding array<float>"
     assert hnsw.near_duplicates(spark.createDataFrame([], schema)).count() == 0
