@@ -12,6 +12,7 @@ rows; every text is scored whole.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
@@ -22,6 +23,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,6 @@ from sondar.llm.common import fresh, quoted, slices
 from sondar.llm.labelled import SAMPLE_ROWS, fit_logistic, held_out, training_labels
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
-CANDIDATES = 4000
 MAX_CLEAN = 0.02
 #: Words beyond which a longer text no longer weakens what is found in it.
 DILUTION = 1000
@@ -129,6 +130,10 @@ class Lexicon:
         return 1 / (1 + math.exp(-min(max(z, -35), 35)))
 
 
+#: Sums of hashes of 40 bits tell sets of toxic documents apart.
+_PARTS = 3
+
+
 def _entries(text: str | None) -> set[str]:
     found: set[str] = set()
     for word in set(folded(text).split()):
@@ -138,21 +143,33 @@ def _entries(text: str | None) -> set[str]:
 
 
 def _counted(sample: DataFrame) -> DataFrame:
-    """(entry, toxic, clean): documents of the sample with each entry."""
+    """(entry, toxic, clean, which): documents of the sample with each entry; entries
+    with an equal ``which`` are in the same toxic documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = (Counter(), Counter())
+            seen, which = (Counter(), Counter()), [Counter() for _ in range(_PARTS)]
             for part in slices(batch, "t"):
                 for text, y in zip(part.column("t").to_pylist(), part.column("y").to_pylist()):
-                    seen[y].update(_entries(text))
+                    found = _entries(text)
+                    seen[y].update(found)
+                    if y:
+                        digest = xxhash.xxh3_128_intdigest(text or "")
+                        for k, sums in enumerate(which):
+                            piece = digest >> 40 * k & (1 << 40) - 1
+                            for e in found:
+                                sums[e] += piece
             names = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([seen[1][n] for n in names], pa.int64()),
-                 pa.array([seen[0][n] for n in names], pa.int64())], names=["entry", "toxic", "clean"])
+                 pa.array([seen[0][n] for n in names], pa.int64()),
+                 *[pa.array([sums[n] for n in names], pa.int64()) for sums in which]],
+                names=["entry", "toxic", "clean", *parts])
 
-    counts = sample.mapInArrow(count, "entry string, toxic long, clean long")
-    return counts.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    parts = [f"w{k}" for k in range(_PARTS)]
+    counts = sample.mapInArrow(count, "entry string, toxic long, clean long, " + ", ".join(f"{w} long" for w in parts))
+    return counts.groupBy("entry").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.struct(*[F.sum(w) for w in parts]).alias("which"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -160,11 +177,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
           exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from at most ``rows`` labelled ids outside the held-out fold.
 
-    The words of ``BASE`` are in from the start.  Candidates are the ``CANDIDATES``
-    entries with the most toxic documents among those rarely found in clean ones, the
-    longest first where several have as many.  They are taken greedily, each for the toxic
-    documents that no earlier one explains, so that the words of one much-copied
-    document do not enter.  Without both classes the lexicon is empty and scores
+    The words of ``BASE`` are in from the start.  Candidates are all entries rarely found
+    in clean documents; of those in the same toxic documents only the longest could ever
+    be taken, so the others stay out.  They are taken greedily, each for the toxic
+    documents that no earlier one explains, so that not all words of one much-copied
+    document enter.  Without both classes the lexicon is empty and scores
     are the classes' share.
     """
     picked = F.broadcast(training_labels(labels, id_col, label, folds, fold_out, rows))
@@ -179,10 +196,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     least = max(2, toxic // 500)
     known = F.col("entry").isin(list(base))
     rare = (F.col("toxic") >= least) & (F.col("clean") <= 1 + clean // 1000) & (rate <= MAX_CLEAN * (F.col("toxic") / toxic + 1))
+    counted = _counted(sample).where(known | rare)
+    # The words of BASE stay each for itself.
     best = (
-        _counted(sample).where(known | rare)
-        .orderBy(F.desc(known), F.desc("toxic"), F.desc(F.length("entry")), "entry")
-        .limit(CANDIDATES + len(base)).collect()
+        counted.groupBy("toxic", "which", F.when(known, F.col("entry")).alias("base"))
+        .agg(F.min(F.struct((-F.length("entry")).alias("n"), "entry", "clean")).alias("one"))
+        .select("one.entry", "toxic", "one.clean").collect()
     )
     counts = {r["entry"]: (r["toxic"], r["clean"]) for r in best}
     names = sorted(counts)
@@ -210,11 +229,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     weights = {e: max(w, log_odds(e)) for e, w in base.items() if not struck(e)}
     left = set().union(*docs_of.values()) if docs_of else set()
     left = left.difference(*(docs_of.get(place[e], ()) for e in weights if e in place))
-    while left:
-        e = max(docs_of, key=lambda x: (len(docs_of[x] & left), len(names[x]), -x))
+    # What an entry explains only shrinks, so one still first after a new count is the best.
+    waiting = [(-len(d), -len(names[e]), e) for e, d in docs_of.items()]
+    heapq.heapify(waiting)
+    while waiting and -waiting[0][0] >= least:
+        before, length, e = heapq.heappop(waiting)
         gain = docs_of[e] & left
-        if len(gain) < least:
-            break
+        if len(gain) < -before:
+            heapq.heappush(waiting, (-len(gain), length, e))
+            continue
         weights[names[e]] = log_odds(names[e])
         left -= gain
     lexicon = Lexicon(weights, exceptions)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -50,6 +51,18 @@ def test_learns_and_keeps_folds_apart(spark, made):
     assert by[None] == [1] and by[1000] == by[1001] == [0] and sorted(by[1002]) == [0, 1]
 
 
+def test_much_copied_document_leaves_room_for_other_words(spark):
+    draw = random.Random(7)
+    copied = " ".join("".join(draw.choices("bcdfghklmnprstvz", k=12)) for _ in range(900))
+    docs = [(i, copied if i % 4 == 0 else "nothing but words here") for i in range(300)]
+    docs += [(i, f"here are words and grunzel number{i}") for i in range(300, 312)]
+    labels = [(i, int(i % 4 == 0 or i >= 300)) for i, _ in docs]
+    lexicon = toxicity.learn(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    learnt = set(lexicon.weights) - {folded(w) for w in toxicity.BASE}
+    assert " grunzel " in learnt and len(learnt) == 2
+
+
 def test_held_out_labels_change_nothing(spark, made):
     docs, labels = made
     held = [r for r in labels.collect() if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
