@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sondar.llm.common import fresh, quoted
+from sondar.llm.common import quoted
 from sondar.llm.labelled import SAMPLE_ROWS, fit_logistic, held_out, training_labels
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
@@ -150,27 +150,31 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     return fit(list(stats), values[:, 1:], values[:, 0])
 
 
-def _score(docs: DataFrame, rules: Rules, text: str) -> tuple[DataFrame, Column, list[str]]:
-    """The frame with the statistics that the rules use, and the score over them."""
+def _score(rules: Rules, text: str) -> Column:
+    """The score over the statistics that the rules use.
+
+    A filter on the score copies its expression, so the statistics stand in it once, as
+    a struct that a function of one element is applied to.
+    """
     stats = statistics(quoted(text))
     used = sorted({rules.names[f] for path in rules.paths for f, _, _ in path})
-    named = {n: fresh(docs, f"_{n}") for n in used}
-    frame = docs.select("*", *[stats[n].alias(c) for n, c in named.items()])
-    return frame, rules.score({n: F.col(c) for n, c in named.items()}), list(named.values())
+    if not used:
+        return rules.score(stats)
+    once = F.array(F.struct(*[stats[n].alias(n) for n in used]))
+    return F.transform(once, lambda s: rules.score({n: s[n] for n in used}))[0]
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
            threshold: float = THRESHOLD) -> DataFrame:
-    """(id_col, held_out, score, predicted) for every row; null texts count as empty."""
+    """(id_col, held_out, score, predicted) for every row, repeated ones too; null texts count as empty."""
     rules = learn(docs, labels, id_col, text, label)
-    frame, value, _ = _score(docs.select(quoted(id_col), quoted(text)), rules, text)
-    return frame.select(quoted(id_col), held_out(id_col, FOLDS, HELD_OUT).alias("held_out"), value.alias("score")).select(
+    return docs.select(
+        quoted(id_col), held_out(id_col, FOLDS, HELD_OUT).alias("held_out"), _score(rules, text).alias("score")).select(
         "*", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
          threshold: float = THRESHOLD) -> DataFrame:
-    """The rows scored at least ``threshold``, with their own columns."""
+    """The rows scored at least ``threshold``, with their own columns; repeated rows stay or go together."""
     rules = learn(docs, labels, id_col, text, label)
-    frame, value, _ = _score(docs, rules, text)
-    return frame.where(value >= threshold).select(*[quoted(c) for c in docs.columns])
+    return docs.where(_score(rules, text) >= threshold)

@@ -27,11 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondar.llm.common import fresh, quoted, slices
+from sondar.llm.common import fresh, quoted, slices, staged
 from sondar.llm.labelled import SAMPLE_ROWS, fit_logistic, held_out, training_labels
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 MAX_CLEAN = 0.02
+#: Clean documents for each toxic one that an entry may be found in.
+WRONG = 0.125
 #: Words beyond which a longer text no longer weakens what is found in it.
 DILUTION = 1000
 SHORTEST, LONGEST = 4, 10
@@ -81,7 +83,8 @@ def folded(text: str | None) -> str:
 @dataclass
 class Lexicon:
     """Weights of words (" word ") and word beginnings (" begin"), exception
-    phrases, and the weights of (log sum, what a short text adds to it, 1)."""
+    phrases, and the weights of (log sum, what a short text adds to it, 1).  An entry
+    written with a 2 before it counts from its second place on."""
 
     weights: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
@@ -97,8 +100,11 @@ class Lexicon:
             for phrase in self.exceptions:
                 entry = folded(phrase)
                 machine.add_word(entry, (len(entry), None))
+            once = {e.removeprefix("2"): [0.0, 0.0] for e in self.weights}
             for entry, weight in self.weights.items():
-                machine.add_word(entry, (len(entry), weight))
+                once[entry.removeprefix("2")][entry[0] == "2"] = weight
+            for entry, weight in once.items():
+                machine.add_word(entry, (len(entry), (entry, *weight)))
             if len(machine):
                 machine.make_automaton()
             self.automaton = machine
@@ -106,17 +112,23 @@ class Lexicon:
 
     def total(self, words: str) -> float:
         """The summed weights in folded text; a word counts once, with its
-        heaviest entry, unless an exception phrase covers it."""
-        machine, hits, harmless = self._built(), {}, []
+        heaviest entry, unless an exception phrase covers it.  Entries that count when
+        repeated add their weight for each place after the first."""
+        machine, hits, harmless, again = self._built(), {}, [], {}
         if not len(machine):
             return 0.0
-        for end, (length, weight) in machine.iter(words):
+        for end, (length, entry) in machine.iter(words):
             start = end + 1 - length
-            if weight is None:
+            if entry is None:
                 harmless.append((start, end))
-            else:
+                continue
+            name, weight, repeated = entry
+            if weight:
                 hits[start] = max(hits.get(start, weight), weight)
-        return sum(w for s, w in hits.items() if not any(a <= s < b for a, b in harmless))
+            if repeated:
+                again.setdefault((name, repeated), []).append(start)
+        free = [lambda s: True, lambda s: not any(a <= s < b for a, b in harmless)][bool(harmless)]
+        return sum(w for s, w in hits.items() if free(s)) + sum(w * max(sum(map(free, at)) - 1, 0) for (_, w), at in again.items())
 
     def features(self, text: str | None) -> tuple[float, float]:
         words = folded(text)
@@ -135,11 +147,12 @@ _PARTS = 3
 
 
 def _entries(text: str | None) -> set[str]:
-    found: set[str] = set()
-    for word in set(folded(text).split()):
-        found.add(f" {word} ")
-        found.update(f" {word[:n]}" for n in range(SHORTEST, min(LONGEST, len(word) - 1) + 1))
-    return found
+    found: Counter[str] = Counter()
+    for word, n in Counter(folded(text).split()).items():
+        found[f" {word} "] += n
+        for k in range(SHORTEST, min(LONGEST, len(word) - 1) + 1):
+            found[f" {word[:k]}"] += n
+    return found.keys() | {f"2{e}" for e, n in found.items() if n > 1}
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -182,10 +195,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     be taken, so the others stay out.  They are taken greedily, each for the toxic
     documents that no earlier one explains, so that not all words of one much-copied
     document enter.  Without both classes the lexicon is empty and scores
-    are the classes' share.
+    are the classes' share.  Of an id with several texts the one of the smallest hash
+    is learnt from, null as empty.  The driver holds the candidates and
+    four bytes for each of them in each toxic row, of which there are at most ``rows``.
     """
     picked = F.broadcast(training_labels(labels, id_col, label, folds, fold_out, rows))
-    sample = docs.select(quoted(id_col).alias("id"), quoted(text).alias("t")).join(picked, "id").select("t", "y")
+    sample = docs.select(quoted(id_col).alias("id"), F.coalesce(quoted(text), F.lit("")).alias("t")).join(picked, "id")
+    # One text an id, so that the bound on ids bounds the rows; kept, as it is read several times.
+    sample = staged(sample.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t"), F.max("y").alias("y")).select("t", "y"), "labelled")
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     share = (toxic + 0.5) / (toxic + clean + 1)
@@ -195,12 +212,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     rate = (F.col("clean") + 0.5) / (clean + 1)
     least = max(2, toxic // 500)
     known = F.col("entry").isin(list(base))
-    rare = (F.col("toxic") >= least) & (F.col("clean") <= 1 + clean // 1000) & (rate <= MAX_CLEAN * (F.col("toxic") / toxic + 1))
+    # An entry of many toxic documents may be in a few clean ones, by chance or by a wrong label.
+    few = F.greatest(F.lit(1 + clean // 1000), F.floor(F.col("toxic") * WRONG))
+    rare = (F.col("toxic") >= least) & (F.col("clean") <= few) & (rate <= MAX_CLEAN * (F.col("toxic") / toxic + 1))
     counted = _counted(sample).where(known | rare)
     # The words of BASE stay each for itself.
     best = (
         counted.groupBy("toxic", "which", F.when(known, F.col("entry")).alias("base"))
-        .agg(F.min(F.struct((-F.length("entry")).alias("n"), "entry", "clean")).alias("one"))
+        .agg(F.min(F.struct((-F.length(F.ltrim(F.col("entry"), F.lit("2")))).alias("n"), "entry", "clean")).alias("one"))
         .select("one.entry", "toxic", "one.clean").collect()
     )
     counts = {r["entry"]: (r["toxic"], r["clean"]) for r in best}
@@ -213,11 +232,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                 found = [sorted(place[e] for e in _entries(t) if e in place) for t in part.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["e"])
 
-    docs_of: dict[int, set[int]] = {}
-    toxic_rows = sample.where("y = 1").select("t").mapInArrow(explained, "e array<int>").limit(rows)
-    for d, row in enumerate(toxic_rows.collect()):
-        for e in row["e"]:
-            docs_of.setdefault(e, set()).add(d)
+    # The rows of each entry, end to end: four bytes a pair.
+    found = sample.where("y = 1").select("t").mapInArrow(explained, "e array<int>").toArrow().column("e").combine_chunks()
+    pairs = found.flatten().to_numpy()
+    row_of = np.repeat(np.arange(len(found), dtype=np.int32), np.diff(found.offsets.to_numpy()))
+    docs_of = row_of[np.argsort(pairs, kind="stable")]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(pairs, minlength=len(names)))])
+
+    def rows_of(entry: int) -> np.ndarray:
+        return docs_of[begin[entry] : begin[entry + 1]]
+
     def struck(entry: str) -> bool:
         a, b = counts.get(entry, (0, 0))
         return b > 1 and b / clean > MAX_CLEAN * (a + 1) / toxic
@@ -227,19 +251,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         return math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1)) if a >= least else 0.0
 
     weights = {e: max(w, log_odds(e)) for e, w in base.items() if not struck(e)}
-    left = set().union(*docs_of.values()) if docs_of else set()
-    left = left.difference(*(docs_of.get(place[e], ()) for e in weights if e in place))
+    left = np.ones(len(found), dtype=bool)
+    for e in weights:
+        if e in place:
+            left[rows_of(place[e])] = False
     # What an entry explains only shrinks, so one still first after a new count is the best.
-    waiting = [(-len(d), -len(names[e]), e) for e, d in docs_of.items()]
+    waiting = [(-int(n), -len(names[e]), e) for e, n in enumerate(np.diff(begin)) if n]
     heapq.heapify(waiting)
     while waiting and -waiting[0][0] >= least:
         before, length, e = heapq.heappop(waiting)
-        gain = docs_of[e] & left
+        gain = rows_of(e)
+        gain = gain[left[gain]]
         if len(gain) < -before:
             heapq.heappush(waiting, (-len(gain), length, e))
             continue
         weights[names[e]] = log_odds(names[e])
-        left -= gain
+        left[gain] = False
     lexicon = Lexicon(weights, exceptions)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,8 +277,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                     [pa.array([r[0] for r in rows_], pa.float64()), pa.array([r[1] for r in rows_], pa.float64()),
                      part.column("y").cast(pa.int32())], names=["a", "b", "y"])
 
-    points = sample.mapInArrow(measured, "a double, b double, y int").limit(rows).collect()
-    values = np.array([(r["a"], r["b"], r["y"]) for r in points], dtype=float)
+    points = sample.mapInArrow(measured, "a double, b double, y int").toArrow()
+    values = np.stack([points.column(c).to_numpy().astype(float) for c in ("a", "b", "y")], axis=1)
+    values = values[np.lexsort(values.T)]
     # First the sum, then what its share of a short text adds: a long text is not let
     # off because the sample's toxic texts happen to be short.
     (w,), intercept = fit_logistic(values[:, :1], values[:, 2], l2=1e-4)
@@ -280,7 +308,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "tox
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
            threshold: float = THRESHOLD) -> DataFrame:
-    """(id_col, held_out, score, predicted) for every row."""
+    """(id_col, held_out, score, predicted) for every row, repeated ones too; null texts count as empty."""
     lexicon = learn(docs, labels, id_col, text, label)
     rows = score(docs.select(quoted(id_col), quoted(text).alias(fresh(docs, "_t"))), lexicon, fresh(docs, "_t"), "score")
     return rows.select(
@@ -290,6 +318,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
           threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose score is below the threshold, with their own columns."""
+    """The rows whose score is below the threshold, with their own columns; a row at
+    the threshold goes, repeated rows go or stay together."""
     lexicon, out = learn(docs, labels, id_col, text, label), fresh(docs, "_score")
     return score(docs, lexicon, text, out).where(F.col(out) < threshold).drop(out)

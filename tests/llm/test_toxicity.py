@@ -1,8 +1,11 @@
+import math
 import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from sondar.llm import toxicity
 from sondar.llm.toxicity import Lexicon, folded
 
@@ -77,3 +80,64 @@ def test_clean_rows_keep_their_columns(spark, made, texts, nothing):
     assert toxicity.clean(texts, labels).count() == 8
     assert toxicity.clean(nothing, labels).count() == 0
     assert toxicity.scored(texts, labels.limit(0)).where("score between 0 and 1").count() == 8
+
+
+def plain(lexicon, text):
+    """The sum of weights by looking for every entry at every place."""
+    words = folded(text)
+
+    def places(entry):
+        return [i for i in range(len(words)) if words.startswith(entry, i)]
+
+    harmless = {i + k for phrase in lexicon.exceptions for i in places(folded(phrase)) for k in range(len(folded(phrase)) - 1)}
+    single = {}
+    for entry, weight in lexicon.weights.items():
+        for i in places(entry) if entry[0] != "2" else ():
+            single[i] = max(single.get(i, weight), weight)
+    again = sum(
+        w * max(0, len([i for i in places(e[1:]) if i not in harmless]) - 1) for e, w in lexicon.weights.items() if e[0] == "2")
+    return sum(w for i, w in single.items() if i not in harmless) + again
+
+
+def test_totals_equal_a_plain_matcher():
+    lexicon = Lexicon({" trash ": 2.0, " tra": 1.5, " grunz": 3.0, " grunzel ": 4.0, "2 grunz": 2.5, "2 bome": 1.0, " bomente": 0.5}, ("trash can", "can"))
+    draw = random.Random(5)
+    words = ["trash", "can", "tr4sh", "grunzel", "grunzelig", "bomente", "bomen", "Grunz", "xgrunz", "other", "trashcan"]
+    for _ in range(400):
+        text = " ".join(draw.choices(words, k=draw.randrange(12)))
+        assert math.isclose(lexicon.total(folded(text)), plain(lexicon, text)), text
+
+
+def test_repeated_beginnings_are_learnt(spark):
+    draw = random.Random(9)
+    filler = ["".join(draw.choices("bcdfghklmn", k=6)) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(600):
+        bad = i % 6 == 0
+        odd = [f"zorb{draw.choice(filler)}" for _ in range(3 if bad else int(i % 9 == 1))]
+        words = draw.choices(filler, k=40) + odd
+        draw.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    rows = toxicity.scored(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r for r in rows if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 6 == 0) for r in held) >= 0.98 * len(held)
+
+
+def test_repeated_ids_learn_from_one_text(spark, made):
+    docs, labels = made
+    copies = docs.unionByName(docs).unionByName(docs.where("doc_id < 40").withColumn("text", F.lit("zzz last")))
+    assert toxicity.learn(copies, labels) == toxicity.learn(copies.repartition(7, "text"), labels)
+
+
+def test_query_matches_the_plain_matcher(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    rows = entry.queries()["op10_toxicity"](spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(text)
+    for r in rows:
+        total, n = plain(lexicon, text[r.doc_id]), folded(text[r.doc_id]).count(" ")
+        a = math.log1p(total)
+        z = sum(w * x for w, x in zip(lexicon.scale, (a, math.log1p(toxicity.DILUTION * total / min(n, toxicity.DILUTION)) - a, 1)))
+        assert math.isclose(r.score, 1 / (1 + math.exp(-z)), rel_tol=1e-9) and r.predicted == (r.score >= 0.3)
