@@ -1,10 +1,12 @@
 """Near-duplicate embeddings by navigable small-world graphs.
 
 Different vectors of a label are dealt to shards of bounded size.  Each shard gets
-a hierarchical graph; every vector of the label queries every shard's graph.  A search
-keeps a beam of candidates and then walks on from whatever is close enough, so
-results do not end with the beam.  In each shard queries are repeated by brute force
-until enough of them had partners; until enough of their links are found, the beam is
+a hierarchical graph, built once; its own vectors query it, and then those of other shards
+of the label stream past.  Of two shards one queries the other, so that a link is found once and
+counts at both ends.  A search keeps a beam of candidates and then walks on from
+whatever is close enough, so results do not end with the beam.  Each graph is audited with planted queries,
+vectors of the shard moved a little, and with some of its own, against brute
+force for these alone; until enough of their links are found, the beam is
 doubled.  The cosine of every link is verified in double precision.
 
 A shard answers with the number of links of each vector and one edge for
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondar.llm.common import components, quoted, staged
-from sondar.llm.simhash import forest
 
 COSINE = 0.98
-SHARD_ROWS = 50_000
+SHARD_ROWS = 4096
 NEIGHBOURS = 10
 BUILD_BEAM = 48
 BEAM = 24
-AUDITED = 64
+PLANTED = AUDITED = 64
+CLOSEST = 0.999
 RECALL = 0.99
 
 
@@ -47,7 +50,8 @@ class Graph:
         for layer in range(self.top + 1) if len(vectors) else ():
             self.links[layer][0] = np.empty(0, np.int64)
         self.mark = np.zeros(len(vectors), dtype=np.int64)
-        self.stamp = 0
+        self.stamp = self.searches = 0
+        self.base: np.ndarray | None = None
         for i in range(1, len(vectors)):
             self._insert(i, beam)
 
@@ -133,152 +137,166 @@ class Graph:
         if level > self.top:
             self.top, self.entry = level, i
 
-    def within(self, q: np.ndarray, least: float, beam: int) -> list[int]:
+    def within(self, q: np.ndarray, least: float, beam: int) -> np.ndarray:
         """Vectors at least so similar, as far as found: those in the beam, and all
         that can be reached from them through such vectors."""
+        self.searches += 1
         if not len(self.x):
-            return []
+            return np.empty(0, np.int64)
+        if self.base is None:
+            # The lowest layer in one array, short lists filled up with the vector itself.
+            self.base = np.tile(np.arange(len(self.x))[:, None], 2 * self.most)
+            for i, near in self.links[0].items():
+                self.base[i, : len(near)] = near
         best = self._search(q, self._descend(q, 0), beam, 0)
-        found = [i for s, i in best if s >= least]
-        mark, stamp, links = self.mark, self.stamp, self.links[0]
-        # What the search has turned down may be looked at again from here.
-        hit = set(found)
-        waiting = list(found)
-        while waiting:
-            near = links[waiting.pop()]
-            new = [j for j in near.tolist() if j not in hit]
-            if not new:
-                continue
-            mark[new] = stamp
-            for s, j in zip((self.x[new] @ q).tolist(), new):
-                if s >= least:
-                    hit.add(j)
-                    found.append(j)
-                    waiting.append(j)
-        return found
+        ahead = np.array([i for s, i in best if s >= least], dtype=np.int64)
+        found, seen = [ahead], np.zeros(len(self.x), dtype=bool)
+        seen[ahead] = True
+        while len(ahead):
+            near = np.unique(self.base[ahead])
+            near = near[~seen[near]]
+            seen[near] = True
+            ahead = near[self.x[near] @ q >= least]
+            found.append(ahead)
+        return np.concatenate(found)
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
     return raw / np.sqrt((raw * raw).sum(axis=1))[:, None]
 
 
-def audited(graph: Graph, raw: np.ndarray, queries: np.ndarray, least: float, recall: float = RECALL,
-            beam: int = BEAM, sample: int = AUDITED) -> tuple[list[list[int]], int, float | None]:
-    """For each query the vectors of the graph with a cosine of at least ``least``,
-    the beam used and the recall measured on queries that have partners (None where no
-    query has one).  Where the queries are ``raw`` itself, a vector is no partner of its own.
-
-    Queries are repeated by brute force in blocks of ``sample``, until those with partners
-    make up for ``sample`` members of pairs or no query is left; each weighs as little as its
-    group is large, so that a large group does not hide the pairs.  The recall is the mean
-    over up to ``sample`` queries with about as many partners (by powers of two), and the
-    least of these means counts.  The beam is doubled until the recall is reached; if one as
-    wide as the shard does not, all queries are repeated.  A repeated query is answered in full.
-    """
-    units = _unit(queries)
-    norms, query_norms = np.sqrt((raw * raw).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
-    own, slack = queries is raw, least - 1e-9
-
-    def exact(k: int, found: np.ndarray) -> list[int]:
-        cosine = raw[found] @ queries[k] / (norms[found] * query_norms[k])
-        return found[cosine >= least].tolist()
-
-    def partners(k: int, found: list[int]) -> int:
-        return len(found) - (own and k in found)
-
-    def met(k: int) -> list[int]:
-        return exact(k, np.array(graph.within(units[k], slack, beam), dtype=np.int64))
-
-    # Partners of the repeated queries: numbers only, a group may be large.
-    true: dict[int, int] = {}
-    order = np.random.default_rng(len(queries)).permutation(len(queries))
-
-    def repeat(enough: float) -> None:
-        weight = sum(1 / (1 + n) for n in true.values() if n)
-        at_once = max(1, min(sample, (4 << 20) // max(len(raw), 1)))
-        while weight < enough and len(true) < len(order):
-            block = order[len(true) : len(true) + at_once]
-            cosine = units[block] @ graph.x.T
-            near, sure = (np.count_nonzero(cosine >= c, axis=1) for c in (slack, least + 1e-9))
-            for r, k in enumerate(block.tolist()):
-                # Only where rounding could decide are the cosines verified to be counted.
-                true[k] = int(sure[r]) - own if near[r] == sure[r] else partners(k, exact(k, np.flatnonzero(cosine[r] >= slack)))
-                weight += 1 / (1 + true[k]) if true[k] else 0
-
-    def reached() -> float | None:
-        classes: dict[int, list[float]] = {}
-        for k, n in true.items():
-            if n and len(shares := classes.setdefault(n.bit_length(), [])) < sample:
-                shares.append(partners(k, met(k)) / n)
-        return min((sum(x) / len(x) for x in classes.values()), default=None)
-
-    # A member of a pair weighs a half.
-    repeat(sample / 2)
-    measured = reached()
-    while measured is not None and measured < recall and beam < len(raw):
-        beam *= 2
-        measured = reached()
-    if measured is not None and measured < recall:
-        repeat(math.inf)
-    found = []
-    for k in range(len(queries)):
-        if true.get(k) == 0:
-            found.append([k] if own else [])
-            continue
-        hits = met(k)
-        if partners(k, hits) < true.get(k, 0):
-            hits = exact(k, np.flatnonzero(graph.x @ units[k] >= slack))
-        found.append(hits)
-    return found, beam, measured
+class Shard:
+    """The graph of a shard's vectors, and how wide its searches have to be."""
+
+    def __init__(self, raw: np.ndarray, least: float, recall: float = RECALL, beam: int = BEAM,
+                 planted: int = PLANTED, own: int = AUDITED):
+        self.raw, self.least, self.beam = raw, least, beam
+        self.norms = np.sqrt((raw * raw).sum(axis=1))
+        self.graph = Graph(_unit(raw))
+        self.complete = False
+        self.recall = self._audit(recall, planted, own)
+
+    def exact(self, query: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Of the vectors found those whose cosine, in double precision, is enough."""
+        cosine = self.raw[found] @ query / (self.norms[found] * np.sqrt(query @ query))
+        return found[cosine >= self.least]
+
+    def all_of(self, query: np.ndarray) -> np.ndarray:
+        near = self.graph.x @ (query / np.sqrt(query @ query))
+        return self.exact(query, np.flatnonzero(near >= self.least - 1e-9))
+
+    def links(self, query: np.ndarray) -> np.ndarray:
+        """The vectors linked to a query."""
+        if self.complete:
+            return self.all_of(query)
+        unit = query / np.sqrt(query @ query)
+        return self.exact(query, self.graph.within(unit, self.least - 1e-9, self.beam))
+
+    def _audit(self, recall: float, planted: int, own: int) -> float | None:
+        """The recall of the searches, None where no audited query has a partner.
+
+        Planted queries are vectors of the shard turned by a cosine between the least and
+        ``CLOSEST``; of the shard's own vectors, a sample is asked and none is its own partner.  The mean
+        is taken among queries with about as many partners (by powers of two), and the
+        least of these means counts, so that a large group does not hide the pairs.  The beam is doubled
+        until the recall is reached; should one as wide as the shard not do, all
+        its queries are answered by comparing them with every vector.
+        """
+        draw = np.random.default_rng(len(self.raw))
+        asked = []
+        for i in draw.integers(0, len(self.raw), planted if len(self.raw) else 0).tolist():
+            x = self.graph.x[i]
+            aside = draw.normal(size=len(x))
+            aside -= (aside @ x) * x
+            length = np.sqrt(aside @ aside)
+            if length > 0 and self.least < CLOSEST:
+                c = draw.uniform(self.least + (CLOSEST - self.least) / 100, CLOSEST)
+                asked.append((None, c * x + math.sqrt(1 - c * c) * aside / length))
+        asked += [(i, self.raw[i]) for i in draw.permutation(len(self.raw))[:own].tolist()]
+        classes: dict[int, list[tuple[np.ndarray, int, int]]] = {}
+        for i, query in asked:
+            n = len(true := self.all_of(query)) - (i is not None and i in true)
+            if n:
+                classes.setdefault(n.bit_length(), []).append((query, n, i is not None))
+        while classes:
+            reached = min(
+                np.mean([(len(self.links(query)) - mine) / n for query, n, mine in queries]) for queries in classes.values())
+            if reached >= recall:
+                return float(reached)
+            if self.beam >= len(self.raw):
+                self.complete = True
+                return 1.0
+            self.beam *= 2
+        return None
 
 
 _FOUND = "vec long, links long, root long, beam int, recall double"
 
 
-def _build(least: float, recall: float):
-    def build(table: pa.Table) -> pa.Table:
-        """The links of a shard's vectors among each other."""
-        table = table.sort_by("vec")
-        ids, copies = table.column("vec").to_numpy(), table.column("copies").to_numpy()
-        raw = np.array(table.column("v").to_pylist(), dtype=np.float64)
-        graph = Graph(_unit(raw))
-        found, beam, reached = audited(graph, raw, raw, least, recall)
+def _answers(least: float, recall: float):
+    def answered(rows: tuple[list, list, list]) -> tuple[Shard, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A shard's graph and its vectors' links among each other."""
+        ids, copies = np.array(rows[0], dtype=np.int64), np.array(rows[1], dtype=np.int64)
+        shard = Shard(np.array(rows[2], dtype=np.float64), least, recall)
+        linked = np.zeros((len(ids), len(ids)), dtype=bool)
+        for i, query in enumerate(shard.raw):
+            linked[i, shard.links(query)] = True
         # A link found from one end counts at both.
-        i = np.repeat(np.arange(len(ids)), [len(f) for f in found])
-        j = np.array([x for f in found for x in f], dtype=np.int64)
-        apart = i != j
-        pair = np.unique(np.concatenate([i[apart] * len(ids) + j[apart], j[apart] * len(ids) + i[apart]]))
-        i, j = pair // len(ids), pair % len(ids)
-        links = np.bincount(i, copies[j], len(ids)).astype(np.int64) + copies - 1
-        label = forest(i, j, len(ids))
-        return pa.table({"vec": ids, "links": links, "root": ids[label], "beam": np.full(len(ids), beam, np.int32),
-                         "recall": pa.array([reached] * len(ids), pa.float64())})
-
-    return build
-
-
-def _query(least: float, recall: float):
-    def query(table: pa.Table) -> pa.Table:
-        """The links of other shards' vectors (role 1) to a shard's (role 0)."""
-        role = table.column("role").to_numpy()
-        mine, theirs = (table.filter(pa.array(role == r)).sort_by("vec") for r in (0, 1))
-        if not mine.num_rows or not theirs.num_rows:
-            return pa.table({"vec": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64()),
-                             "beam": pa.array([], pa.int32()), "recall": pa.array([], pa.float64())})
-        raw, queries = (np.array(t.column("v").to_pylist(), dtype=np.float64) for t in (mine, theirs))
-        found, beam, reached = audited(Graph(_unit(raw)), raw, queries, least, recall)
-        copies, roots, ids = (c.to_numpy() for c in (mine.column("copies"), mine.column("root"), theirs.column("vec")))
-        rows = []
-        for vec, hits in zip(ids.tolist(), found):
-            if hits:
-                different = np.unique(roots[hits]).tolist()
-                rows += [(vec, int(copies[hits].sum()) if k == 0 else 0, root) for k, root in enumerate(different)]
-        columns = list(zip(*rows)) or [(), (), ()]
-        return pa.table({"vec": pa.array(columns[0], pa.int64()), "links": pa.array(columns[1], pa.int64()),
-                         "root": pa.array(columns[2], pa.int64()), "beam": pa.array([beam] * len(rows), pa.int32()),
-                         "recall": pa.array([reached] * len(rows), pa.float64())})
-
-    return query
+        linked |= linked.T
+        np.fill_diagonal(linked, False)
+        label = np.arange(len(ids))
+        for i, row in enumerate(linked):
+            meet = np.unique(label[np.flatnonzero(row)])
+            if len(meet) and (meet[0] != label[i] or len(meet) > 1):
+                meet = np.append(meet, label[i])
+                label[np.isin(label, meet)] = meet.min()
+        return shard, ids, copies, linked @ copies + copies - 1, ids[label]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, state = None, ([], [], []), None
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if now is not None:
+                shard, ids, _, links, roots = state or answered(rows)
+                yield _batch(ids, links, roots, shard)
+
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("label", "dim", "shard")])
+            columns = [batch.column(c).to_pylist() for c in ("role", "vec", "copies", "v")]
+            out: tuple[list, list, list] = ([], [], [])
+            for key, role, vec, copies, v in zip(keys, *columns):
+                if key != now:
+                    if out[0]:
+                        yield _batch(*out, state[0])
+                        out = ([], [], [])
+                    yield from ended()
+                    now, rows, state = key, ([], [], []), None
+                if not role:
+                    for held, value in zip(rows, (vec, copies, v)):
+                        held.append(value)
+                    continue
+                if state is None:
+                    state = answered(rows)
+                shard, _, weights, links, roots = state
+                hits = shard.links(np.array(v, dtype=np.float64))
+                if len(hits):
+                    links[hits] += copies
+                    n = int(weights[hits].sum())
+                    for k, root in enumerate(np.unique(roots[hits]).tolist()):
+                        for held, value in zip(out, (vec, 0 if k else n, root)):
+                            held.append(value)
+            if out[0]:
+                yield _batch(*out, state[0])
+        yield from ended()
+
+    return run
+
+
+def _batch(ids, links, roots, shard: Shard) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(links, pa.int64()), pa.array(roots, pa.int64()),
+         pa.array([shard.beam] * len(ids), pa.int32()), pa.array([shard.recall] * len(ids), pa.float64())],
+        names=["vec", "links", "root", "beam", "recall"])
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
@@ -294,7 +312,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     without an id have themselves alone in the result (null component) but count as links.
 
     A vector meets the shards of its label only; their number grows with the label, so a label
-    of a thousand shards costs a thousand searches a vector.
+    of a thousand shards costs five hundred searches a vector.
     """
     e = quoted(vector)
     sound = (
@@ -313,20 +331,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
         different.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
         .select("label", "dim", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards")), "sizes")
     dealt = different.join(sizes, ["label", "dim"]).select(
-        "label", "dim", "shards", F.pmod(F.xxhash64("vec", F.lit("shard")), F.col("shards")).cast("int").alias("shard"),
+        "label", "dim", "shards", F.pmod(F.xxhash64("vec", F.lit("shard")), F.col("shards")).cast("int").alias("own"),
         "vec", "copies", "v")
-    own = staged(
-        dealt.groupBy("label", "dim", "shard").applyInArrow(_build(cosine, recall), _FOUND), "local")
-    found = own
-    if sizes.where("shards > 1").limit(1).count():
-        many = staged(dealt.where("shards > 1").join(own.select("vec", "root"), "vec"), "shards")
-        others = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other")
-        here = many.select("label", "dim", F.col("shard").alias("s"), others, F.lit(0).alias("role"), "vec", "copies", "root", "v")
-        there = many.select("label", "dim", others, F.col("shard").alias("t"), F.lit(1).alias("role"), "vec", "copies", "root", "v")
-        both = here.withColumnRenamed("other", "t").unionByName(there.withColumnRenamed("other", "s")).where("s <> t")
-        across = staged(
-            both.groupBy("label", "dim", "s", "t").applyInArrow(_query(cosine, recall), _FOUND), "across")
-        found = own.unionByName(across)
+    # Round a circle of shards each asks the half that follows; opposite ones, the lower the higher.
+    ahead, half = F.pmod(F.col("shard") - F.col("own"), F.col("shards")), F.col("shards") / 2
+    every = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).where(
+        (ahead < half) | ((ahead == half) & (F.col("own") < F.col("shard"))))
+    asked = every.select("label", "dim", "shard", (ahead != 0).cast("int").alias("role"), "vec", "copies", "v")
+    key = ["label", "dim", "shard"]
+    found = staged(
+        asked.repartition(*key).sortWithinPartitions(*key, "role", "vec").mapInArrow(_answers(cosine, recall), _FOUND), "found")
     edges = found.select(F.col("vec").alias("u"), F.col("root").alias("v"))
     comps = staged(components(edges), "components")
     counted = found.groupBy("vec").agg(F.sum("links").alias("n"), F.max("beam").alias("beam"), F.min("recall").alias("recall"))

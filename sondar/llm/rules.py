@@ -60,13 +60,17 @@ class Rules:
 
     def score(self, stats: dict[str, Column]) -> Column:
         """The score as a column expression."""
-        total = F.lit(self.intercept)
+        terms = [F.lit(self.intercept)]
         for path, weight in zip(self.paths, self.weights):
             holds = F.lit(True)
             for feature, above, cut in path:
                 value = stats[self.names[feature]]
                 holds = holds & ((value > cut) if above else (value <= cut))
-            total = total + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
+            terms.append(F.when(holds, F.lit(weight)).otherwise(F.lit(0.0)))
+        # Added in pairs: a chain as long as the rules would be too deep an expression.
+        while len(terms) > 1:
+            terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
+        (total,) = terms
         return 1 / (1 + F.exp(-total))
 
 

@@ -1,8 +1,11 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sondar.llm import hnsw
 
+hnsw_init = hnsw.Graph.__init__
+
 
 def brute(rows, least=0.98):
     good = [(i, l, np.array(v, dtype=float)) for i, l, v in rows
@@ -53,53 +56,90 @@ def test_matches_brute_force_in_one_and_many_shards(spark):
         assert all(got[i].n_links == 0 for i in range(1000, 1009) if i != 1006)
 
 
-def test_widening_reaches_the_recall():
-    rng = np.random.default_rng(2)
-    raw = rng.normal(size=(600, 8))
-    raw[300:] = raw[:300] + rng.normal(size=(300, 8)) * 0.05
-    graph = hnsw.Graph(hnsw._unit(raw), neighbours=3, beam=3)
-    found, beam, reached = hnsw.audited(graph, raw, raw, 0.98, recall=0.99, beam=1)
-    assert reached >= 0.99 or beam >= 600
-    assert beam > 1 and sum(map(len, found)) > 900
-
-
 class Missing(hnsw.Graph):
-    """A graph whose searches miss the pairs until the beam is wide."""
+    """A graph whose searches miss some vectors until the beam is wide."""
 
-    pairs: set = frozenset()
+    lost: set = frozenset()
 
     def within(self, q, least, beam):
-        k = int((self.x @ q).argmax())
-        return [k] if beam < 96 and k in self.pairs else np.flatnonzero(self.x @ q >= least).tolist()
+        found = super().within(q, least, beam)
+        return found if beam >= 96 else found[~np.isin(found, list(self.lost))]
 
 
-def test_audit_sees_rare_pairs_and_no_selves():
-    raw = np.random.default_rng(3).normal(size=(1500, 32))
-    raw[700] = raw[20] + 0.001
-    graph = Missing(hnsw._unit(raw), neighbours=2, beam=2)
-    graph.pairs = {20, 700}
-    found, beam, reached = hnsw.audited(graph, raw, raw, 0.98)
-    assert beam == 96 and reached == 1 and sorted(found[20]) == sorted(found[700]) == [20, 700]
-    found, beam, reached = hnsw.audited(graph, raw, np.random.default_rng(4).normal(size=(200, 32)), 0.98)
-    assert reached is None and not any(found)
+def test_widening_reaches_the_recall(monkeypatch):
+    monkeypatch.setattr(hnsw, "Graph", Missing)
+    monkeypatch.setattr(Missing, "lost", set(range(0, 600, 2)))
+    raw = np.random.default_rng(2).normal(size=(600, 8))
+    shard = hnsw.Shard(raw, 0.98)
+    assert shard.beam == 96 and shard.recall >= 0.99 and not shard.complete
+    monkeypatch.setattr(Missing, "lost", set())
+    assert hnsw.Shard(raw, 0.98).beam == hnsw.BEAM
 
 
-def test_audit_is_not_drowned_by_a_large_group():
+def test_audit_needs_no_pairs_among_the_vectors(monkeypatch):
+    monkeypatch.setattr(hnsw, "Graph", Missing)
+    monkeypatch.setattr(Missing, "lost", set(range(1500)))
+    shard = hnsw.Shard(np.random.default_rng(3).normal(size=(1500, 32)), 0.98)
+    assert shard.beam == 96 and shard.recall == 1
+
+
+def test_audit_is_not_drowned_by_a_large_group(monkeypatch):
     rng = np.random.default_rng(6)
     raw = rng.normal(size=(2000, 32))
     raw[:1600] = raw[0] + rng.normal(size=(1600, 32)) * 0.02
-    raw[1800:1804] = raw[1900:1904] + 0.001
-    graph = Missing(hnsw._unit(raw), neighbours=2, beam=2)
-    graph.pairs = {*range(1800, 1804), *range(1900, 1904)}
-    found, beam, reached = hnsw.audited(graph, raw, raw, 0.98)
-    assert beam == 96 and reached >= 0.99
-    assert all(sorted(found[k]) == [k, k + 100] for k in range(1800, 1804))
+    monkeypatch.setattr(hnsw, "Graph", Missing)
+    monkeypatch.setattr(Missing, "lost", set(range(1700, 2000)))
+    assert hnsw.Shard(raw, 0.98).beam == 96
+
+
+def test_where_searches_fail_every_vector_is_compared(monkeypatch):
+    class Blind(hnsw.Graph):
+        def within(self, q, least, beam):
+            return np.empty(0, np.int64)
+
+    monkeypatch.setattr(hnsw, "Graph", Blind)
+    raw = np.random.default_rng(8).normal(size=(300, 16))
+    raw[7] = raw[200] * 2
+    shard = hnsw.Shard(raw, 0.98)
+    assert shard.complete and shard.links(raw[7]).tolist() == [7, 200]
+
+
+def rows_of(groups):
+    """Batches of (label, dim, shard, role, vec, copies, v) as a task gets them."""
+    names = ["label", "dim", "shard", "role", "vec", "copies", "v"]
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+    for i in range(0, len(groups), 37):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*groups[i : i + 37]), kinds)], names=names)
+
+
+def test_every_query_searches_each_graph_once(monkeypatch):
+    made = []
+    monkeypatch.setattr(hnsw, "Graph", type("Kept", (hnsw.Graph,), {"__init__": lambda g, *a: (made.append(g), hnsw_init(g, *a))[1]}))
+    raw = np.random.default_rng(1).normal(size=(400, 32)).tolist()
+    rows = [(0, 32, k // 200, 0, k, 1, v) for k, v in enumerate(raw)]
+    rows[200:200] = [(0, 32, 0, 1, 1000 + k, 1, v) for k, v in enumerate(raw[200:])]
+    found = [r for b in hnsw._answers(0.98, 0.99)(rows_of(rows)) for r in b.to_pylist()]
+    # No pair exists: an answer a vector, from searches alone, besides those of the audits.
+    assert sorted(r["vec"] for r in found) == list(range(400)) and not any(r["links"] for r in found)
+    assert len(made) == 2 and sum(g.searches for g in made) == 600 + 2 * hnsw.PLANTED
+
+
+def test_links_between_shards_count_at_both_ends(spark):
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(150, 24))
+    raw = np.concatenate([base, base + rng.normal(size=base.shape) * 0.02])
+    rows = [(i, 0, v.tolist()) for i, v in enumerate(raw)]
+    got = {r.vec_id: r.n_links for r in hnsw.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"), shard_rows=60).collect()}
+    want = brute(rows)
+    assert sum(got.values()) >= 0.99 * sum(n for n, _ in want.values())
+    assert all(got[i] == got[i + 150] for i in range(150))
 
 
-def test_recall_is_null_without_partners(spark):
+def test_no_links_without_partners(spark):
     rows = [(i, 0, [float(i == j) for j in range(8)]) for i in range(8)]
     got = hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
-    assert len(got) == 8 and all(r.recall is None and r.n_links == 0 for r in got)
+    assert len(got) == 8 and all(r.n_links == 0 for r in got)
 
 
 def test_empty_and_repeated(spark):
