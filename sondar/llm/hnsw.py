@@ -139,7 +139,7 @@ class Graph:
 
     def within(self, q: np.ndarray, least: float, beam: int) -> np.ndarray:
         """Vectors at least so similar, as far as found: those in the beam, and all
-        that can be reached from them through such vectors."""
+        that can be reached from them through vectors at most twice as far away."""
         self.searches += 1
         if not len(self.x):
             return np.empty(0, np.int64)
@@ -149,15 +149,20 @@ class Graph:
             for i, near in self.links[0].items():
                 self.base[i, : len(near)] = near
         best = self._search(q, self._descend(q, 0), beam, 0)
-        ahead = np.array([i for s, i in best if s >= least], dtype=np.int64)
-        found, seen = [ahead], np.zeros(len(self.x), dtype=bool)
+        bridge = 2 * least - 1
+        close = [(s, i) for s, i in best if s >= bridge]
+        ahead = np.array([i for _, i in close], dtype=np.int64)
+        found, seen = [np.array([i for s, i in close if s >= least], dtype=np.int64)], np.zeros(len(self.x), dtype=bool)
+        if not len(found[0]):
+            return found[0]
         seen[ahead] = True
         while len(ahead):
             near = np.unique(self.base[ahead])
             near = near[~seen[near]]
             seen[near] = True
-            ahead = near[self.x[near] @ q >= least]
-            found.append(ahead)
+            similar = self.x[near] @ q
+            found.append(near[similar >= least])
+            ahead = near[similar >= bridge]
         return np.concatenate(found)
 
 
