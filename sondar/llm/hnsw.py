@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from sondar.llm.common import components, quoted, staged
 
 COSINE = 0.98
-SHARD_ROWS = 4096
+SHARD_ROWS = 2048
 NEIGHBOURS = 10
 BUILD_BEAM = 48
 BEAM = 24
