@@ -4,11 +4,11 @@ A table is profiled in passes over disjoint sets of columns, whatever its width:
 
 * ranges and null ratios: one aggregation over all such columns, map-side
   combined to one row per task;
-* value counts: the categorical columns unpivoted to (column, value) and
+* value counts: the categorical columns unpivoted to (column, key) and
   counted, map-side combined before the one shuffle, so a value that fills a
-  third of the table costs one row per task;
-* columns whose values are only told apart are counted the same way, but with
-  digests in place of long values, and are not ranked.
+  third of the table costs one row per task; long values are digests there, and
+  whole texts are read again for the few that are shown (``toplists``);
+* columns whose values are only told apart are counted the same way and are not ranked.
 
 Exact distinct counts come out of the value counts. Several ``count_distinct``
 in one aggregation would multiply every row by the number of columns instead.
@@ -35,6 +35,8 @@ from sondar.model import (
     TOP_VALUES,
     UnknownColumn,
 )
+from sondar.operators import toplists
+from sondar.operators.toplists import unpivoted_counts
 
 _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 
@@ -158,21 +160,6 @@ def light_profile(
 # ---- value counts ----
 
 
-def _unpivoted_counts(df: DataFrame, keys: Mapping[str, str]) -> DataFrame:
-    """(column_name, value, n) of the named expressions, one per column.
-
-    The shuffle carries a column's position; its name is put back after.
-    """
-    pairs = ", ".join(f"{slot}, {text}" for slot, text in enumerate(keys.values()))
-    names = ", ".join(literal(name) for name in keys)
-    return (
-        df.selectExpr(f"stack({len(keys)}, {pairs}) as (slot, value)")
-        .groupBy("slot", "value")
-        .agg(F.expr("count(1) as n"))
-        .selectExpr(f"element_at(array({names}), slot + 1) as column_name", "value", "n")
-    )
-
-
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n): how often each value occurs; NULL is a value."""
     require_columns(df, columns)
@@ -181,7 +168,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for name in columns:
         if isinstance(types[name], _RENDER_LATER):
             shown.setdefault(_rendered_sql(types[name]), []).append(literal(name))
-    counts = _unpivoted_counts(df, {c: _counting_sql(c, types[c]) for c in columns})
+    counts = unpivoted_counts(df, {c: _counting_sql(c, types[c]) for c in columns})
     if not shown:
         return counts
     cases = " ".join(
@@ -222,31 +209,11 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             text = f"sha2({text}, 256)"
         texts[name] = text
     parts = [
-        count_summary(_unpivoted_counts(df, keys)) for keys in (fixed, texts) if keys
+        count_summary(unpivoted_counts(df, keys)) for keys in (fixed, texts) if keys
     ]
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
-def top_values(counts: DataFrame, n: int = TOP_N) -> DataFrame:
-    """(column_name, rank, value, count, is_null): commonest values first, ties
-    by value. NULL is shown as '' and sorts as the word ``None``.
-
-    The rank limit is applied inside every task before the shuffle, so a column
-    of many values brings ``n`` rows per task to its ranking, not all of them.
-    """
-    return (
-        counts.selectExpr(
-            "column_name",
-            "row_number() over (partition by column_name order by n desc, "
-            "coalesce(value, 'None'), value is null) as rank",
-            "coalesce(value, '') as value",
-            "n as count",
-            "value is null as is_null",
-        )
-        .where(f"rank <= {int(n)}")
-    )
-
-
 # ---- whole table ----
 
 
@@ -283,6 +250,8 @@ def table_profile(
     leaves the list of commonest values out where a column has more values than
     that. ``approximate=True`` replaces the exact distinct count by a sketch and
     flags it. ``modes`` names what was gathered for each column.
+
+    Listing values runs its counting at the call; the rest waits for an action.
     """
     chosen = choose_modes(df, modes)
 
@@ -305,9 +274,18 @@ def table_profile(
     # What is joined has at most one row per column of the table.
     summaries = []
     if ranked:
-        counts = value_counts(df, ranked)
-        summaries.append(count_summary(counts))
-        tops = top_values(counts, top_n).groupBy("column_name").agg(
+        types = _types(df)
+        texts = {c: _counting_sql(c, types[c]) for c in ranked}
+        listed = {}
+        if max_distinct is None:
+            alone = {c: t for c, t in texts.items() if c not in exact}
+            listed = toplists.heavy_hitters(df, alone, top_n) if alone else {}
+        rest = {c: t for c, t in texts.items() if c not in listed}
+        if rest:
+            listed |= toplists.counted_keys(df, rest, top_n)
+        summaries.append(toplists.summaries(df, listed))
+        shown = {c: _rendered_sql(types[c]) for c in ranked if isinstance(types[c], _RENDER_LATER)}
+        tops = toplists.top_values(df, texts, listed, top_n, shown).groupBy("column_name").agg(
             F.expr(
                 "array_sort(collect_list(named_struct("
                 "'rank', rank, 'value', value, 'count', count, 'is_null', is_null))) "
@@ -337,7 +315,7 @@ def table_profile(
         listing = ", ".join(literal(name) for name in names)
         return f"column_name in ({listing})" if listing else "false"
 
-    shown = "true" if max_distinct is None else f"coalesce(distinct_count, 0) <= {int(max_distinct)}"
+    few = "true" if max_distinct is None else f"coalesce(distinct_count, 0) <= {int(max_distinct)}"
     ran = ", ".join(
         f"{literal(name)}, array({', '.join(map(literal, picked))})"
         for name, picked in chosen.items()
@@ -353,7 +331,7 @@ def table_profile(
         f"when {among(exact)} then coalesce(distinct_count, 0) end as distinct_count",
         "min_value",
         "max_value",
-        f"if({among(ranked)} and {shown}, coalesce(transform(ranks, r -> "
+        f"if({among(ranked)} and {few}, coalesce(transform(ranks, r -> "
         "named_struct('value', r.value, 'count', r.count, 'is_null', r.is_null)), "
         f"cast(array() as array<{TOP_VALUE}>)), null) as top_values",
         f"{among(sketched)} as approximate",
