@@ -23,6 +23,10 @@ class NotPermitted(SondarError):
     """The caller's access does not cover this."""
 
 
+class RepeatedKey(SondarError):
+    """A listing that names a container or column more than once."""
+
+
 class InvalidCursor(SondarError):
     """A page cursor that no page handed out."""
 

@@ -23,6 +23,7 @@ from sondar.model import (
     SECRET,
     SKIPPED,
     SOURCE_AI,
+    RepeatedKey,
     UnknownContainer,
 )
 
@@ -35,6 +36,15 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     )
 
 
+def require_unique(listed: DataFrame, keys: Sequence[str], shown: int = 20) -> None:
+    """Refuses a listing that names a container or column more than once."""
+    twice = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    name = F.concat_ws(".", *keys).alias("_name")
+    first = [row["_name"] for row in twice.select(name).orderBy("_name").limit(shown).collect()]
+    if first:
+        raise RepeatedKey(f"listed more than once ({twice.count()} in all): {', '.join(first)}")
+
+
 def upsert_containers(
     previous: DataFrame, compared: DataFrame, scanned_at: Column
 ) -> DataFrame:

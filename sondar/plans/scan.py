@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.functions.sql import ident
@@ -66,11 +66,15 @@ class Collection:
 Table = DataFrame | Collection | Callable[[], DataFrame | Collection]
 
 
+#: A container within its database: schema and name.
+Place = tuple[str, str]
+
+
 def _listed_fields(
-    tables: Mapping[str, Collection], columns: DataFrame, database: str, schema_name: str
+    tables: Mapping[Place, Collection], columns: DataFrame, database: str
 ) -> DataFrame:
     """The columns of collections, shaped like ``columns``."""
-    for name, table in tables.items():
+    for (schema_name, name), table in tables.items():
         columns = columns.unionByName(
             table.fields.withColumns(
                 {
@@ -196,7 +200,93 @@ def scan_tables(
     them, and ``tables`` opens the ones whose data is to be read. Without them
     every table is listed by its own schema. ``counted`` names the tables whose
     rows are worth counting (Parquet); their count replaces the listed estimate.
+    A listing that names a container or column twice is refused.
     """
+    return _scan(
+        store,
+        database,
+        {(schema_name, name): table for name, table in tables.items()},
+        F.col("schema_name") == schema_name,
+        containers=containers,
+        columns=columns,
+        keys=keys,
+        modes=modes,
+        force=force,
+        covered=covered,
+        counted={(schema_name, name) for name in counted},
+        full_detection=full_detection,
+        max_distinct=max_distinct,
+        parallel=parallel,
+        now=now,
+    )
+
+
+def scan_catalog(
+    store: CatalogStore,
+    database: str,
+    containers: DataFrame,
+    columns: DataFrame,
+    *,
+    open_table: Callable[[str, str], Table | None] | None = None,
+    keys: DataFrame | None = None,
+    modes: Sequence[str] | None = None,
+    force: bool = False,
+    covered: bool = True,
+    counted: Iterable[Place] = (),
+    full_detection: bool = True,
+    max_distinct: int | None = None,
+    parallel: int = 8,
+    now: datetime | None = None,
+) -> int:
+    """Bring the inventory of every schema that a database lists up to date.
+
+    ``containers`` and ``columns`` are what the source lists of the whole database: a
+    schema that is not in it any more is gone with all it held, unless ``covered=False``.
+    Only containers whose listing changed are opened, by ``open_table``, which is given a schema and a
+    name and returns the table, a ``Collection``, or None for what is not to be read;
+    see ``sources.opening``.  One that cannot be opened is recorded with the
+    reason and tried again by the next scan.  Otherwise as ``scan_tables``.
+    """
+    return _scan(
+        store,
+        database,
+        {},
+        F.lit(True),
+        containers=containers,
+        columns=columns,
+        open_table=open_table,
+        keys=keys,
+        modes=modes,
+        force=force,
+        covered=covered,
+        counted=set(counted),
+        full_detection=full_detection,
+        max_distinct=max_distinct,
+        parallel=parallel,
+        now=now,
+    )
+
+
+def _scan(
+    store: CatalogStore,
+    database: str,
+    tables: Mapping[Place, Table],
+    scope: Column,
+    *,
+    containers: DataFrame | None,
+    columns: DataFrame | None,
+    open_table: Callable[[str, str], Table | None] | None = None,
+    keys: DataFrame | None,
+    modes: Sequence[str] | None,
+    force: bool,
+    covered: bool,
+    counted: set[Place],
+    full_detection: bool,
+    max_distinct: int | None,
+    parallel: int,
+    now: datetime | None,
+) -> int:
+    """A scan of the containers of a database that ``scope`` holds for."""
     spark: SparkSession = store.spark
     job_id = uuid.uuid4().hex
     now = now or datetime.now(timezone.utc)
@@ -206,14 +296,15 @@ def scan_tables(
         "columns", version
     )
     # Only what this run lists can be missing from it: other schemas stay as they are.
-    here = (F.col("database") == database) & (F.col("schema_name") == schema_name)
+    here = (F.col("database") == database) & scope
     mine, my_columns = previous.where(here), previous_columns.where(here)
 
-    def open_one(table: Table) -> DataFrame | Collection | str:
+    def open_one(table: Table) -> DataFrame | Collection | str | None:
         try:
             found = table() if callable(table) else table
             # Resolves the table; a collection's fields are in its documents.
-            found.fields if isinstance(found, Collection) else found.schema  # noqa: B018
+            if found is not None:
+                found.fields if isinstance(found, Collection) else found.schema  # noqa: B018
             return found
         except Exception as error:  # noqa: BLE001 - per-table isolation
             log.warning("cannot read a table: %s", error)
@@ -225,43 +316,58 @@ def scan_tables(
     errors = {name: found for name, found in outcome.items() if isinstance(found, str)}
     opened = {name: found for name, found in outcome.items() if name not in errors}
 
-    def collections() -> dict[str, Collection]:
+    def collections() -> dict[Place, Collection]:
         return {n: t for n, t in opened.items() if isinstance(t, Collection)}
 
     if containers is None:
         listed = spark.createDataFrame(
             [
                 (
-                    database, schema_name, name,
-                    "collection" if name in collections() else "table",
-                    None, None, None, errors.get(name),
+                    database, *place,
+                    "collection" if place in collections() else "table",
+                    None, None, None, errors.get(place),
                 )
-                for name in tables
+                for place in tables
             ],
             ddl({**LISTED_CONTAINERS, "error": "string"}),
         )
     else:
         unread = spark.createDataFrame(
-            [(name, text) for name, text in errors.items()],
-            "container_name string, error string",
+            [(*place, text) for place, text in errors.items()],
+            "schema_name string, container_name string, error string",
         )
         listed = (
             containers.where(here)
             .select(*LISTED_CONTAINERS)
-            .join(unread, "container_name", "left")
+            .join(unread, ["schema_name", "container_name"], "left")
+            .select(*LISTED_CONTAINERS, "error")
         )
+    columns_listed = columns is not None
     if columns is None:
-        columns = schema_rows(
-            spark,
-            {n: t.schema for n, t in opened.items() if n not in collections()},
-            database,
-            schema_name,
-        )
-        columns = _listed_fields(collections(), columns, database, schema_name)
+        columns = spark.createDataFrame([], ddl(LISTED_COLUMNS))
+        for schema_name in dict.fromkeys(schema for schema, _ in opened):
+            columns = columns.unionByName(
+                schema_rows(
+                    spark,
+                    {
+                        name: table.schema
+                        for (schema, name), table in opened.items()
+                        if schema == schema_name and (schema, name) not in collections()
+                    },
+                    database,
+                    schema_name,
+                ),
+                allowMissingColumns=True,
+            )
+        columns = _listed_fields(collections(), columns, database)
     else:
         columns = columns.where(here).select(*LISTED_COLUMNS)
     if keys is not None:
         columns = declare_keys(columns, keys)
+    if containers is not None:
+        inventory.require_unique(listed, CONTAINER_KEY)
+    if columns_listed:
+        inventory.require_unique(columns, COLUMN_KEY)
     compared = drift.compare(drift.fingerprint(listed, columns), mine, force=force)
 
     # Everything below builds on the comparison, so it is made once and kept
@@ -269,30 +375,37 @@ def scan_tables(
     folder = f"{store.root}/work/run={job_id}"
     compared = keep(compared, f"{folder}/compared")
 
-    todo = [
-        row.container_name
-        for row in compared.where(
-            (F.col("outcome") == DONE) & F.col("container_name").isin(list(opened))
-        )
-        .select("container_name")
+    changed = [
+        (row.schema_name, row.container_name)
+        for row in compared.where(F.col("outcome") == DONE)
+        .select("schema_name", "container_name")
         .collect()
-    ]
-    counted = set(counted)
+    ] if opened or open_table else []
+    lost: dict[Place, list[str]] = {}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
+        if open_table:
+            # Only what changed is opened.
+            found = pool.map(lambda place: open_one(lambda: open_table(*place)), changed)
+            for place, table in zip(changed, found, strict=True):
+                if isinstance(table, str):
+                    lost[place] = [table]
+                elif table is not None:
+                    opened[place] = table
+        todo = [place for place in changed if place in opened]
         jobs = [
             pool.submit(
                 _inspect,
-                opened[name],
-                (database, schema_name, name),
+                opened[place],
+                (database, *place),
                 f"{folder}/found/table={index}",
                 modes,
-                name in counted,
+                place in counted,
                 full_detection,
                 max_distinct,
             )
-            for index, name in enumerate(todo)
+            for index, place in enumerate(todo)
         ]
-        lost = {name: job.result() for name, job in zip(todo, jobs, strict=True)}
+        lost |= {place: job.result() for place, job in zip(todo, jobs, strict=True)}
     if todo:
         # Folders name the table and part; the rows carry their own keys.
         findings = (
@@ -312,13 +425,15 @@ def scan_tables(
         .drop("_rows")
     )
     incomplete = [
-        (name, f"not read: {', '.join(parts)}") for name, parts in lost.items() if parts
+        (*place, f"not read: {', '.join(parts)}") for place, parts in lost.items() if parts
     ]
     if incomplete:
         # An error makes the next scan read the container again.
-        partly = spark.createDataFrame(incomplete, "container_name string, _lacks string")
+        partly = spark.createDataFrame(
+            incomplete, "schema_name string, container_name string, _lacks string"
+        )
         compared = (
-            compared.join(partly, "container_name", "left")
+            compared.join(partly, ["schema_name", "container_name"], "left")
             .withColumn("error", F.coalesce("error", "_lacks"))
             .drop("_lacks")
         )

@@ -224,3 +224,52 @@ def test_a_listing_with_one_table_to_read(spark, tmp_path):
     assert found["seen"].container_type == "view" and found["lost"].error == "OSError: gone"
     profiled = {r.container_name: r.profile is not None for r in store.state("columns").collect()}
     assert profiled == {"read": True, "seen": False}
+
+
+def test_a_listing_that_repeats_a_name_is_refused(spark, tmp_path):
+    from sondar.model import LISTED_COLUMNS, LISTED_CONTAINERS, RepeatedKey, ddl
+
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    one = ("shop", "x", "harbours", "table", 7, None, None)
+    column = ("shop", "x", "harbours", "depth", 1, "int4", False, True, False, None, None, None)
+    containers = spark.createDataFrame([one, one], ddl(LISTED_CONTAINERS))
+    columns = spark.createDataFrame([column], ddl(LISTED_COLUMNS))
+    with pytest.raises(RepeatedKey, match="1 in all.*shop.x.harbours"):
+        scan_tables(store, "shop", {}, schema_name="x", containers=containers, columns=columns)
+    with pytest.raises(RepeatedKey, match="depth"):
+        scan_tables(store, "shop", {}, schema_name="x", containers=containers.distinct(), columns=columns.unionAll(columns))
+    assert store.latest() == 0
+
+
+def test_a_catalog_scan_opens_what_changed_and_records_what_it_could_not(spark, tmp_path):
+    from sondar.model import LISTED_COLUMNS, LISTED_CONTAINERS, ddl
+    from sondar.plans.scan import scan_catalog
+
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    names = [("north", "buoys"), ("north", "gone"), ("south", "piers"), ("south", "view")]
+
+    def listing(kinds):
+        return (
+            spark.createDataFrame([("shop", s, n, "table", None, None, None) for s, n in kinds], ddl(LISTED_CONTAINERS)),
+            spark.createDataFrame(
+                [("shop", s, n, "id", 1, kind, True, False, False, None, None, None) for (s, n), kind in kinds.items()], ddl(LISTED_COLUMNS)))
+
+    asked = []
+
+    def open_table(schema, name):
+        asked.append((schema, name))
+        if name == "gone":
+            raise OSError("no such table")
+        return None if name == "view" else spark.range(5).toDF("id")
+
+    scan_catalog(store, "shop", *listing(dict.fromkeys(names, "bigint")), open_table=open_table, counted=[("north", "buoys")])
+    found = {r.container_name: r for r in store.state("containers").collect()}
+    assert found["buoys"].estimated_count == 5 and found["view"].error is None and "no such table" in found["gone"].error
+    assert sorted(asked) == sorted(names)
+    asked.clear()
+    # Next time only what changed or failed is opened, and a schema that is not listed is gone.
+    scan_catalog(store, "shop", *listing({names[0]: "bigint", names[1]: "bigint"}), open_table=open_table)
+    assert asked == [("north", "gone")]
+    assert {r.container_name for r in store.state("containers").collect()} == {"buoys", "gone"}
+    removed = store.log("changes").where("change_type = 'container_removed'").collect()
+    assert {(r.schema_name, r.container_name) for r in removed} == {("south", "piers"), ("south", "view")}

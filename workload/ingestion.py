@@ -50,7 +50,8 @@ _PG_DESCRIPTION = f"""
 select o_orderkey as objoid, 1259 as classoid, 0 as objsubid, concat('placed by ', o_custkey) as description
 from {{orders}} where o_totalprice >= 300000
 union all
-select l_orderkey, 1259, l_linenumber - 1, concat('line ', l_linenumber) from ({_LINES}) l where flag = 3
+select l_orderkey, 1259, l_linenumber - 1, concat('line ', l_linenumber) from ({_LINES}) l
+where flag = 3 and l_linenumber > 1
 union all
 select o_orderkey, 2615, 0, 'of something else' from {{orders}}
 """

@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondar.model import COLUMN_KEY, CONTAINER_KEY
+from sondar.model import COLUMN_KEY, CONTAINER_KEY, LISTED_CONTAINERS, ddl
 from sondar.operators import documents, inventory
 from sondar.operators.browse import containers_after
-from sondar.plans.scan import Collection, scan_tables
+from sondar.operators.profile import row_counts
+from sondar.plans.scan import Collection, scan_catalog, scan_tables
 from sondar.plans.store import CatalogStore
 from sondar.session import scratch_dir
-from sondar.sources import lake
+from sondar.sources import lake, opening
 from workload import browsing, registry, run_sql, table
 from workload import documents as docs
 from workload import ingestion as listed
@@ -178,6 +179,89 @@ left join (select * from ({columns}) b) k using (database, schema_name, containe
 """
 
 
+_CATALOG = {
+    "geo": ["region", "nation"],
+    "sales": ["orders", "lineitem"],
+    "people": ["customer", "supplier"],
+}
+
+
+def _catalog_sql() -> str:
+    def row(part: str, schema: str, name: str, change: str, count: str, low: str) -> str:
+        return (
+            f"select '{part}' as part, '{schema}' as schema_name, '{name}' as container_name, "
+            f"{change} as change_type, {count} as estimated_count, {low} as lowest"
+        )
+
+    lows = {"region": "r_regionkey", "nation": "n_nationkey", "orders": "o_orderkey"}
+    places = [(s, n) for s, names in _CATALOG.items() for n in names]
+    return union(
+        [row("change", s, n, "'container_added'", _NO_COUNT, _NO_TEXT) for s, n in places]
+        + [row("change", "people", n, "'container_removed'", _NO_COUNT, _NO_TEXT) for n in _CATALOG["people"]]
+        + [row("change", "geo", "region", "'schema_changed'", _NO_COUNT, _NO_TEXT)]
+        + [
+            row(
+                "container", s, n, _NO_TEXT, f"(select count(*) from {n})",
+                f"(select min({lows[n]})::varchar from {n})" if n in lows else _NO_TEXT,
+            )
+            for s, n in places if s != "people"
+        ]
+    )
+
+
+@registry.add("scan_catalog", _catalog_sql())
+def whole_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three schemas are scanned at once; then one of them is gone and a column
+    changes its type. Containers are opened by what is listed; line items only listed."""
+    store = _store(spark, "catalog")
+
+    def scan(schemas: dict[str, list[str]], retyped: bool) -> None:
+        containers, columns = [], []
+        for schema, names in schemas.items():
+            frames = {name: table(spark, sf_dir, name) for name in names}
+            containers.append(
+                spark.createDataFrame(
+                    [("shop", schema, n, "table", None, None, None) for n in names],
+                    ddl(LISTED_CONTAINERS),
+                )
+                .drop("estimated_count")
+                .join(row_counts(frames), "container_name")
+            )
+            listed = lake.schema_rows(
+                spark, {n: f.schema for n, f in frames.items()}, "shop", schema
+            )
+            if retyped:
+                wide = F.when(F.col("column_name") == "r_regionkey", F.lit("numeric"))
+                listed = listed.withColumn("native_type", F.coalesce(wide, "native_type"))
+            columns.append(listed)
+        readers = {
+            schema: lambda _, name: None if name == "lineitem" else table(spark, sf_dir, name)
+            for schema in schemas
+        }
+        scan_catalog(
+            store, "shop", inventory.one_inventory(containers),
+            inventory.one_inventory(columns), open_table=opening.by_schema(readers), modes=["min_max"],
+        )
+
+    scan(_CATALOG, False)
+    scan({s: names for s, names in _CATALOG.items() if s != "people"}, True)
+    keys = ["r_regionkey", "n_nationkey", "o_orderkey"]
+    lowest = (
+        store.state("columns").where(F.col("column_name").isin(keys))
+        .select(*CONTAINER_KEY, F.col("profile")["min_max"]["min_value"].alias("lowest"))
+    )
+    none = F.lit(None)
+    containers = store.state("containers").join(lowest, CONTAINER_KEY, "left").select(
+        F.lit("container").alias("part"), "schema_name", "container_name",
+        none.cast("string").alias("change_type"), "estimated_count", "lowest",
+    )
+    changes = store.log("changes").select(
+        F.lit("change").alias("part"), "schema_name", "container_name", "change_type",
+        none.cast("bigint").alias("estimated_count"), none.cast("string").alias("lowest"),
+    )
+    return containers.unionByName(changes)
+
+
 @registry.add("scan_postgres_listing", _listing_sql())
 def scan_postgres_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a server lists of its first schema, taken into the inventory: type,
