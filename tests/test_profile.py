@@ -185,3 +185,25 @@ def test_plan_shape(spark, sf):
     light = p.light_profile(lineitem, lineitem.columns[:2], [])
     scan = light._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in scan.split("ReadSchema")[1]
+
+
+def test_bitmaps_count_exactly(spark):
+    low, high = -(2**63), 2**63 - 1
+    values = [None, None, 0, 1, -1, 32768, -32768, 32769, -32769, 65536, low, high, low + 1, high - 1, 1, 0, *range(-40_000, 40_000, 7)]
+    df = spark.createDataFrame([(v, dt.date(2000, 1, 1) + dt.timedelta(days=(v or 0) % 300)) for v in values], "n bigint, d date").repartition(3)
+    by_name = {r.column_name: r for r in p.bitmap_counts(df, ["n", "d"]).collect()}
+    assert by_name["n"].distinct_count == len({v for v in values if v is not None})
+    assert (by_name["n"].rows, by_name["n"].nulls) == (len(values), 2)
+    assert by_name["d"].distinct_count == len({(v or 0) % 300 for v in values})
+    with pytest.raises(TypeError):
+        p.bitmap_counts(df.selectExpr("cast(n as string) as n"), ["n"])
+    assert p.bitmap_counts(df.limit(0), ["n"]).count() == 0
+
+
+def test_bitmaps_only_where_values_lie_close(spark):
+    df = spark.range(200_000).selectExpr(
+        "id as close", "id * 1000003 as apart", "cast(id as string) as text", "date_add(date'2000-01-01', cast(id % 3000 as int)) as day",
+        "cast(null as int) as none")
+    assert set(p.dense_columns(df, df.columns)) == {"close", "day", "none"}
+    found = {r.column_name: r.distinct_count for r in p.table_profile(df, ["distinct_count"]).collect()}
+    assert found == {"close": 200_000, "apart": 200_000, "text": 200_000, "day": 3000, "none": 0}

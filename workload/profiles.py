@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sondar.functions.text import json_ready, value_text
 from sondar.model import TOP_VALUES_MAX_DISTINCT
 from sondar.operators.profile import (
+    bitmap_counts,
     light_profile,
     profile_column,
     row_counts,
@@ -149,6 +150,29 @@ def profile_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_profile(df, ["distinct_count"]).select("column_name", "distinct_count")
 
 
+_BITMAPS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "shipped", "tested"]
+
+
+@registry.add(
+    "profile_distinct_bitmaps",
+    "with t as (select *, l_shipdate::date as shipped, "
+    "case when l_orderkey % 2 = 0 then -l_orderkey end as tested from lineitem)\n"
+    + union(
+        [
+            f"select '{c}' as column_name, count(distinct {c}) as distinct_count, "
+            f"count(*) as rows, count(*) - count({c}) as nulls from t"
+            for c in _BITMAPS
+        ]
+    ),
+)
+def profile_distinct_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers, negative and missing ones too, and dates, by bitmaps."""
+    df = table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "cast(l_shipdate as date) as shipped", "if(l_orderkey % 2 = 0, -l_orderkey, null) as tested"
+    )
+    return bitmap_counts(df, _BITMAPS).select("column_name", "distinct_count", "rows", "nulls")
+
+
 def _ranked(name: str, source: str, column: str) -> str:
     return (
         f"select '{name}' as column_name, "
