@@ -47,12 +47,12 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise UnknownColumn(", ".join(missing))
 
 
-def _has_range(dtype: T.DataType) -> bool:
+def has_range(dtype: T.DataType) -> bool:
     """Whether min and max apply; a map, inside another type too, has no order."""
     if isinstance(dtype, T.ArrayType):
-        return _has_range(dtype.elementType)
+        return has_range(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return all(_has_range(field.dataType) for field in dtype.fields)
+        return all(has_range(field.dataType) for field in dtype.fields)
     return not isinstance(dtype, (T.MapType, T.VariantType, T.BinaryType))
 
 
@@ -120,7 +120,7 @@ def light_profile(
         if name in counted:
             aggregates.append(f"count({ref}) as n{index}")
             ratio = f"(rows - n{index}) / nullif(rows, 0)"
-        if name in ranged and _has_range(dtype):
+        if name in ranged and has_range(dtype):
             aggregates += [f"min({ref}) as lo{index}", f"max({ref}) as hi{index}"]
             if isinstance(dtype, (T.FloatType, T.DoubleType)):
                 # Adding zero turns -0.0 into 0.0, whichever of them was met.

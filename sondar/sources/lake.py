@@ -155,7 +155,7 @@ def _whole_keys(spark: SparkSession, root: str, name: str) -> dict[str, str]:
 
 
 @contextmanager
-def _partitions_as_written(spark: SparkSession) -> Iterator[None]:
+def partitions_as_written(spark: SparkSession) -> Iterator[None]:
     """Partition values are text while a folder is being opened; the setting is
     the session's, so one folder is opened at a time."""
     with _reading:
@@ -219,7 +219,7 @@ def read_dataset(
     reader = spark.read.options(**(options or {}))
     whole = _whole_keys(spark, root, name)
     if kind == "json":
-        with _partitions_as_written(spark):
+        with partitions_as_written(spark):
             df = _json_lines(spark, folder, schema)
     else:
         reader = reader.option("pathGlobFilter", f"*.{kind}")
@@ -229,7 +229,7 @@ def read_dataset(
             reader = reader.option("inferSchema", "true")
         if kind == "csv" and "mode" not in {o.lower() for o in options or ()}:
             reader = reader.option("mode", "FAILFAST")
-        with _partitions_as_written(spark):
+        with partitions_as_written(spark):
             df = reader.option("header", "true").format(kind).load(folder)
     for key, kept in whole.items():
         if key in df.columns and isinstance(df.schema[key].dataType, T.StringType):

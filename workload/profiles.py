@@ -14,6 +14,8 @@ from sondar.operators.profile import (
     row_counts,
     table_profile,
 )
+from sondar.plans.folders import FolderStatistics
+from sondar.session import scratch_dir
 from workload import TABLES, plain, registry, run_sql, table
 
 # Columns of the given tables by the statistics their type gets.
@@ -325,6 +327,48 @@ def profile_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_DAILY = {"o_orderkey": "n", "o_totalprice": "n", "o_orderdate": "t", "o_orderpriority": "c", "status": "c"}
+
+
+def _daily_sql() -> str:
+    def row(name: str, kind: str) -> str:
+        x = "o_orderstatus" if name == "status" else name
+        low, high = (clock(f"min({x})"), clock(f"max({x})")) if kind == "t" else bounds(x)
+        distinct = f"count(distinct {x})" if kind == "c" else "null::bigint"
+        return (
+            f"select '{name}' as column_name, (count(*) - count({x}))::double / count(*) as null_ratio, "
+            f"{low} as min_value, {high} as max_value, {distinct} as distinct_count, "
+            "[3, 1, 0] as folders_read from orders"
+        )
+
+    return union([row(name, kind) for name, kind in _DAILY.items()])
+
+
+@registry.add("profile_of_folders", _daily_sql())
+def profile_of_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in folders: the first look reads three of them, the second the one that
+    came since, the third none; what is merged is what a look at everything says."""
+    lake = scratch_dir(spark, "daily")
+    folders = {name: f"{lake}/orders/status={name}" for name in ("F", "O", "P")}
+    orders = table(spark, sf_dir, "orders").select(*[c for c in _DAILY if c != "status"], "o_orderstatus")
+    late = F.col("o_orderkey") % 7 == 0
+    for name, folder in folders.items():
+        mine = orders.where((F.col("o_orderstatus") == name) & ~late)
+        mine.drop("o_orderstatus").write.parquet(f"{folder}/part=0")
+    store = FolderStatistics(spark, f"{lake}/kept")
+    read = [store.refresh(f"{lake}/orders").read]
+    orders.where(late).drop("o_orderstatus").write.parquet(f"{folders['F']}/part=1")
+    read.append(store.refresh(f"{lake}/orders").read)
+    last = store.refresh(f"{lake}/orders")
+    read.append(last.read)
+    listed = F.col("column_name").isin([c for c, kind in _DAILY.items() if kind == "c"])
+    return last.profile.where(F.col("column_name") != "part").select(
+        "column_name", "null_ratio", "min_value", "max_value",
+        F.when(listed, F.col("distinct_count")).alias("distinct_count"),
+        F.array(*map(F.lit, read)).alias("folders_read"),
+    )
+
+
 @registry.add(
     "container_counts",
     union(
