@@ -11,11 +11,11 @@ from sondar.operators.profile import (
     bitmap_counts,
     light_profile,
     profile_column,
-    row_counts,
     table_profile,
 )
 from sondar.plans.folders import FolderStatistics
 from sondar.session import scratch_dir
+from sondar.sources import footers
 from workload import TABLES, plain, registry, run_sql, table
 
 # Columns of the given tables by the statistics their type gets.
@@ -379,7 +379,36 @@ def profile_of_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def container_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_counts({t: table(spark, sf_dir, t) for t in TABLES})
+    return footers.footer_counts(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
+
+
+_FOOTERS = ["orders", "lineitem", "labels", "events"]
+
+
+def _footer_sql(name: str) -> str:
+    parts = []
+    for c in [*NUMBERS[name], *TIMES.get(name, []), *TEXTS[name]]:
+        low, high = (clock(f"min({c})"), clock(f"max({c})")) if c in TIMES.get(name, []) else bounds(c)
+        parts.append(
+            f"select '{name}' as container_name, '{c}' as column_name, "
+            f"(count(*) - count({c}))::double / count(*) as null_ratio, "
+            f"{low} as min_value, {high} as max_value, "
+            f"(select count(*) from {name}) as estimated_count from {name}"
+        )
+    return union(parts)
+
+
+@registry.add("profile_from_footers", union([_footer_sql(name) for name in _FOOTERS]))
+def profile_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null ratios, ranges and row counts as the files' footers have them."""
+    folders = {name: f"{sf_dir}/{name}.parquet" for name in _FOOTERS}
+    found = None
+    for name, folder in folders.items():
+        one = footers.footer_profile(spark, folder).withColumn("container_name", F.lit(name))
+        found = one if found is None else found.unionByName(one)
+    return found.join(footers.footer_counts(spark, folders), "container_name").select(
+        "container_name", "column_name", "null_ratio", "min_value", "max_value", "estimated_count"
+    )
 
 
 @registry.add(
