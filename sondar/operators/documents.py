@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from sondar.functions.sql import ident, literal
 from sondar.functions.types import document_type, modes_for_document_type
 from sondar.model import NULL_RATIO, UnknownColumn
+from sondar.operators.numbering import numbered
 from sondar.operators.profile import table_profile
 
 _STRICT = {"mode": "FAILFAST"}
+#: Fields beyond which a collection's keys are taken for data.
+MAX_FIELDS = 10_000
 
 
 def _fields(document: Column) -> Column:
@@ -37,8 +39,9 @@ def infer_schema(
     null. Nested values are ``object`` and ``array``. Judged on all documents,
     or on the first ``sample_documents``; malformed documents fail the query.
 
-    Fields are combined map-side to one row per name and task; only the
-    distinct field names are numbered together.
+    Fields are combined map-side to one row per name and task, and the distinct
+    names numbered part by part, so that names which are data do no harm here;
+    who has them in the driver asks ``require_fields`` first.
     """
     text = F.col(ident(document))
     keys = [F.col(ident(name)) for name in order_by] or [F.monotonically_increasing_id()]
@@ -62,9 +65,9 @@ def infer_schema(
             F.count("kind").alias("present"),
         )
     )
-    return seen.select(
+    return numbered(seen, [F.col("first_seen")], "ordinal").select(
         F.col("field").alias("column_name"),
-        F.row_number().over(Window.orderBy("first_seen")).alias("ordinal"),
+        "ordinal",
         F.array_join(F.array_sort("kinds"), "|").alias("native_type"),
         (F.col("present") < total.scalar()).alias("nullable"),
         (F.col("field") == "_id").alias("is_pk"),
@@ -72,6 +75,15 @@ def infer_schema(
     )
 
 
+def require_fields(schema: DataFrame, document: str, max_fields: int = MAX_FIELDS) -> list[Row]:
+    """The rows of a schema by ordinal; one of more than ``max_fields`` fields is refused
+    before more than one row beyond that reaches the driver."""
+    rows = schema.orderBy("ordinal").limit(max_fields + 1).collect()
+    if len(rows) > max_fields:
+        raise ValueError(f"{document} has more than {max_fields} fields; are its keys data?")
+    return rows
+
+
 def _get(kind: str, *paths: str) -> str:
     """SQL that reads ``{0}`` as ``kind`` from the first path that has it."""
     return ", ".join(
@@ -156,7 +168,7 @@ def document_profile(
     document: str,
     schema: DataFrame,
     *,
-    max_fields: int = 10_000,
+    max_fields: int = MAX_FIELDS,
     **options: object,
 ) -> DataFrame:
     """Profile of the fields in ``schema`` (from :func:`infer_schema`) over all
@@ -167,21 +179,15 @@ def document_profile(
     are in no range or count; ``unfit_ratio`` says how many documents hold one.
     A collection of more than ``max_fields`` fields is refused.
     """
-    rows = (
-        schema.select(
-            "column_name",
-            "native_type",
-            "ordinal",
-            modes_for_document_type(F.col("native_type")).alias("modes"),
-        )
-        .orderBy("ordinal")
-        .limit(max_fields + 1)
-        .collect()
+    with_modes = schema.select(
+        "column_name",
+        "native_type",
+        "ordinal",
+        modes_for_document_type(F.col("native_type")).alias("modes"),
     )
+    rows = require_fields(with_modes, document, max_fields)
     if not rows:
         raise UnknownColumn(document)
-    if len(rows) > max_fields:
-        raise ValueError(f"{document} has more than {max_fields} fields; are its keys data?")
     fields = {row.column_name: row.native_type for row in rows}
     modes = {row.column_name: row.modes for row in rows}
     # Two more columns a field, under names no field has, read in the same pass.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sondar.functions.text import (
@@ -181,11 +181,14 @@ def export(
     if access is not None:
         containers, columns = permitted(containers, access), permitted(columns, access)
     spark = containers.sparkSession
+    # What is written is counted as it is written.
+    counts = Observation()
     if form == "csv":
         columns = columns.join(containers.select(*CONTAINER_KEY), CONTAINER_KEY, "left_semi")
         order = [F.col(c) for c in ("container", "database", "schema", "ordinal")]
         (
             _write(csv_rows(columns), order, files)
+            .observe(counts, F.count(F.lit(1)).alias("columns"))
             .write.mode("overwrite")
             .options(
                 header="true",
@@ -197,9 +200,8 @@ def export(
             )
             .csv(path)
         )
-        counted = containers.select(
-            F.lit(1).alias("c"), F.lit(0).alias("n")
-        ).unionAll(columns.select(F.lit(0), F.lit(1)))
+        # Containers without columns are in no row of it.
+        written = containers.count()
     else:
         if form == "markdown":
             blocks = markdown_blocks(containers, columns)
@@ -218,20 +220,24 @@ def export(
             F.lit(0).alias("part"),
             *[F.lit("").alias(c) for c in CONTAINER_KEY],
             "block",
+            F.lit(0).alias("columns"),
         )
-        body = blocks.select(F.lit(1).alias("part"), *CONTAINER_KEY, "block")
+        body = blocks.select(F.lit(1).alias("part"), *CONTAINER_KEY, "block", "columns")
         order = [F.col("part"), *[F.col(c) for c in _ORDER]]
         (
             _write(first.unionByName(body), order, files)
+            .observe(
+                counts,
+                F.coalesce(F.sum("part"), F.lit(0)).alias("containers"),
+                F.coalesce(F.sum("columns"), F.lit(0)).alias("columns"),
+            )
             .select("block")
             .write.mode("overwrite")
             .text(path)
         )
-        counted = blocks.select(F.lit(1).alias("c"), F.col("columns").alias("n"))
-    size = list_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)))
-    return counted.agg(
-        F.lit(path).alias("path"),
-        size.scalar().alias("bytes_written"),
-        F.coalesce(F.sum("c"), F.lit(0)).alias("containers"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("columns"),
+        written = counts.get["containers"]
+    size = list_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return spark.createDataFrame(
+        [(path, size, written, counts.get["columns"])],
+        "path string, bytes_written bigint, containers bigint, columns bigint",
     )

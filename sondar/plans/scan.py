@@ -25,7 +25,13 @@ from sondar.model import (
     ddl,
 )
 from sondar.operators import drift, inventory
-from sondar.operators.documents import document_profile, flatten, infer_schema
+from sondar.operators.documents import (
+    MAX_FIELDS,
+    document_profile,
+    flatten,
+    infer_schema,
+    require_fields,
+)
 from sondar.operators.profile import as_mode_map, table_profile
 from sondar.operators.sensitivity import detect, record_detected
 from sondar.plans.store import CatalogStore
@@ -49,12 +55,15 @@ class Collection:
     frame: DataFrame
     document: str
     order_by: Sequence[str] = ()
+    #: A collection of more is refused: its keys are data.
+    max_fields: int = MAX_FIELDS
 
     @cached_property
     def fields(self) -> DataFrame:
         """What the documents hold, read once; one row per top-level field."""
         found = infer_schema(self.frame, self.document, order_by=self.order_by)
-        return self.frame.sparkSession.createDataFrame(found.collect(), found.schema)
+        rows = require_fields(found, self.document, self.max_fields)
+        return self.frame.sparkSession.createDataFrame(rows, found.schema)
 
     @cached_property
     def typed(self) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from threading import Lock
 
@@ -80,9 +81,68 @@ def datasets(files: DataFrame, root: str, max_depth: int | None = None) -> DataF
     )
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """Every dataset directly under the root."""
-    return datasets(list_files(spark, root), root)
+def _escaped(path: str) -> str:
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def _shown(name: str) -> bool:
+    """Whether readers see a file or folder of this name."""
+    return not name.startswith(".") and (not name.startswith("_") or "=" in name)
+
+
+class _Walker:
+    """Looks through folders in the defined order until a data file is met.
+
+    A folder is listed by the storage's own client and only as much of the list is
+    taken over as is needed: its first data file, or else folder after folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        jvm = spark._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path
+        self.files = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _matching(self, folder: str, pattern: str) -> Iterator[tuple[str, bool, str]]:
+        """(name, is a folder, path) in name order."""
+        found = self.files.globStatus(self.path(f"{_escaped(folder)}/{pattern}"))
+        for i in range(len(found) if found is not None else 0):
+            path = found[i].getPath()
+            if _shown(path.getName()):
+                yield path.getName(), found[i].isDirectory(), path.toString()
+
+    def folders(self, folder: str) -> list[tuple[str, str]]:
+        return [(name, path) for name, inside, path in self._matching(folder, "*") if inside]
+
+    def first_file(self, folder: str, depth: int | None) -> tuple[str, str] | None:
+        """(format, path) of the first data file, files before folders, both by name."""
+        for name, inside, path in self._matching(folder, "*.{" + ",".join(FILE_FORMATS) + "}"):
+            kind = re.search(r"\.([a-z]+)$", name)
+            if not inside and kind:
+                return FILE_FORMATS[kind[1]], path
+        if depth == 0:
+            return None
+        for _name, inside, path in self._matching(folder, "*"):
+            if inside and (found := self.first_file(path, None if depth is None else depth - 1)):
+                return found
+        return None
+
+
+def discover(spark: SparkSession, root: str, max_depth: int | None = None, parallel: int = 16) -> DataFrame:
+    """(container_name, format, first_file) of every dataset directly under the root.
+
+    Each child folder is searched by itself, ``parallel`` at a time, and left at its first data
+    file: what a dataset holds besides is never listed. For a listing that is
+    already a frame, see :func:`datasets`.
+    """
+    walker = _Walker(spark, root)
+
+    def first(child: tuple[str, str]) -> tuple[str, str, str] | None:
+        found = walker.first_file(child[1], max_depth)
+        return (child[0], *found) if found else None
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        rows = [row for row in pool.map(first, walker.folders(root)) if row]
+    return spark.createDataFrame(rows, "container_name string, format string, first_file string")
 
 
 def discover_flat(spark: SparkSession, root: str) -> DataFrame:
@@ -111,18 +171,12 @@ def _check_name(name: str) -> None:
 
 
 def resolve(spark: SparkSession, root: str, name: str) -> tuple[str, str]:
-    """(format, first data file) of one dataset; only its folder is listed."""
+    """(format, first data file) of one dataset; the search ends with that file."""
     _check_name(name)
-    folder = f"{root.rstrip('/')}/{name}"
-    try:
-        found = datasets(list_files(spark, folder), root).take(1)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            raise UnknownContainer(name) from error
-        raise
-    if not found:
+    found = _Walker(spark, root).first_file(f"{root.rstrip('/')}/{name}", None)
+    if found is None:
         raise UnknownContainer(name)
-    return found[0].format, found[0].first_file
+    return found
 
 
 # A whole number written the one way that reading it as a number keeps.

@@ -149,3 +149,20 @@ def test_too_many_fields_are_refused(spark):
     frame = docs(spark, '{"a":1,"b":2,"c":3}')
     with pytest.raises(ValueError, match="more than 2 fields"):
         d.document_profile(frame, "doc", d.infer_schema(frame, "doc"), max_fields=2)
+
+
+def test_many_names_are_numbered_part_by_part(spark):
+    from sondar.operators.documents import infer_schema, require_fields
+    from sondar.plans.scan import Collection
+
+    df = spark.range(2000).selectExpr(
+        "id", "concat('{', array_join(transform(sequence(0, 99), i -> concat('\"k', id * 100 + i, '\":1')), ','), '}') as d")
+    schema = infer_schema(df, "d", order_by=["id"])
+    # Each part numbers its own rows; the one exchange left brings a count of documents a task.
+    assert "Window" not in schema._jdf.queryExecution().toString()
+    rows = schema.selectExpr("count(1) as n", "max(ordinal) as last", "count_if(column_name <> concat('k', ordinal - 1)) as wrong").first()
+    assert tuple(rows) == (200_000, 200_000, 0)
+    with pytest.raises(ValueError, match="are its keys data"):
+        require_fields(schema, "d")
+    with pytest.raises(ValueError, match="are its keys data"):
+        Collection(df, "d", ["id"], max_fields=100).fields

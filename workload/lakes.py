@@ -47,6 +47,30 @@ def lake_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.datasets(run_sql(spark, sf_dir, _FILES), "/lake")
 
 
+_LEVELS = {"customer": "", "supplier": "/a", "part": "/a/b=1", "orders": "/a/b=1/c", "nation": "/a/b=1/c/d/e"}
+
+
+@registry.add(
+    "lake_discovered",
+    union(
+        [
+            f"select distinct '{t}' as container_name, '{'csv' if t == 'nation' else 'parquet'}' as format, "
+            f"{below.count('/') + 1} as depth from {t}"
+            for t, below in _LEVELS.items()
+        ]
+    ),
+)
+def lake_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake of folders up to five levels deep, each search ending with its first file."""
+    root = scratch_dir(spark, "levels")
+    for name, below in _LEVELS.items():
+        writer = table(spark, sf_dir, name).write.format("csv" if name == "nation" else "parquet")
+        writer.save(f"{root}/{name}{below}")
+    found = lake.discover(spark, root)
+    inside = F.expr("substring_index(first_file, concat('/', container_name, '/'), -1)")
+    return found.select("container_name", "format", F.size(F.split(inside, "/")).alias("depth"))
+
+
 @registry.add(
     "lake_files",
     union(
