@@ -17,6 +17,7 @@ in one aggregation would multiply every row by the number of columns instead.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ from sondar.model import (
 from sondar.operators import toplists
 from sondar.operators.toplists import unpivoted_counts
 
+#: Columns that are profiled in one plan; a wider table is cut into blocks of as many.
+BLOCK = 150
+
 _RANKS = "array<struct<rank:int,value:string,count:bigint,is_null:boolean>>"
 
 
@@ -295,6 +299,27 @@ def choose_modes(
     return chosen
 
 
+def _by_blocks(df: DataFrame, chosen: Mapping[str, Sequence[str]], **options: object) -> DataFrame:
+    """The profile of a wide table, put together from blocks of its columns.
+
+    Each block is a plan of its own over its own columns, so that none is too large to be
+    compiled; a columnar source is still read once.
+    """
+    blocks = [df.columns[i : i + BLOCK] for i in range(0, len(df.columns), BLOCK)]
+
+    def one(names: list[str]) -> DataFrame:
+        return table_profile(df.selectExpr(*map(ident, names)), {c: chosen[c] for c in names}, **options)
+
+    # What runs at the call runs side by side.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(one, blocks))
+    out = None
+    for i, part in enumerate(parts):
+        part = part.withColumn("ordinal", F.col("ordinal") + i * BLOCK)
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
 def table_profile(
     df: DataFrame,
     modes: Sequence[str] | Mapping[str, Sequence[str]] | None = None,
@@ -314,6 +339,8 @@ def table_profile(
     Listing values runs its counting at the call; the rest waits for an action.
     """
     chosen = choose_modes(df, modes)
+    if len(df.columns) > BLOCK:
+        return _by_blocks(df, chosen, top_n=top_n, max_distinct=max_distinct, approximate=approximate, rsd=rsd)
 
     def having(mode: str) -> list[str]:
         return [name for name in df.columns if mode in chosen[name]]

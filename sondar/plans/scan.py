@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import cached_property
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ from sondar.sources.lake import declare_keys, schema_rows
 
 log = logging.getLogger("sondar.scan")
 
+#: Scheduler pools of the tables read side by side begin with this.
+POOLS = "sondar-scan"
+
 _FINDINGS = (
     "database string, schema_name string, container_name string, "
     f"column_name string, sensitivity string, profile {PROFILE}, rows bigint"
@@ -102,7 +106,7 @@ def _inspect(
     key: tuple[str, str, str],
     target: str,
     modes: Sequence[str] | None,
-    count: bool,
+    counts: bool,
     full_detection: bool,
     max_distinct: int | None,
 ) -> list[str]:
@@ -145,7 +149,7 @@ def _inspect(
     wanted: dict[str, Callable[[], DataFrame]] = {
         "sensitivity": lambda: detect(df, full=full_detection)
     }
-    if count:
+    if counts:
         wanted["rows"] = lambda: df.agg(F.count(F.lit(1)).alias("rows"))
     single = dict(wanted)
     if (modes is None or modes) and df.columns:
@@ -209,6 +213,8 @@ def scan_tables(
     them, and ``tables`` opens the ones whose data is to be read. Without them
     every table is listed by its own schema. ``counted`` names the tables whose
     rows are worth counting (Parquet); their count replaces the listed estimate.
+    Tables read side by side have a scheduler pool each, which counts where the
+    session's ``spark.scheduler.mode`` is FAIR.
     A listing that names a container or column twice is refused.
     """
     return _scan(
@@ -391,7 +397,13 @@ def _scan(
         .collect()
     ] if opened or open_table else []
     lost: dict[Place, list[str]] = {}
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
+    slots = count()
+
+    def own_pool() -> None:
+        # Under FAIR scheduling a small table need not wait for the tasks of a large one.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{POOLS}-{next(slots)}")
+
+    with ThreadPoolExecutor(max_workers=parallel, initializer=own_pool) as pool:
         if open_table:
             # Only what changed is opened.
             found = pool.map(lambda place: open_one(lambda: open_table(*place)), changed)

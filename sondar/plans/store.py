@@ -17,6 +17,10 @@ from sondar.operators.drift import with_ids
 
 _COMMITS = "version bigint, committed_at timestamp"
 _STATE = {"containers": CONTAINERS, "columns": COLUMNS}
+_CLUSTERED = {
+    "containers": ["container_name", "database", "schema_name"],
+    "columns": ["container_name", "database", "schema_name", "ordinal"],
+}
 _LOGS = {"changes": CHANGES, "scan_runs": SCAN_RUNS}
 
 
@@ -76,9 +80,11 @@ class CatalogStore:
         for name, schema in _STATE.items():
             frame = given[name]
             frame = self.state(name, current) if frame is None else frame
-            frame.select(*schema).write.mode("overwrite").parquet(
-                self.path(name, version)
-            )
+            # Pages go by these keys: what lies before a cursor is skipped by the files' statistics.
+            order = _CLUSTERED[name]
+            frame.select(*schema).repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+                "overwrite"
+            ).parquet(self.path(name, version))
         if changes is not None:
             last = self.log("changes").agg(F.max("id")).first()[0] or 0
             with_ids(changes, last).write.mode("overwrite").parquet(

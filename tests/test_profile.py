@@ -207,3 +207,17 @@ def test_bitmaps_only_where_values_lie_close(spark):
     assert set(p.dense_columns(df, df.columns)) == {"close", "day", "none"}
     found = {r.column_name: r.distinct_count for r in p.table_profile(df, ["distinct_count"]).collect()}
     assert found == {"close": 200_000, "apart": 200_000, "text": 200_000, "day": 3000, "none": 0}
+
+
+def test_wide_tables_are_profiled_in_blocks(spark, monkeypatch):
+    wide = spark.range(30).selectExpr(*[f"id % {i + 1} as n{i}" for i in range(20)], *[f"cast(id % {i + 1} as string) as s{i}" for i in range(20)])
+    want = p.table_profile(wide).orderBy("ordinal").collect()
+    monkeypatch.setattr(p, "BLOCK", 7)
+    assert p.table_profile(wide).orderBy("ordinal").collect() == want and len(want) == 40
+
+
+def test_three_thousand_columns(spark):
+    wide = spark.range(20).selectExpr(*[f"id + {i} as c{i}" if i % 2 else f"cast(id % {i + 1} as string) as c{i}" for i in range(3000)])
+    plan = p.table_profile(wide, ["null_ratio", "min_max"])
+    found = {r.column_name: r for r in plan.collect()}
+    assert len(found) == 3000 and found["c2999"].min_value == "2999" and found["c2999"].ordinal == 3000

@@ -273,3 +273,36 @@ def test_a_catalog_scan_opens_what_changed_and_records_what_it_could_not(spark,
     assert {r.container_name for r in store.state("containers").collect()} == {"buoys", "gone"}
     removed = store.log("changes").where("change_type = 'container_removed'").collect()
     assert {(r.schema_name, r.container_name) for r in removed} == {("south", "piers"), ("south", "view")}
+
+
+def test_pages_skip_files_before_the_cursor(spark, tmp_path):
+    from sondar.model import CONTAINERS
+    from sondar.operators.browse import containers_after
+
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    names = spark.range(4000).select(F.lit("shop").alias("database"), F.lit("x").alias("schema_name"), F.format_string("c%05d", (F.col("id") * 7919) % 4000).alias("container_name"))
+    frame = names.select(*[F.col(c) if c in names.columns else F.lit(None).cast(t).alias(c) for c, t in CONTAINERS.items()])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.commit(containers=frame)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    kept = store.state("containers")
+    files = kept.groupBy(F.col("_metadata.file_path")).agg(F.min("container_name").alias("low"), F.max("container_name").alias("high")).orderBy("low").collect()
+    assert len(files) > 1 and all(a.high < b.low for a, b in zip(files, files[1:]))
+    page = containers_after(kept, cursor=("c02998", "shop", "x"), limit=3)
+    assert [r.container_name for r in page.collect()] == ["c02999", "c03000", "c03001", "c03002"]
+    assert "PushedFilters: [Or(GreaterThan(container_name,c02998)" in page._jdf.queryExecution().toString()
+
+
+def test_tables_are_read_in_pools_of_their_own(spark, tmp_path, monkeypatch):
+    from sondar.plans import scan
+
+    seen = []
+    monkeypatch.setattr(scan, "_inspect", lambda table, key, *rest: seen.append(
+        spark.sparkContext.getLocalProperty("spark.scheduler.pool")) or [])
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_tables(store, "shop", {n: spark.range(2).toDF("id") for n in "abc"}, parallel=2)
+    assert len(seen) == 3 and set(seen) <= {f"{scan.POOLS}-0", f"{scan.POOLS}-1"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

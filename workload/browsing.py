@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sondar.model import CONTAINER_KEY, PROFILE
+from sondar.model import CONTAINER_KEY, CONTAINERS, PROFILE
 from sondar.operators import browse, export
+from sondar.operators.search_index import SearchIndex, write_index
+from sondar.plans.store import CatalogStore
 from sondar.session import scratch_dir
 from sondar.sources import audit
-from sondar.operators.search_index import SearchIndex, write_index
 from workload import derived as d
 from workload import plain, registry, run_sql
 
@@ -120,6 +121,28 @@ def search_names_and_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@registry.add(
+    "pages_from_store",
+    f"""
+with c as (select container_name, database, schema_name from {_C} c),
+cut as (select container_name as at from c order by container_name, database, schema_name limit 1 offset 4999)
+select container_name, database, schema_name, row_number() over (order by container_name, database, schema_name) as place
+from c, cut where container_name > cut.at order by container_name, database, schema_name limit 101
+""",
+)
+def pages_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far into a committed inventory, whose files lie in the order of the pages."""
+    store = CatalogStore(spark, scratch_dir(spark, "pages"))
+    found = containers(spark, sf_dir)
+    lacking = {c: F.lit(None).cast(t) for c, t in CONTAINERS.items() if c not in found.columns}
+    store.commit(containers=found.withColumns(lacking))
+    order = ["container_name", "database", "schema_name"]
+    kept = store.state("containers")
+    cursor = kept.select(*order).orderBy(*order).offset(4999).first()
+    page = browse.containers_after(kept, cursor=(cursor[0], "~", "~"), limit=100).select(*order)
+    return page.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 @registry.add("search_indexed", _search_sql("email"))
 def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same hits from an index of trigrams, whose postings are read instead of
@@ -129,6 +152,29 @@ def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SearchIndex(spark, path).search(" EMAIL ", limit=None)
 
 
+_LONG = (
+    "case when estimated_count % 3 = 0 then 'big' else concat('A table of big orders, described at such length that a hit of a search ', "
+    "'has to cut it ', repeat('and ', cast(estimated_count % 40 as int)), '  so that it ends, ', container_name) end"
+)
+
+
+@registry.add(
+    "search_long_descriptions",
+    f"""
+with c as (select {d.KEY}, {_LONG.replace(' as int)', ' as bigint)')} as t from {_C} where estimated_count is not null)
+select {d.KEY}, case when length(t) > 120 then rtrim(left(t, 120)) || '…' else t end as description
+from c where contains(lower(t), 'big')
+""",
+)
+def search_long_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits whose descriptions are cut to 120 characters, trailing blanks left out."""
+    found = containers(spark, sf_dir).where("estimated_count is not null").withColumn(
+        "description", F.expr(_LONG)
+    )
+    hits = browse.search(found, columns(spark, sf_dir), "BIG", kind="container", limit=None)
+    return hits.select(*CONTAINER_KEY, "description")
+
+
 @registry.add("search_first_50", _search_sql("order_1", 50))
 def search_first_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``_`` is an ordinary character; the ranking decides what is kept."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.functions.text import json_ready, value_text
-from sondar.model import TOP_VALUES_MAX_DISTINCT
+from sondar.model import TOP_VALUES_MAX_DISTINCT, UnknownColumn
 from sondar.operators.profile import (
     bitmap_counts,
     light_profile,
@@ -298,6 +298,28 @@ def one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registry.add(
+    "profile_unknown_column",
+    "select 'lang' as column_name, count(distinct lang) as distinct_count, null::varchar as refused from documents "
+    "union all select 'Lang', null, 'UnknownColumn: Lang' union all select 'no such', null, 'UnknownColumn: no such'",
+)
+def unknown_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that is there is profiled, others are refused by their exact names."""
+    df, out = table(spark, sf_dir, "documents"), None
+    for name in ("lang", "Lang", "no such"):
+        try:
+            found = profile_column(df, name, "distinct_count").select(
+                "column_name", "distinct_count", F.lit(None).cast("string").alias("refused")
+            )
+        except UnknownColumn as error:
+            found = spark.createDataFrame(
+                [(name, None, f"{type(error).__name__}: {error}")],
+                "column_name string, distinct_count bigint, refused string",
+            )
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
 @registry.add(
     "profile_approx_distinct",
     union(

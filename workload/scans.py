@@ -14,6 +14,7 @@ from sondar.plans.scan import Collection, scan_catalog, scan_tables
 from sondar.plans.store import CatalogStore
 from sondar.session import scratch_dir
 from sondar.sources import lake, opening
+from sondar.sources.documents import read_collection
 from workload import browsing, registry, run_sql, table
 from workload import documents as docs
 from workload import ingestion as listed
@@ -290,6 +291,20 @@ def scan_postgres_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _collection_rows(store: CatalogStore) -> DataFrame:
+    kinds = store.state("containers").select(
+        "container_name", "container_type", "estimated_count"
+    )
+    fields = store.state("columns").select(
+        "container_name", "column_name", "ordinal", "native_type", "nullable"
+    )
+    return (
+        fields.join(kinds, "container_name")
+        .join(_statistics(store), ["container_name", "column_name"])
+        .drop("container_name")
+    )
+
+
 @registry.add(
     "scan_collections",
     f"""
@@ -303,17 +318,54 @@ def scan_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "collections")
     collection = Collection(docs.docs(spark, sf_dir), "document", ["event_id"])
     scan_tables(store, "docs", {"events": collection}, counted=["events"])
-    kinds = store.state("containers").select(
-        "container_name", "container_type", "estimated_count"
-    )
-    fields = store.state("columns").select(
-        "container_name", "column_name", "ordinal", "native_type", "nullable"
-    )
-    return (
-        fields.join(kinds, "container_name")
-        .join(_statistics(store), ["container_name", "column_name"])
-        .drop("container_name")
+    return _collection_rows(store)
+
+
+@registry.add("scan_collection_files", registry.sql["scan_collections"])
+def scan_collection_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same collection from files of one document a line, blank lines between."""
+    folder = scratch_dir(spark, "files")
+    rows = docs.docs(spark, sf_dir).select("event_id", "document")
+    lines = rows.select("event_id", F.explode(F.array(F.col("document"), F.lit("  "))).alias("value"))
+    lines.repartition(3, "event_id").select("value").write.text(f"{folder}/events")
+    # A file has no order of its own; the documents' key gives the one of the other query.
+    read = read_collection(spark, f"{folder}/events").withColumn(
+        "event_id", F.get_json_object("document", "$._id").cast("bigint")
     )
+    store = _store(spark, "collection-files")
+    scan_tables(store, "docs", {"events": Collection(read, "document", ["event_id"])}, counted=["events"])
+    return _collection_rows(store)
+
+
+@registry.add(
+    "rescan_forced",
+    union(
+        [
+            f"select {run} as run, {changes} as changes, 2 as containers_done, 0 as containers_skipped, "
+            "(select count(*) from orders) as estimated_count from (select 1)"
+            for run, changes in ((1, 2), (2, 0))
+        ]
+        + [
+            "select 3 as run, 0 as changes, 0 as containers_done, 2 as containers_skipped, "
+            "(select count(*) from orders) as estimated_count from (select 1)"
+        ]
+    ),
+)
+def rescan_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forced rescan of unchanged tables reads them all and records no change."""
+    store, out = _store(spark, "forced"), None
+    for run, force in ((1, False), (2, True), (3, False)):
+        before = store.log("changes").count()
+        frames = {n: table(spark, sf_dir, n) for n in ("orders", "region")}
+        scan_tables(store, "shop", frames, force=force, counted=["orders"], modes=[])
+        last = store.log("scan_runs").orderBy(F.desc("finished_at")).limit(1)
+        counted = store.state("containers").where("container_name = 'orders'").first().estimated_count
+        row = last.select(
+            F.lit(run).alias("run"), F.lit(store.log("changes").count() - before).alias("changes"),
+            "containers_done", "containers_skipped", F.lit(counted).cast("bigint").alias("estimated_count"),
+        )
+        out = row if out is None else out.unionAll(row)
+    return out
 
 
 @registry.add("scan_sensitivity", registry.sql["detect_names_then_values"])
