@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from sondar.functions.globs import matches_any
 from sondar.functions.text import shortened
 from sondar.model import (
+    AmbiguousContainer,
     CONTAINER_KEY,
     DEFAULT_CHANGE_LIMIT,
     DEFAULT_PAGE,
     DEFAULT_SEARCH_LIMIT,
-    AmbiguousContainer,
     InvalidCursor,
+    SOURCE_AI,
+    SOURCE_HUMAN,
     UnknownContainer,
 )
 
@@ -28,16 +30,23 @@ from sondar.model import (
 class Access:
     """What a caller may read: shell-style patterns on container names, deny
     before allow, and a list of databases. Empty lists restrict nothing.
-    ``raw_samples`` allows rows without masking."""
+    ``raw_samples`` allows rows without masking; ``writes_as_human`` says that what
+    the caller writes counts as a person's, not as a machine's guess."""
 
     allow: tuple[str, ...] = ()
     deny: tuple[str, ...] = ()
     databases: tuple[str, ...] = ()
     raw_samples: bool = False
+    writes_as_human: bool = False
+
+    @property
+    def source(self) -> str:
+        """Who a description written with this access comes from; never the caller's say."""
+        return SOURCE_HUMAN if self.writes_as_human else SOURCE_AI
 
     @classmethod
-    def from_claims(cls, claims: dict[str, Any]) -> Access:
-        """From a decoded token. A malformed container rule denies everything;
+    def from_claims(cls, claims: dict[str, Any], scopes: Sequence[str] = ()) -> Access:
+        """From a decoded token and its scopes. A malformed container rule denies everything;
         what is no list of strings grants nothing."""
 
         def strings(value: Any) -> tuple[str, ...]:
@@ -45,17 +54,18 @@ class Access:
             return tuple(item for item in items if isinstance(item, str))
 
         rule = claims.get("containers")
-        raw = claims.get("allow_raw_sample") is True
+        granted = {
+            "databases": strings(claims.get("databases")),
+            "raw_samples": claims.get("allow_raw_sample") is True,
+            "writes_as_human": claims.get("annotate_as_human") is True or "annotate:human" in scopes,
+        }
         if rule is not None and not isinstance(rule, dict):
-            return cls(
-                deny=("*",), databases=strings(claims.get("databases")), raw_samples=raw
-            )
+            return cls(deny=("*",), **granted)
         rule = rule or {}
         return cls(
             allow=strings(rule.get("allow")),
             deny=strings(rule.get("deny")),
-            databases=strings(claims.get("databases")),
-            raw_samples=raw,
+            **granted,
         )
 
     def condition(self) -> Column:
@@ -228,14 +238,13 @@ def require_container(containers: DataFrame, name: str) -> str:
     if found is None or found.matches == 0:
         raise UnknownContainer(name)
     if found.resolved is None:
+        # As many names as schemas hold this one table.
         shown = [
             row.candidate
-            for row in name_candidates(wanted, containers)
-            .orderBy("candidate")
-            .take(20)
+            for row in name_candidates(wanted, containers).orderBy("candidate").collect()
         ]
         raise AmbiguousContainer(
-            f"{name!r} is in {found.matches} schemas, among them {', '.join(shown)}"
+            f"{name!r} is in {found.matches} schemas: {', '.join(shown)}"
         )
     return found.resolved
 

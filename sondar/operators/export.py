@@ -95,6 +95,7 @@ def markdown_blocks(containers: DataFrame, columns: DataFrame) -> DataFrame:
         table_cell(tagged),
         F.lit(" |"),
     )
+    # ---- fixed values: the table's header
     table = F.concat(
         F.lit(
             "\n\n| column | type | null | key | description |\n|---|---|---|---|---|"
@@ -206,6 +207,7 @@ def export(
         if form == "markdown":
             blocks = markdown_blocks(containers, columns)
             when = f"Generated {generated_at} from the " if generated_at else "From the "
+            # ---- fixed values: the dictionary's heading
             head = (
                 f"# Data dictionary — {database or 'every database'}\n\n{when}"
                 "inventory. Descriptions marked *written* were added to the "

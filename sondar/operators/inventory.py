@@ -23,9 +23,11 @@ from sondar.model import (
     SECRET,
     SKIPPED,
     SOURCE_AI,
+    NotPermitted,
     RepeatedKey,
     UnknownContainer,
 )
+from sondar.operators.browse import Access
 
 _WRITTEN = ["description", "description_source", "description_updated_at"]
 
@@ -206,6 +208,7 @@ def annotate(
     container_notes: DataFrame | None = None,
     column_notes: DataFrame | None = None,
     source: str = SOURCE_AI,
+    access: Access | None = None,
     written_at: Column | None = None,
 ) -> Annotated:
     """Write descriptions and verdicts over an inventory.
@@ -215,6 +218,9 @@ def annotate(
     leaves a field as it is, blank clears a description. A note on a container
     the inventory does not have is an error, and then nothing is written.
 
+    With ``access``, that decides whose word a description is, whatever ``source`` says, and
+    notes on containers it does not cover are refused.
+
     Of several notes on one thing the one with the highest ``sequence`` wins, field
     by field; without that column, or with equal ones, several notes that give a
     field different values are refused, since their order is unknown.
@@ -235,6 +241,11 @@ def annotate(
     named = container_notes.select(*CONTAINER_KEY).unionByName(
         column_notes.select(*CONTAINER_KEY)
     )
+    if access is not None:
+        source = access.source
+        closed = named.where(~access.condition()).take(1)
+        if closed:
+            raise NotPermitted(".".join(part for part in closed[0] if part))
     strangers = named.join(containers, CONTAINER_KEY, "left_anti").take(1)
     if strangers:
         raise UnknownContainer(".".join(part for part in strangers[0] if part))

@@ -10,19 +10,19 @@ from tests.test_browse import column, container, frame
 
 
 @pytest.fixture
-def shop(spark):
+def port(spark):
     containers = frame(spark, CONTAINERS, [
-        container("users", estimated_count=1234567, description="people | all"),
-        container("orders", estimated_count=2),
+        container("moorings", estimated_count=1234567, description="berths | all"),
+        container("arrivals", estimated_count=2),
         container("blank"),
         container("broken", error="OSError: gone", schema_hash=""),
     ])
     columns = frame(spark, COLUMNS, [
-        column("email", "users", 2, description='say "hi", | ok\nthere ', description_source="human", sensitivity="pii"),
-        column("id", "users", 1, is_pk=True, nullable=False, native_description="key"),
-        column("id", "orders", 1, is_pk=True, nullable=False),
-        column("user_id", "orders", 2, is_fk=True, references_container="users", references_column="id"),
-        column("ref", "orders", 3, is_pk=True, is_fk=True, references_container="users"),
+        column("keeper", "moorings", 2, description='say "hi", | ok\nthere ', description_source="human", sensitivity="pii"),
+        column("code", "moorings", 1, is_pk=True, nullable=False, native_description="key"),
+        column("code", "arrivals", 1, is_pk=True, nullable=False),
+        column("mooring_id", "arrivals", 2, is_fk=True, references_container="moorings", references_column="code"),
+        column("pilot", "arrivals", 3, is_pk=True, is_fk=True, references_container="moorings"),
     ])
     return containers, columns
 
@@ -31,9 +31,9 @@ def text(path):
     return "".join(open(p, encoding="utf-8", newline="").read() for p in sorted(glob.glob(f"{path}/part-*")))
 
 
-def test_csv(shop, tmp_path):
+def test_csv(port, tmp_path):
     path = f"{tmp_path}/out"
-    result = export(*shop, path, "csv", files=1).first()
+    result = export(*port, path, "csv", files=1).first()
     assert (result.containers, result.columns) == (4, 5)
     assert result.bytes_written == len(text(path).encode())
     rows = list(csv.DictReader(text(path).splitlines(keepends=True)))
@@ -42,9 +42,9 @@ def test_csv(shop, tmp_path):
         "references", "description", "description_source", "sensitivity",
     ]
     assert [(r["container"], r["column"]) for r in rows] == [
-        ("orders", "id"), ("orders", "user_id"), ("orders", "ref"), ("users", "id"), ("users", "email"),
+        ("arrivals", "code"), ("arrivals", "mooring_id"), ("arrivals", "pilot"), ("moorings", "code"), ("moorings", "keeper"),
     ]
-    assert rows[1]["references"] == "users.id" and rows[2]["references"] == "users"
+    assert rows[1]["references"] == "moorings.code" and rows[2]["references"] == "moorings"
     assert rows[4]["description"] == 'say "hi", | ok\nthere ' and rows[4]["sensitivity"] == "pii"
     assert (rows[3]["nullable"], rows[3]["is_pk"], rows[3]["schema"]) == ("0", "1", "")
 
@@ -54,6 +54,16 @@ MARKDOWN = """\
 
 From the inventory. Descriptions marked *written* were added to the inventory; the rest are the source's own comments.
 
+## arrivals
+
+table · ~2 rows
+
+| column | type | null | key | description |
+|---|---|---|---|---|
+| `code` | text | no | PK |  |
+| `mooring_id` | text | yes | FK → moorings.code |  |
+| `pilot` | text | yes | PK FK → moorings |  |
+
 ## blank
 
 table
@@ -67,32 +77,22 @@ table
 
 > Not readable at the last scan: OSError: gone
 
-## orders
-
-table · ~2 rows
-
-| column | type | null | key | description |
-|---|---|---|---|---|
-| `id` | text | no | PK |  |
-| `user_id` | text | yes | FK → users.id |  |
-| `ref` | text | yes | PK FK → users |  |
-
-## users
+## moorings
 
 table · ~1,234,567 rows
 
-people | all
+berths | all
 
 | column | type | null | key | description |
 |---|---|---|---|---|
-| `id` | text | no | PK | key |
-| `email` | text | yes |  | say "hi", \\| ok there  *(written)* |
+| `code` | text | no | PK | key |
+| `keeper` | text | yes |  | say "hi", \\| ok there  *(written)* |
 """
 
 
-def test_markdown(shop, tmp_path):
+def test_markdown(port, tmp_path):
     path = f"{tmp_path}/out"
-    result = export(*shop, path, database="shop").first()
+    result = export(*port, path, database="shop").first()
     assert text(path) == MARKDOWN
     assert (result.containers, result.columns) == (4, 5)
     assert result.bytes_written == len(MARKDOWN.encode())
@@ -102,37 +102,37 @@ DBT = """\
 version: 2
 
 models:
-  - name: "orders"
+  - name: "arrivals"
     columns:
-      - name: "id"
-      - name: "user_id"
-      - name: "ref"
-  - name: "users"
-    description: "people | all"
+      - name: "code"
+      - name: "mooring_id"
+      - name: "pilot"
+  - name: "moorings"
+    description: "berths | all"
     columns:
-      - name: "id"
+      - name: "code"
         description: "key"
-      - name: "email"
+      - name: "keeper"
         description: "say \\"hi\\", | ok\\nthere "
 """
 
 
-def test_dbt(shop, tmp_path):
+def test_dbt(port, tmp_path):
     path = f"{tmp_path}/out"
-    result = export(*shop, path, "dbt_yaml", files=2).first()
+    result = export(*port, path, "dbt_yaml", files=2).first()
     assert text(path) == DBT
     assert (result.containers, result.columns) == (2, 5)
 
 
-def test_only_what_may_be_read(shop, tmp_path):
+def test_only_what_may_be_read(port, tmp_path):
     path = f"{tmp_path}/out"
-    access = Access(deny=("user*",))
+    access = Access(deny=("moor*",))
     for form in ("csv", "markdown", "dbt_yaml"):
-        result = export(*shop, path, form, access=access, files=1).first()
-        assert "email" not in text(path)
+        result = export(*port, path, form, access=access, files=1).first()
+        assert "keeper" not in text(path)
         assert result.columns == 3
 
 
-def test_unknown_format(shop, tmp_path):
+def test_unknown_format(port, tmp_path):
     with pytest.raises(ValueError):
-        export(*shop, str(tmp_path), "xml")
+        export(*port, str(tmp_path), "xml")

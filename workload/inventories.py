@@ -16,9 +16,10 @@ from sondar.model import (
     LISTED_COLUMNS,
     PROFILE,
     PROFILE_VALUE,
+    NotPermitted,
 )
 from sondar.operators import drift, inventory
-from sondar.operators.browse import recent_changes
+from sondar.operators.browse import Access, permitted, recent_changes
 from sondar.operators.sensitivity import by_name, record_detected, with_recorded
 from workload import derived as d
 from workload import plain, registry
@@ -414,6 +415,35 @@ def annotate_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registry.add(
+    "annotate_as_granted",
+    f"""
+select {d.KEY}, description_source, count(*) as columns from (
+  select {d.KEY}, {_set('s', 'description_source', "'human'")}
+  from ({d.STORED_CONTAINERS}) s left join ({plain(_CONTAINER_NOTES)}) a using ({d.KEY})
+  where container_name not like 'order_9%'
+) group by all
+""",
+)
+def annotate_as_granted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions written by a caller whose key speaks for a person, and who may not
+    see some containers: a note on one of those is refused, the others count as a person's."""
+    looks = Looks(spark, sf_dir)
+    notes = d.frame(spark, sf_dir, _CONTAINER_NOTES)
+    access = Access.from_claims({"containers": {"deny": ["order_9*"]}, "annotate_as_human": True})
+    try:
+        inventory.annotate(looks.stored, looks.stored_columns, container_notes=notes, access=access)
+        raise AssertionError("notes on closed containers were taken")
+    except NotPermitted:
+        covered = permitted(notes, access)
+    written = inventory.annotate(
+        looks.stored, looks.stored_columns, container_notes=covered, access=access, source="native"
+    )
+    return permitted(written.containers, access).groupBy(*CONTAINER_KEY, "description_source").agg(
+        F.count(F.lit(1)).alias("columns")
+    )
+
+
 @registry.add(
     "annotate_columns",
     f"""
