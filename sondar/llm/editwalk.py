@@ -187,12 +187,14 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
     The next text is that of the next smaller id, the largest after the
     smallest; the edited form has its last half replaced by the next text's
-    beginning.  Equal ids are ordered by a hash of their texts, and a null id comes after all
+    beginning.  Ids are whole numbers.  Equal ids are ordered by a hash of their texts, and a null id comes after all
     others.  A null text is empty; one row alone is its own next.
 
     Rows move once, compressed, to parts of the ids' range; the first row of a part also goes to the part before.
     """
     kind = docs.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} is no whole number")
     rows = docs.select(
         quoted(id_col).alias("i"), quoted(id_col).isNull().alias("absent"),
         F.coalesce(F.bitwise_not(quoted(id_col).cast("long")), F.lit((1 << 63) - 1)).alias("r"),

@@ -178,13 +178,11 @@ def scan(docs: DataFrame, text: str = "text", all_rules: list[Rule] | None = Non
     an array of (label, rule, tier, base, first_word, last_word) by place, words from 0.
 
     ``rule`` is the place in the list of rules.  A null or empty text has no words and no
-    matches; repeated rows are scanned each for itself; the
-    frame's other columns stay, whatever their names.  New columns replace none: a
-    clash with ``n_words`` or ``found`` is refused.
+    matches; repeated rows are scanned each for itself; the frame's other columns stay,
+    whatever their names.  Where it has one called ``n_words`` or ``found``, the new one has an
+    underscore before its name (``common.fresh``).
     """
-    taken = {c.lower() for c in docs.columns}
-    if {n_words.lower(), found.lower()} & taken:
-        raise ValueError(f"the frame has a column {n_words} or {found}; name others")
+    n_words, found = fresh(docs, n_words), fresh(docs, found)
     names = [f"c{i}" for i in range(len(docs.columns))]
     kept = [quoted(c).alias(n) for c, n in zip(docs.columns, names)]
     schema = docs.select(*kept).schema.add("n_words", T.LongType()).add("found", T.ArrayType(_MATCH))

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sondar.llm.common import components, fresh, quoted, slices, staged
 
@@ -232,9 +233,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
                 distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` with one of each near-duplicate group: the smallest
     id, then the smallest hash of the text; one of rows equal in both.  Null ids
-    come last."""
+    come last.  Whole numbers are in their order, other ids in that of their texts."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
     number, digest, low = (fresh(docs, n) for n in ("_id", "_hash", "_null"))
-    key = [quoted(id_col).isNull().alias(low), F.coalesce(quoted(id_col), F.lit(0)).cast("long").alias(number),
+    key = [quoted(id_col).isNull().alias(low), F.coalesce(quoted(id_col).cast("long" if whole else "string"), F.lit(0 if whole else "")).alias(number),
            F.xxhash64(quoted(text)).alias(digest)]
     keyed = docs.select("*", *key)
     slim = keyed.select(low, number, digest, quoted(text).alias("t"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sondar.llm.common import quoted, slices, staged
+from sondar.llm.common import fresh, quoted, slices, staged
 
 MIN_LEN = 200
 ANCHOR = 48
@@ -446,7 +446,8 @@ def _cut(min_len: int, whole_characters: bool):
 def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None = None, min_len: int = MIN_LEN,
                    anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, whole_characters: bool = False,
                    block_bytes: int = BLOCK) -> DataFrame:
-    """The kept columns (default: all but the text), ``spans`` and ``kept``.
+    """The kept columns (default: all but the text), ``spans`` and ``kept``; where the frame has
+    columns of these names, the new ones have an underscore before theirs (``common.fresh``).
 
     ``spans`` are the maximal byte ranges covered by strings of ``min_len`` bytes
     that start anywhere else too, in this text or another; ``kept`` are the other bytes of
@@ -455,8 +456,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     ends of the characters they touch, so that ``kept`` is text again.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    if {"spans", "kept"} & {c.lower() for c in keep}:
-        raise ValueError("a kept column is called spans or kept")
     spans = staged(repeated_spans(docs, text, min_len, anchor, shard_bytes, block_bytes), "spans")
     names = [f"c{i}" for i in range(len(keep))]
     k, second = _keys(F.col("t"))
@@ -466,4 +465,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = joined.select(*names).schema.add("spans", T.ArrayType(span)).add("kept", T.BinaryType())
     out = joined.mapInArrow(_cut(min_len, whole_characters), schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "spans", "kept")
+    added = [F.col(n).alias(fresh(docs, n)) for n in ("spans", "kept")]
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *added)

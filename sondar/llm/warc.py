@@ -202,11 +202,13 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
     """Writes one record per row to ``folder`` and returns the committed manifest.
 
     Of rows with equal payloads of at least ``least`` bytes those with the largest
-    id are responses and the others revisit it; a null id counts as smallest.
+    id are responses and the others revisit it; a null id counts as smallest, ids are whole numbers.
     A null payload or address is empty.  The same rows give the same bytes,
     whatever order or partitions they come in; only rows equal in everything may change places.
     ``date`` is every record's date.  The folder must be new and shared by all executors.
     """
+    if not isinstance(pages.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} is no whole number")
     spark = pages.sparkSession
     files, base = open_path(folder)
     if files.get_file_info(f"{base}/MANIFEST.json").type != pafs.FileType.NotFound:

@@ -1,8 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from sondar.llm.ship import ship
 
 
+CLASHING = ["id", "i", "p", "k", "h", "kept", "spans", "score", "y", "n", "_score", "component_id"]
+
+
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):
     ship(spark)
@@ -22,9 +26,12 @@ def texts(spark):
         (5, long, "z", 5.0),
         (6, "Zwölf Boxkämpfer jagen Viktor \U0001f98a quer über den Sylter Deich\x00\x1c՘", "z", 6.0),
     ]
-    return spark.createDataFrame(rows, "doc_id long, text string, T string, fp double").repartition(3)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, T string, fp double").repartition(3)
+    # Names that operators use inside or add.
+    return frame.withColumns({name: F.lit(name) for name in CLASHING})
 
 
 @pytest.fixture(scope="session")
 def nothing(spark):
-    return spark.createDataFrame([], "doc_id long, text string, T string, fp double")
+    frame = spark.createDataFrame([], "doc_id long, text string, T string, fp double")
+    return frame.withColumns({name: F.lit(name) for name in CLASHING})

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from sondar.llm import editwalk
 from sondar.llm.editwalk import Walker, edited
 
@@ -80,3 +82,8 @@ def test_near_copies_meet(spark, nothing):
         assert [found[10 + n] for n in range(6)] == list(range(6)) and found[20] == found[21] == 0
         assert found[None] == 1 and found[30] == 30
     assert editwalk.near_duplicates(nothing).count() == 0
+
+
+def test_other_ids_are_refused(spark):
+    with pytest.raises(TypeError):
+        editwalk.compare_with_next(spark.createDataFrame([("a", "b")], "doc_id string, text string"))

@@ -4,6 +4,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sondar.llm import rules, toxicity
@@ -76,3 +77,19 @@ def test_pieces_match_a_plain_chain(spark, sf):
         assert r.ids_crc32 == zlib.crc32(np.array(part, "<i4").tobytes())
         covered[r.doc_id] = r.start + r.length
     assert covered == {i: len(x) for i, x in want.items()}
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_clashing_names(spark, sf, stage, texts):
+    name, function = corpus_pipeline.STAGES[stage]
+    docs = texts.withColumn("n_chars", F.length("text").cast("long"))
+    out = function(spark, docs, sf)
+    if name != "packing":
+        assert out.columns == docs.columns
+    assert out.count() > 0
+
+
+def test_given_columns_come_back(spark, sf, texts):
+    docs = texts.withColumn("n_chars", F.length("text").cast("long"))
+    cut = corpus_pipeline.cut_repeats(spark, docs, sf).where("doc_id = 1").first()
+    assert cut.kept == "kept" and cut.spans == "spans"

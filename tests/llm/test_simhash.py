@@ -94,3 +94,10 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r.root for r in components(edges).collect()} == {0}
     assert components(edges.where("u < 0")).count() == 0
+
+
+def test_text_ids(spark, texts):
+    named = texts.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    rows = simhash.one_of_each(named).collect()
+    assert rows[0].asDict().keys() == {c: 0 for c in texts.columns}.keys()
+    assert {r.doc_id for r in rows} == {"d1", "d3", "d5", "d6", None}

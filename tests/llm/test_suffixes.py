@@ -81,7 +81,7 @@ def test_suffix_array_and_prefixes():
 def test_rows_of_all_kinds(spark, texts, nothing):
     rows = suffixes.remove_repeats(texts, min_len=30, anchor=8).collect()
     assert len(rows) == 8
-    by = {r.doc_id: bytes(r.kept) for r in rows}
+    by = {r.doc_id: bytes(r["_kept"]) for r in rows}
     assert by[1] == by[2] == b"" and by[3] == by[4] == b"" and by[6].endswith("՘".encode())
     assert suffixes.remove_repeats(nothing).count() == 0
 
