@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondar.llm import packing, rules, simhash, suffixes, toxicity
-from sondar.llm.common import staged
+from sondar.llm.common import fresh, staged
 from sondar.llm.ship import ship
 
 
@@ -44,7 +44,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship(spark)
     cut = suffixes.remove_repeats(docs, whole_characters=True)
-    text = F.decode("kept", "UTF-8")
+    text = F.decode(fresh(docs, "kept"), "UTF-8")
     return cut.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(docs.columns)
 
 
