@@ -55,6 +55,10 @@ def sample_for(
     return sample(df, limit, order_by=order_by)
 
 
+#: Columns whose values are judged in one aggregation.
+BLOCK = 40
+
+
 def by_name(names: DataFrame, column: str = "column_name") -> DataFrame:
     """Adds ``sensitivity``: the level each column name alone gives, or NULL."""
     return names.withColumn("sensitivity", level_from_name(F.col(column)))
@@ -71,10 +75,17 @@ def by_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, sensitivity) judged from every value of the frame.
 
     One pattern has to match more than half of the non-empty values, and there
-    must be three of them. All columns and patterns are counted in one
-    aggregation.
+    must be three of them. Columns and patterns are counted in one aggregation, or
+    in one for each block of columns where there are many: a plan that is too large
+    to be compiled takes far longer than several.
     """
     columns = list(df.columns if columns is None else columns)
+    if len(columns) > BLOCK:
+        parts = [by_values(df, columns[i : i + BLOCK]) for i in range(0, len(columns), BLOCK)]
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionAll(more)
+        return out
     if not columns:
         return df.sparkSession.sql(
             "select '' as column_name, '' as sensitivity where false"

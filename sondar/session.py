@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach.
+#: Used where ``spark.checkpoint.dir`` is unset, such as in a session that is already running.
+SCRATCH = "sondar.scratch.dir"
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; only where
-    that is unset (tests, a laptop) does a local temporary folder stand in.
-    """
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder that every executor can reach, below the shared folder that the
+    session names in ``spark.checkpoint.dir``, or else in ``sondar.scratch.dir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/sondar/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder all executors share"
-        )
-    return tempfile.mkdtemp(prefix=f"sondar-{label}-")
+    if not shared:
+        shared = spark.conf.get(SCRATCH, None)
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{shared.rstrip('/')}/sondar/{label}-{uuid.uuid4().hex}"
 
 
 def keep(df: DataFrame, path: str) -> DataFrame:

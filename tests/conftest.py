@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sondar-"))
         # Small frames, many plans: compiling each costs more than running it.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")

@@ -160,3 +160,14 @@ def test_raw_rows_need_the_grant(contacts):
     granted = Access.from_claims({"allow_raw_sample": True})
     assert s.sample_for(contacts, granted, 2, masked=False).count() == 2
     assert s.sample_for(contacts, Access(), 2).count() == 2
+
+
+def test_many_columns_are_judged_in_blocks(spark, monkeypatch):
+    from sondar.operators import sensitivity
+
+    df = spark.range(6).selectExpr(*[
+        f"concat('u', id, '@x.org') as a{i}" if i % 3 == 0 else f"concat('word ', id) as a{i}" for i in range(20)])
+    want = sorted(sensitivity.by_values(df).collect())
+    monkeypatch.setattr(sensitivity, "BLOCK", 6)
+    assert sorted(sensitivity.by_values(df).collect()) == want
+    assert sum(r.sensitivity == "pii" for r in want) == 7

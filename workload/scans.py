@@ -368,6 +368,43 @@ def rescan_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+_WIDE = 400
+
+
+@registry.add(
+    "scan_wide",
+    union(
+        [
+            f"select 'c{i}' as column_name, {i + 1} as ordinal, 0::double as null_ratio, "
+            + (
+                f"min(n_nationkey * {i + 1})::varchar as min_value, max(n_nationkey * {i + 1})::varchar as max_value, "
+                "null::varchar as commonest"
+                if i % 2
+                else "null::varchar as min_value, null::varchar as max_value, min('v' || (n_nationkey % 1)) as commonest"
+            )
+            + " from nation"
+            for i in range(_WIDE)
+        ]
+    ),
+)
+def scan_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of several hundred columns, profiled in blocks."""
+    wide = table(spark, sf_dir, "nation").selectExpr(
+        *[
+            f"n_nationkey * {i + 1} as c{i}" if i % 2 else f"concat('v', n_nationkey % 1) as c{i}"
+            for i in range(_WIDE)
+        ]
+    )
+    store = _store(spark, "wide")
+    scan_tables(store, "shop", {"wide": wide})
+    profile = F.col("profile")
+    return store.state("columns").select(
+        "column_name", "ordinal", profile["null_ratio"]["null_ratio"].alias("null_ratio"),
+        profile["min_max"]["min_value"].alias("min_value"), profile["min_max"]["max_value"].alias("max_value"),
+        F.expr("get(profile['top_values'].top_values, 0).value").alias("commonest"),
+    )
+
+
 @registry.add("scan_sensitivity", registry.sql["detect_names_then_values"])
 def scan_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict a scan records for each column, judged on all rows."""
