@@ -268,10 +268,12 @@ def read_dataset(
     ``options`` says otherwise. An empty CSV cell is NULL, quoted or not; another
     ``nullValue`` in ``options`` keeps quoted ones as empty texts.
     """
-    kind, _ = resolve(spark, root, name)
+    kind, first = resolve(spark, root, name)
     folder = f"{root.rstrip('/')}/{name}"
     reader = spark.read.options(**(options or {}))
-    whole = _whole_keys(spark, root, name)
+    # Keys stand in the path of every file or of none; without them nothing is listed for them.
+    keyed = "=" in first.partition(f"/{name}/")[2]
+    whole = _whole_keys(spark, root, name) if keyed else {}
     if kind == "json":
         with partitions_as_written(spark):
             df = _json_lines(spark, folder, schema)
