@@ -14,34 +14,24 @@ def _double_sql(x: str) -> str:
     """Shortest decimal form: plain from 1e-4 up to 1e16, else ``1.5e+16``.
 
     Spark writes ``1.5E7``; the digits are the same, so only the layout of
-    mantissa and exponent is redone. No rounding happens.
+    mantissa and exponent is redone. No rounding happens. The size of the number
+    says which layout Spark gave it, so that each value is written only once.
     """
-    raw = f"cast({x} as string)"
-    body = f"trim(leading '-' from {raw})"
-    mantissa = f"substring_index({body}, 'E', 1)"
-    exponent = f"try_cast(substring_index({body}, 'E', -1) as int)"
-    digits = f"replace({mantissa}, '.', '')"
-    # 1.25E8 has digits 125 and its point after position 9.
-    point = f"({exponent} + 1)"
-    padded = f"rpad({digits}, greatest({point} + 1, length({digits})), '0')"
-    large = f"concat(left({padded}, {point}), '.', substr({padded}, {point} + 1))"
-    small = (
-        f"concat('0.', repeat('0', -{exponent} - 1), "
-        f"trim(trailing '0' from {digits}))"
-    )
-    scientific = (
-        f"concat(regexp_replace({mantissa}, '[.]0$', ''), "
-        f"if({exponent} < 0, 'e-', 'e+'), if(abs({exponent}) < 10, '0', ''), "
-        f"abs({exponent}))"
-    )
-    sign = f"if(startswith({raw}, '-'), '-', '')"
+    raw, size = f"cast({x} as string)", f"abs({x})"
+    # Both decimals hold every digit that a number of this size has.
+    whole = f"concat(cast(cast({x} as bigint) as string), '.0')"
+    large = f"trim(trailing '0' from cast(cast({x} as decimal(38,12)) as string))"
+    small = f"trim(trailing '0' from cast(cast({x} as decimal(38,24)) as string))"
+    bare = f"replace({raw}, '.0E', 'E')"
     return (
-        f"case when isnan({x}) then 'nan' "
-        f"when {body} = 'Infinity' then concat({sign}, 'inf') "
-        f"when not contains({raw}, 'E') then {raw} "
-        f"when {exponent} between 7 and 15 then concat({sign}, {large}) "
-        f"when {exponent} between -4 and -1 then concat({sign}, {small}) "
-        f"else concat({sign}, {scientific}) end"
+        f"case when {size} >= 1e-3d and {size} < 1e7d or {x} = 0d then {raw} "
+        f"when isnan({x}) then 'nan' "
+        f"when {size} = double('Infinity') then if({x} > 0d, 'inf', '-inf') "
+        f"when {size} >= 1e16d then replace({bare}, 'E', 'e+') "
+        f"when {size} >= 1e7d then if({x} = cast({x} as bigint), {whole}, {large}) "
+        f"when {size} >= 1e-4d then {small} "
+        f"when {size} >= 1e-9d then replace({bare}, 'E-', 'e-0') "
+        f"else replace({bare}, 'E', 'e') end"
     )
 
 
@@ -54,6 +44,18 @@ def clock_sql(x: str) -> str:
     )
 
 
+def _time_sql(x: str) -> str:
+    """``clock_sql`` of a timestamp column, from Spark's own text where the year has four digits."""
+    text = f"cast({x} as string)"
+    padded = f"rpad(replace({text}, ' ', 'T'), if(length({text}) = 19, 19, 26), '0')"
+    return f"if({text} >= '0001', {padded}, {clock_sql(x)})"
+
+
+def _date_sql(x: str) -> str:
+    text = f"cast({x} as string)"
+    return f"if({text} >= '0001', {text}, date_format({x}, 'yyyy-MM-dd'))"
+
+
 def json_ready_sql(x: str, dtype: T.DataType, depth: int = 0) -> str:
     """The value in a shape JSON can carry, keeping text, numbers and booleans.
 
@@ -98,11 +100,11 @@ def value_sql(x: str, dtype: T.DataType, depth: int = 0) -> str:
     if isinstance(dtype, T.FloatType):
         return _double_sql(f"cast({x} as double)")
     if isinstance(dtype, T.TimestampNTZType):
-        return clock_sql(x)
+        return _time_sql(x)
     if isinstance(dtype, T.TimestampType):
-        return f"concat({clock_sql(x)}, date_format({x}, 'xxx'))"
+        return f"concat({_time_sql(x)}, date_format({x}, 'xxx'))"
     if isinstance(dtype, T.DateType):
-        return f"date_format({x}, 'yyyy-MM-dd')"
+        return _date_sql(x)
     if isinstance(dtype, T.BinaryType):
         return f"base64({x})"
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):

@@ -26,6 +26,20 @@ def test_doubles_read_like_python_floats(spark):
     assert [r.t for r in rows] == [str(r.v) for r in rows]
 
 
+def test_each_value_is_written_once(spark):
+    """No branch of the text writes its number, time or date a second time."""
+    number = text.value_sql("v", T.DoubleType()).replace(" else ", " when ")
+    assert max(branch.count("cast(v as string)") for branch in number.split(" when ")) == 1
+    moment = text.value_sql("v", T.TimestampNTZType())
+    assert moment.startswith("if(cast(v as string) >= '0001', rpad(")
+    rows = spark.sql(
+        "select explode(array(timestamp_ntz'0001-01-01 00:00:00.5', timestamp_ntz'9999-12-31 23:59:59')) as v"
+    )
+    assert [r[0] for r in rows.select(text.value_text("v", T.TimestampNTZType())).collect()] == [
+        "0001-01-01T00:00:00.500000", "9999-12-31T23:59:59",
+    ]
+
+
 @pytest.mark.parametrize(
     ("value", "kind", "expected"),
     [
