@@ -13,6 +13,7 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from sondar.functions.sql import ident
 from sondar.model import (
@@ -334,6 +335,13 @@ def _scan(
     def collections() -> dict[Place, Collection]:
         return {n: t for n, t in opened.items() if isinstance(t, Collection)}
 
+    folder = f"{store.root}/work/run={job_id}"
+
+    def listing(frame: DataFrame, name: str) -> DataFrame:
+        # Read from the source once: everything below sees the same listing.
+        untyped = [f.name for f in frame.schema.fields if isinstance(f.dataType, NullType)]
+        return keep(frame.withColumns({n: F.col(n).cast("string") for n in untyped}), f"{folder}/{name}")
+
     if containers is None:
         listed = spark.createDataFrame(
             [
@@ -352,8 +360,7 @@ def _scan(
             "schema_name string, container_name string, error string",
         )
         listed = (
-            containers.where(here)
-            .select(*LISTED_CONTAINERS)
+            listing(containers.where(here).select(*LISTED_CONTAINERS), "listed_containers")
             .join(unread, ["schema_name", "container_name"], "left")
             .select(*LISTED_CONTAINERS, "error")
         )
@@ -376,7 +383,7 @@ def _scan(
             )
         columns = _listed_fields(collections(), columns, database)
     else:
-        columns = columns.where(here).select(*LISTED_COLUMNS)
+        columns = listing(columns.where(here).select(*LISTED_COLUMNS), "listed_columns")
     if keys is not None:
         columns = declare_keys(columns, keys)
     if containers is not None:
@@ -387,7 +394,6 @@ def _scan(
 
     # Everything below builds on the comparison, so it is made once and kept
     # where a lost executor does not take it along.
-    folder = f"{store.root}/work/run={job_id}"
     compared = keep(compared, f"{folder}/compared")
 
     changed = [

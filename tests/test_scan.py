@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sondar.operators.browse import recent_changes, summary
+from sondar.operators.drift import fingerprint
 from sondar.operators.sensitivity import sensitive_columns
 from sondar.plans.scan import scan_tables
 from sondar.plans.store import CatalogStore
@@ -226,6 +227,24 @@ def test_a_listing_with_one_table_to_read(spark, tmp_path):
     assert profiled == {"read": True, "seen": False}
 
 
+def test_a_listing_is_read_once(spark, tmp_path):
+    """A source that answers differently each time is recorded as it was compared."""
+    store = CatalogStore(spark, f"{tmp_path}/inventory")
+    containers = spark.sql(
+        "select 'shop' as database, 'x' as schema_name, 't' as container_name, 'table' as container_type, "
+        "cast(null as bigint) as estimated_count, uuid() as native_description, null as last_modified_at"
+    )
+    columns = spark.sql(
+        "select 'shop' as database, 'x' as schema_name, 't' as container_name, 'c' as column_name, 1 as ordinal, "
+        "uuid() as native_type, true as nullable, false as is_pk, false as is_fk, null as native_description, "
+        "null as references_container, null as references_column"
+    )
+    scan_tables(store, "shop", {}, schema_name="x", containers=containers, columns=columns)
+    recorded = store.state("containers")
+    again = fingerprint(recorded.drop("schema_hash"), store.state("columns")).first().schema_hash
+    assert recorded.first().schema_hash == again
+
+
 def test_a_listing_that_repeats_a_name_is_refused(spark, tmp_path):
     from sondar.model import LISTED_COLUMNS, LISTED_CONTAINERS, RepeatedKey, ddl
 
