@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,9 @@ _FINGERPRINTED = [
     "references_column",
 ]
 
+# The key with the name first: sorts by it seldom look at the other two.
+_BY_NAME = ["container_name", "database", "schema_name"]
+
 
 def _framed(column: str) -> Column:
     """``length:text``, or ``-`` for NULL, so fields cannot run together."""
@@ -49,18 +55,21 @@ def fingerprint(containers: DataFrame, columns: DataFrame) -> DataFrame:
             *CONTAINER_KEY,
             "ordinal",
             "column_name",
-            F.sha2(F.concat(*[_framed(name) for name in _FINGERPRINTED]), 256).alias(
-                "digest"
-            ),
+            # As bytes, which are half as long and sort like their digits.
+            F.unhex(
+                F.sha2(F.concat(*[_framed(name) for name in _FINGERPRINTED]), 256)
+            ).alias("digest"),
         )
-        .groupBy(*CONTAINER_KEY)
+        .groupBy(*_BY_NAME)
         .agg(
             F.array_sort(
                 F.collect_list(F.struct("ordinal", "column_name", "digest"))
             ).alias("digests")
         )
     )
-    joined = F.array_join(F.transform("digests", lambda d: d["digest"]), "")
+    joined = F.array_join(
+        F.transform("digests", lambda d: F.lower(F.hex(d["digest"]))), ""
+    )
     return (
         containers.join(digests, CONTAINER_KEY, "left")
         .withColumn(
@@ -153,47 +162,32 @@ def changes(
     ``covered`` says the scan saw the whole catalog; only then can anything
     have been removed. A forced rescan of an unchanged container is no change.
 
-    Everything known about a container meets in one shuffle on its key; the lists
-    gathered there are as long as the container is wide.
+    What a scan found stays where its comparison put it; what is recorded moves its
+    keys, and the columns their names and types, in one shuffle on the container's key.
+    The lists gathered there are as long as the container is wide.
     """
     nothing = F.lit(None)
-    shape = {
-        "outcome": "string",
-        "old_hash": "string",
-        "schema_hash": "string",
-        "recorded": "boolean",
-        "then": "struct<name:string,type:string>",
-        "now": "struct<name:string,type:string>",
-    }
-
-    def part(df: DataFrame, **given: Column) -> DataFrame:
+
+    def part(df: DataFrame, shape: dict[str, str], **given: Column) -> DataFrame:
         return df.select(
             *CONTAINER_KEY,
             *[given.get(n, nothing).cast(kind).alias(n) for n, kind in shape.items()],
         )
 
+    known = compared.groupBy(*_BY_NAME).agg(
+        *[F.max(name).alias(name) for name in ("outcome", "old_hash", "schema_hash")]
+    )
     column = F.struct(F.col("column_name").alias("name"), F.col("native_type").alias("type"))
-    hashes = {name: F.col(name) for name in ("outcome", "old_hash", "schema_hash")}
-    gathered = (
-        part(compared, **hashes)
-        .unionAll(part(previous, recorded=F.lit(True)))
-        .unionAll(part(previous_columns, then=column))
-        .unionAll(part(current_columns, now=column))
-        .groupBy(*CONTAINER_KEY)
-        .agg(
-            *[F.max(name).alias(name) for name in (*hashes, "recorded")],
-            F.collect_list("then").alias("then"),
-            F.collect_list("now").alias("now"),
-        )
+    sides = dict.fromkeys(("then", "now"), "struct<name:string,type:string>")
+    lists = (
+        part(previous_columns, sides, then=column)
+        .unionAll(part(current_columns, sides, now=column))
+        .groupBy(*_BY_NAME)
+        .agg(*[F.collect_list(side).alias(side) for side in sides])
     )
     done = F.col("outcome") == DONE
-    kind = (
-        F.when(done & F.col("old_hash").isNull(), F.lit(CONTAINER_ADDED))
-        .when(done & (F.col("old_hash") != F.col("schema_hash")), F.lit(SCHEMA_CHANGED))
-        .when(
-            F.lit(covered) & F.col("recorded") & F.col("outcome").isNull(),
-            F.lit(CONTAINER_REMOVED),
-        )
+    kind = F.when(done & F.col("old_hash").isNull(), F.lit(CONTAINER_ADDED)).when(
+        done & (F.col("old_hash") != F.col("schema_hash")), F.lit(SCHEMA_CHANGED)
     )
 
     def names(columns: str) -> Column:
@@ -218,9 +212,11 @@ def changes(
     )
     changed = F.col("change_type") == SCHEMA_CHANGED
     differs = F.coalesce("detail.added", "detail.removed", "detail.retyped").isNotNull()
-    return (
-        gathered.withColumn("change_type", kind)
+    found = (
+        known.withColumn("change_type", kind)
         .where(F.col("change_type").isNotNull())
+        # Only a container both looks know has a detail, so none has a key with NULLs.
+        .join(lists, CONTAINER_KEY, "left")
         .withColumn("detail", detail)
         .select(
             *CONTAINER_KEY,
@@ -230,10 +226,26 @@ def changes(
             F.when(changed & differs, F.col("detail"))
             .cast(CHANGES["detail"])
             .alias("detail"),
-            F.lit(job_id).alias("job_id"),
-            detected_at.alias("detected_at"),
         )
     )
+    if covered:
+        recorded = previous.select(*CONTAINER_KEY).distinct().alias("then")
+        looked = compared.where(F.col("outcome").isNotNull()).select(*CONTAINER_KEY).alias("now")
+        same = reduce(
+            and_, [F.col(f"then.{k}").eqNullSafe(F.col(f"now.{k}")) for k in CONTAINER_KEY]
+        )
+        found = found.unionAll(
+            recorded.join(looked, same, "left_anti").select(
+                *CONTAINER_KEY,
+                F.lit(CONTAINER_REMOVED).alias("change_type"),
+                nothing.cast("string").alias("old_hash"),
+                nothing.cast("string").alias("new_hash"),
+                nothing.cast(CHANGES["detail"]).alias("detail"),
+            )
+        )
+    return found.select(
+        "*", F.lit(job_id).alias("job_id"), detected_at.alias("detected_at")
+    )
 
 
 def with_ids(new_changes: DataFrame, last_id: int) -> DataFrame:

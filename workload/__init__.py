@@ -43,9 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """SQL over the given tables, named ``{lineitem}`` and so on in the text."""
-    used = {n: table(spark, sf_dir, n) for n in TABLES if "{" + n + "}" in text}
+def run_sql(spark: SparkSession, sf_dir: str, text: str, **given: DataFrame) -> DataFrame:
+    """SQL over the given tables, named ``{lineitem}`` and so on in the text; a frame
+    in ``given`` stands for the table of its name."""
+    used = {n: given.get(n, table(spark, sf_dir, n)) for n in TABLES if "{" + n + "}" in text}
     return spark.sql(text, **used)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload import plain, run_sql
+from workload import plain, run_sql, table
 
 KEY = "database, schema_name, container_name"
 
@@ -45,7 +45,7 @@ CONTAINERS_NOW = (
     .replace("@WHERE", "o_totalprice >= 20000")
 )
 
-_COLUMNS = """
+_SHAPE = """
 select o_orderpriority as database, lower(o_orderstatus) as schema_name,
        concat('order_', l_orderkey) as container_name,
        case l_linenumber when 1 then 'id' when 2 then 'user_email' when 3 then 'createdAt'
@@ -58,31 +58,45 @@ select o_orderpriority as database, lower(o_orderstatus) as schema_name,
          as native_description,
        case when l_linenumber = 5 then concat('part_', part) end as references_container,
        case when l_linenumber = 5 and part > 100 then 'id' end as references_column
-from (select l_orderkey, l_linenumber,
+"""
+_LINES = """select l_orderkey, l_linenumber,
              min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as flag,
              min(case l_linestatus when 'F' then 1 else 2 end) as status,
              max(l_partkey) as part, sum(l_quantity) as quantity,
              max(l_discount) as discount, max(l_tax) as tax
-      from {lineitem} group by l_orderkey, l_linenumber) l
-join (select * from {orders} where @ORDERS) o on o_orderkey = l_orderkey
-where @WHERE
-"""
+      from {lineitem} group by l_orderkey, l_linenumber"""
+_COLUMNS = (
+    f"{_SHAPE}from ({_LINES}) l\n"
+    "join (select * from {orders} where @ORDERS) o on o_orderkey = l_orderkey\nwhere @WHERE\n"
+)
+# The same from lines that have met their orders.
+SEEN = f"select * from ({_LINES}) l join {{orders}} o on o_orderkey = l_orderkey"
+_COLUMNS_SEEN = f"{_SHAPE}from (select * from {{seen}} where @ORDERS) s where @WHERE"
 _TYPE = "case flag when 1 then 'bigint' when 2 then 'varchar(20)' else 'timestamp' end"
 
-COLUMNS_THEN = (
-    _COLUMNS.replace("@TYPE", _TYPE)
-    .replace("@ORDERS", "o_totalprice < 480000")
-    .replace("@WHERE", "tax < 0.075")
-)
-# What could not be read has no columns to list.
-COLUMNS_NOW = (
-    _COLUMNS.replace("@TYPE", f"case when quantity > 48 then 'text' else {_TYPE} end")
-    .replace(
-        "@ORDERS",
-        "o_totalprice >= 20000 and not (o_totalprice >= 200000 and o_totalprice < 205000)",
+
+def _then(columns: str) -> str:
+    return (
+        columns.replace("@TYPE", _TYPE)
+        .replace("@ORDERS", "o_totalprice < 480000")
+        .replace("@WHERE", "tax < 0.075")
     )
-    .replace("@WHERE", "discount < 0.095")
-)
+
+
+def _now(columns: str) -> str:
+    # What could not be read has no columns to list.
+    return (
+        columns.replace("@TYPE", f"case when quantity > 48 then 'text' else {_TYPE} end")
+        .replace(
+            "@ORDERS",
+            "o_totalprice >= 20000 and not (o_totalprice >= 200000 and o_totalprice < 205000)",
+        )
+        .replace("@WHERE", "discount < 0.095")
+    )
+
+
+COLUMNS_THEN, COLUMNS_NOW = _then(_COLUMNS), _now(_COLUMNS)
+COLUMNS_THEN_SEEN, COLUMNS_NOW_SEEN = _then(_COLUMNS_SEEN), _now(_COLUMNS_SEEN)
 
 # What people and earlier scans left on the first look's columns.
 WRITTEN = """
@@ -110,7 +124,16 @@ from {hashed} h
 
 
 def frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return run_sql(spark, sf_dir, text)
+    """A look's rows; line items meet their order where they are grouped, in one shuffle."""
+    if "{lineitem}" not in text:
+        return run_sql(spark, sf_dir, text)
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    return run_sql(spark, sf_dir, text, lineitem=lines)
+
+
+def written(columns: DataFrame) -> DataFrame:
+    """A look's columns with what people and earlier scans left on them."""
+    return columns.sparkSession.sql(WRITTEN.replace("(@COLUMNS)", "{columns}"), columns=columns)
 
 
 def stored_containers(hashed: DataFrame) -> DataFrame:

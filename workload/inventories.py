@@ -21,25 +21,42 @@ from sondar.model import (
 from sondar.operators import drift, inventory
 from sondar.operators.browse import Access, permitted, recent_changes
 from sondar.operators.sensitivity import by_name, record_detected, with_recorded
+from sondar.session import keep, scratch_dir
 from workload import derived as d
-from workload import plain, registry
+from workload import plain, registry, table
 
 _AT = "timestamp '2024-06-01 00:00:00'"
 
 
 class Looks:
-    """Both looks at the catalog and the inventory after the first."""
+    """Both looks at the catalog and the inventory after the first.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    ``stored`` says that a query reads a look's columns several times: lines that have met
+    their orders are written once, and no look derives them again for each use.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *, stored: bool = False) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self.is_stored = stored
 
     def _read(self, text: str) -> DataFrame:
         return d.frame(self.spark, self.sf_dir, text)
 
+    @cached_property
+    def _seen(self) -> DataFrame:
+        return keep(self._read(d.SEEN), scratch_dir(self.spark, "looks"))
+
+    def _columns(self, text: str, seen: str) -> DataFrame:
+        return self.spark.sql(seen, seen=self._seen) if self.is_stored else self._read(text)
+
     @cached_property
     def columns(self) -> DataFrame:
-        return self._read(d.COLUMNS_NOW)
+        return self._columns(d.COLUMNS_NOW, d.COLUMNS_NOW_SEEN)
+
+    @cached_property
+    def first_columns(self) -> DataFrame:
+        return self._columns(d.COLUMNS_THEN, d.COLUMNS_THEN_SEEN)
 
     @cached_property
     def containers(self) -> DataFrame:
@@ -51,13 +68,13 @@ class Looks:
 
     @cached_property
     def stored_columns(self) -> DataFrame:
-        return self._read(d.COLUMNS_STORED).withColumn(
+        return d.written(self.first_columns).withColumn(
             "profile", F.lit(None).cast(PROFILE)
         )
 
     @cached_property
     def stored(self) -> DataFrame:
-        first = drift.fingerprint(self._read(d.CONTAINERS_THEN), self._read(d.COLUMNS_THEN))
+        first = drift.fingerprint(self._read(d.CONTAINERS_THEN), self.first_columns)
         return d.stored_containers(first)
 
     def compared(self, **options: bool) -> DataFrame:
@@ -184,13 +201,13 @@ def _flat(changes: DataFrame) -> DataFrame:
 
 @registry.add("schema_changes", _CHANGES_ALL)
 def schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_changes(Looks(spark, sf_dir)))
+    return _flat(_changes(Looks(spark, sf_dir, stored=True)))
 
 
 @registry.add("schema_changes_partial_scan", _CHANGES)
 def schema_changes_partial_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scan that did not cover the catalog cannot tell what was removed."""
-    return _flat(_changes(Looks(spark, sf_dir), covered=False))
+    return _flat(_changes(Looks(spark, sf_dir, stored=True), covered=False))
 
 
 @registry.add("removed_containers", _REMOVED)
@@ -206,7 +223,7 @@ def removed_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest first; within one scan the ids decide, which rise with the key."""
-    changes = drift.with_ids(_changes(Looks(spark, sf_dir)), 0)
+    changes = drift.with_ids(_changes(Looks(spark, sf_dir, stored=True)), 0)
     return recent_changes(
         changes, database="1-URGENT", since="2024-06-01 00:00:00"
     ).select(*CONTAINER_KEY, "change_type")
@@ -293,7 +310,7 @@ def _synced(looks: Looks) -> DataFrame:
 @registry.add("sync_columns", _SYNCED)
 def sync_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns after a scan: survivors keep what was written about them."""
-    return _synced(Looks(spark, sf_dir)).select(*_SYNCED_NAMES)
+    return _synced(Looks(spark, sf_dir, stored=True)).select(*_SYNCED_NAMES)
 
 
 # ---- verdicts
@@ -372,26 +389,34 @@ select {d.KEY}, case when estimated_count < 150000 then '   ' else concat(' seen
          as description
 from ({d.CONTAINERS_THEN}) n where estimated_count >= 100000
 """
-_COLUMN_NOTES = f"""
+_NOTES_ON = f"""
 select {d.KEY}, column_name,
        case when native_type = 'bigint' then concat('about ', column_name)
             when native_type = 'timestamp' then ' ' end as description,
        case when ordinal = 7 then 'secret' when ordinal = 2 then 'pii' end as sensitivity
-from ({d.WRITTEN.replace('@COLUMNS', d.COLUMNS_THEN)}) n
+from (@COLUMNS) n
 union all
 select {d.KEY}, 'no_such_column' as column_name, 'x' as description,
        cast(null as varchar(1)) as sensitivity
 from ({d.CONTAINERS_THEN}) n where container_type = 'view'
 """
+_COLUMN_NOTES = _NOTES_ON.replace("@COLUMNS", d.COLUMNS_STORED)
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> inventory.Annotated:
     looks = Looks(spark, sf_dir)
+    # Read for the notes, their checks and what they are written on.
+    looks.first_columns = keep(looks.first_columns, scratch_dir(spark, "look"))
+    notes = spark.sql(
+        _NOTES_ON.replace("(@COLUMNS)", "{written}"),
+        written=d.written(looks.first_columns),
+        orders=table(spark, sf_dir, "orders"),
+    )
     return inventory.annotate(
         looks.stored,
         looks.stored_columns,
         container_notes=d.frame(spark, sf_dir, _CONTAINER_NOTES),
-        column_notes=d.frame(spark, sf_dir, _COLUMN_NOTES),
+        column_notes=notes,
         source="ai",
         written_at=at(),
     )
