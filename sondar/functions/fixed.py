@@ -28,6 +28,10 @@ VALUE_PATTERNS = [
     r"^\d{3}-\d{2}-\d{4}$",
     r"^(?:\d[ -]?){13,19}$",
 ]
+# ---- fixed values: what a text needs before its pattern can match, pattern by pattern.
+VALUE_NEEDS = [
+    "contains({0}, '@')", "length({0}) >= 9", "length({0}) >= 11", "length({0}) >= 13",
+]
 
 # ---- fixed values: fragments of a declared type name, tried group by group.
 OPAQUE_TYPES = [

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondar.functions.fixed import VALUE_PATTERNS
+from sondar.functions.fixed import VALUE_NEEDS, VALUE_PATTERNS
 from sondar.functions.masking import level_from_name, mask_text, value_regexes
 from sondar.functions.sql import ident, literal
 from sondar.functions.text import value_sql
@@ -94,8 +94,9 @@ def by_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     for index, name in enumerate(columns):
         aggregates.append(f"count_if({ident(name)} <> '') as n{index}")
         aggregates += [
-            f"count_if({ident(name)} rlike {literal(pattern)}) as m{index}_{which}"
-            for which, pattern in enumerate(value_regexes())
+            f"count_if({needs.format(ident(name))} and {ident(name)} rlike {literal(pattern)}) "
+            f"as m{index}_{which}"
+            for which, (needs, pattern) in enumerate(zip(VALUE_NEEDS, value_regexes(), strict=True))
         ]
     rows = ", ".join(
         f"named_struct('column_name', {literal(name)}, 'n', n{index}, 'hits', greatest("
