@@ -272,3 +272,22 @@ def test_the_later_note_wins(spark):
         _last_notes(frame.drop("sequence"), ["k"], fields).collect()
     same = frame.withColumn("description", F.lit("x")).drop("sequence")
     assert {r.a for r in _last_notes(same, ["k"], fields).collect()} == {"x"}
+
+
+@pytest.mark.parametrize("name", ["schema_changes", "schema_changes_partial_scan", "change_feed", "sync_columns", "annotate_result"])
+def test_no_use_of_a_look_derives_it_again(spark, sf, name):
+    from workload import inventories
+
+    read = getattr(inventories, name)(spark, sf).inputFiles()
+    assert read and not any("lineitem" in path for path in read)
+
+
+def test_containers_without_a_whole_key_are_added_or_removed(spark):
+    """NULL parts of a key are equal when something recorded is looked for."""
+    containers, columns = listed(spark, {"t": [("a", "int")]})
+    containers = containers.withColumn("database", F.lit(None).cast("string"))
+    previous = containers.withColumn("schema_hash", F.lit("x"))
+    gone = previous.withColumn("container_name", F.lit("u"))
+    compared = drift.compare(drift.fingerprint(containers, columns), previous)
+    found = drift.changes(compared, columns, previous.unionByName(gone), columns, job_id="j", detected_at=now())
+    assert {r.container_name: r.change_type for r in found.collect()} == {"t": "container_added", "u": "container_removed"}
